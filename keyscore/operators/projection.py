@@ -23,3 +23,13 @@ def map_columns(df: DataFrame, col: str, prefix: str, n: int) -> DataFrame:
 def to_feature_table(df: DataFrame, plan: ColumnPlan) -> DataFrame:
     """Drop what the feature stages consumed and call the result column ``label``."""
     return df.drop(*plan.dropped).withColumnRenamed("Result", "label")
+
+
+def expand(df: DataFrame, col: str, n: int, prefix: str = "f", digits: int | None = None) -> DataFrame:
+    """The first ``n`` entries of an array column as columns ``prefix0, prefix1, ...``."""
+    slots = [F.col(col)[i] for i in range(n)]
+    if digits is not None:
+        slots = [F.round(s, digits) for s in slots]
+    return df.select(
+        *[c for c in df.columns if c != col], *[s.alias(f"{prefix}{i}") for i, s in enumerate(slots)]
+    )

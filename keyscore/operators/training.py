@@ -192,15 +192,12 @@ def fit_per_stream(
 
 
 def reload_parity(model: Model, kind: str, path: str, df: DataFrame, id_col: str = "uuid") -> DataFrame:
-    """Save, reload and score again: the rows on which the two models differ.
+    """Save, reload and score again: ``first, second, same`` for every row.
 
     Both models run over the same rows in one pass, so no join is needed.
     """
     save_model(model, path)
     again = load_model(kind, path)
-    first = model.copy({model.predictionCol: "_first"}).transform(df)
-    for name in ("rawPrediction", "probability"):
-        if name in first.columns:
-            first = first.drop(name)
-    both = again.copy({again.predictionCol: "_second"}).transform(first)
-    return both.filter(~F.col("_first").eqNullSafe(F.col("_second"))).select(id_col, "_first", "_second")
+    first = model.copy({model.predictionCol: "first"}).transform(df).drop("rawPrediction", "probability")
+    both = again.copy({again.predictionCol: "second"}).transform(first)
+    return both.select(id_col, "first", "second", F.col("first").eqNullSafe(F.col("second")).alias("same"))
