@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from functools import partial
 
 import numpy as np
-from pyspark import keyword_only
+from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Model, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
@@ -16,7 +18,7 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyscore.functions.kernels import fourier_features
@@ -130,6 +132,7 @@ class RandomFourier(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadabl
     @keyword_only
     def __init__(self, *, inputCol="features", outputCol="kernel", gamma=1.0, components=256, size=1, seed=42):
         super().__init__()
+        self._setDefault(inputCol="features", outputCol="kernel", gamma=1.0, components=256, size=1, seed=42)
         self._set(**self._input_kwargs)
 
     def _transform(self, df: DataFrame) -> DataFrame:
@@ -165,30 +168,53 @@ def fit_rbf_svm(
     return PipelineModel([lift, svc])
 
 
-FITS = {"lr": fit_logreg, "svc": fit_linear_svc, "rf": fit_random_forest, "gbt": fit_gbt}
+FITS = {"lr": fit_logreg, "svc": fit_linear_svc, "rf": fit_random_forest, "gbt": fit_gbt, "kmeans": fit_kmeans}
+
+
+def _side_by_side(spark: SparkSession, tasks: Sequence[Callable[[], object]], parallelism: int) -> list:
+    """Run independent fits at the same time: one fit's small last tasks leave room for the next."""
+    if parallelism <= 1 or len(tasks) <= 1:
+        return [task() for task in tasks]
+    targets = [inheritable_thread_target(spark)(task) for task in tasks]
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(tasks))) as pool:
+        return list(pool.map(lambda target: target(), targets))
+
+
+def fit_models(
+    table: DataFrame, kinds: Sequence[str] = ("lr", "svc", "rf", "gbt"), parallelism: int = 4
+) -> dict[str, object]:
+    """Several kinds of model on one feature table, which is kept while they run."""
+    with shared(table) as rows:
+        return dict(zip(kinds, _side_by_side(table.sparkSession, [partial(FITS[kind], rows) for kind in kinds], parallelism)))
 
 
 def fit_stream(
-    df: DataFrame, cfg: StreamConfig, base: str, kinds: Sequence[str] = ("lr", "svc", "rf", "gbt", "kmeans")
+    df: DataFrame,
+    cfg: StreamConfig,
+    base: str,
+    kinds: Sequence[str] = ("lr", "svc", "rf", "gbt", "kmeans"),
+    parallelism: int = 4,
 ) -> dict[str, object]:
     """Fit feature stages and models for one stream on its flat records, and save each by its name."""
     plan = column_plan(cfg)
     stages = build_pipeline(plan).fit(df)
-    save_model(stages, artefact_path(base, "pipeline", cfg.name))
-    fitted: dict[str, object] = {"pipeline": stages}
-    with shared(feature_table(df, stages, plan)) as table:
-        for kind in kinds:
-            fit = FITS.get(kind) or (lambda t: fit_kmeans(t.select("features")))
-            fitted[kind] = fit(table)
-            save_model(fitted[kind], artefact_path(base, kind, cfg.name))
+    fitted = {"pipeline": stages, **fit_models(feature_table(df, stages, plan), kinds, parallelism)}
+    for kind, model in fitted.items():
+        save_model(model, artefact_path(base, kind, cfg.name))
     return fitted
 
 
 def fit_per_stream(
-    df_by_key: Mapping[str, DataFrame], registry: Sequence[StreamConfig], base: str, kinds: Sequence[str] = ("svc",)
+    df_by_key: Mapping[str, DataFrame],
+    registry: Sequence[StreamConfig],
+    base: str,
+    kinds: Sequence[str] = ("svc",),
+    parallelism: int = 4,
 ) -> dict[str, dict[str, object]]:
-    """The same recipe for every configured stream; each fit is a distributed job of its own."""
-    return {cfg.key: fit_stream(df_by_key[cfg.key], cfg, base, kinds) for cfg in registry}
+    """The same recipe for every configured stream, ``parallelism`` streams at a time."""
+    tasks = [partial(fit_stream, df_by_key[cfg.key], cfg, base, kinds, 1) for cfg in registry]
+    spark = next(iter(df_by_key.values())).sparkSession
+    return dict(zip([cfg.key for cfg in registry], _side_by_side(spark, tasks, parallelism)))
 
 
 def reload_parity(model: Model, kind: str, path: str, df: DataFrame, id_col: str = "uuid") -> DataFrame:

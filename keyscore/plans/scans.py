@@ -123,7 +123,7 @@ def src_svmlight(spark, sf_dir):
 @query(
     "src_svm_model",
     """SELECT CASE WHEN label % 2 = 0 THEN 1e0 ELSE -1e0 END AS coef, 64 AS dim, 0.015625e0 AS gamma, 0.25e0 AS rho,
-       round(list_sum(list_transform(embedding, x -> CAST(x AS DOUBLE))), 6) AS total,
+       round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS total,
        CAST(embedding[1] AS DOUBLE) AS first, CAST(embedding[64] AS DOUBLE) AS last,
        (SELECT count(*) FROM embeddings) AS total_sv
        FROM embeddings""",

@@ -100,7 +100,7 @@ def score_kmeans(spark, sf_dir):
       sv AS (SELECT label AS s, i, avg(v) AS v, CASE WHEN label % 2 = 0 THEN 1e0 ELSE -1e0 END AS coef FROM ev GROUP BY label, i),
       d AS (SELECT vec_id, s, coef, sum((ev.v - sv.v) * (ev.v - sv.v)) AS d FROM ev JOIN sv USING (i) GROUP BY vec_id, s, coef),
       m AS (SELECT vec_id, sum(coef * exp(-d / 64e0)) - 0.001e0 AS margin FROM d GROUP BY vec_id)
-      SELECT vec_id, round(margin, 6) AS margin, CASE WHEN margin > 0 THEN 0 ELSE 1 END AS prediction FROM m""",
+      SELECT vec_id, round(margin, 6) + 0e0 AS margin, CASE WHEN margin > 0 THEN 0 ELSE 1 END AS prediction FROM m""",
 )
 def score_rbf_svm_query(spark, sf_dir):
     """Support vectors are the mean embeddings of the labels, even ones positive."""
@@ -111,4 +111,5 @@ def score_rbf_svm_query(spark, sf_dir):
         F.array(*[f"v{i}" for i in range(64)]).alias("vector"),
     )
     scored = score_rbf_svm(rows, vectors, gamma=1 / 64, rho=0.001, labels=(0, 1), features="embedding")
-    return scored.select("vec_id", F.round("margin", 6).alias("margin"), "prediction")
+    # adding zero turns -0.0 into 0.0
+    return scored.select("vec_id", (F.round("margin", 6) + F.lit(0.0)).alias("margin"), "prediction")
