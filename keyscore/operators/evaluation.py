@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -82,7 +83,7 @@ def auc_score(df: DataFrame, score: str = "score") -> DataFrame:
 
 
 def margins_by_round(df: DataFrame, model) -> DataFrame:
-    """Margin after each round of a boosted-tree model: ``label`` and ``margin0, margin1, ...``.
+    """Margin after each round of a boosted-tree model, as ``margin0, margin1, ...`` after the columns.
 
     Every tree runs once over each row; a round's margin adds its tree to the round before.
     """
@@ -91,7 +92,18 @@ def margins_by_round(df: DataFrame, model) -> DataFrame:
         out = tree.copy().setPredictionCol(f"_tree{i}").transform(out)
         margin = margin + F.lit(float(weight)) * F.col(f"_tree{i}")
         out = out.withColumn(f"margin{i}", margin)
-    return out.select("label", *[f"margin{i}" for i in range(len(model.treeWeights))])
+    return out.select(*df.columns, *[f"margin{i}" for i in range(len(model.treeWeights))])
+
+
+def forest_votes(df: DataFrame, model) -> DataFrame:
+    """Mean class-1 share of a forest's trees as ``vote``; every tree runs once over each row."""
+    out, total = df, F.lit(0.0)
+    for i, tree in enumerate(model.trees):
+        tree = tree.copy().setPredictionCol(f"_tree{i}").setRawPredictionCol("").setProbabilityCol(f"_share{i}")
+        out = tree.transform(out)
+        total = total + vector_to_array(F.col(f"_share{i}"))[1]
+    out = out.withColumn("vote", total / F.lit(float(len(model.trees))))
+    return out.select(*df.columns, "vote")
 
 
 def auc_by_round(df: DataFrame, model) -> DataFrame:
@@ -100,7 +112,7 @@ def auc_by_round(df: DataFrame, model) -> DataFrame:
     Few distinct margins exist (one per combination of leaves), so the rows are first counted by
     label and margins; the rounds then work on those counts.
     """
-    margins = margins_by_round(df, model)
+    margins = margins_by_round(df.select("label", model.getFeaturesCol()), model).drop(model.getFeaturesCol())
     rounds = len(model.treeWeights)
     counts = margins.groupBy(*margins.columns).agg(F.count("*").alias("_weight")).persist()
     try:
@@ -154,13 +166,17 @@ def importances(spark, model_path: str, names: DataFrame | None = None) -> DataF
     return table if names is None else names.join(F.broadcast(table), "slot")
 
 
-def report_rows(df: DataFrame, stream: str, model: str) -> DataFrame:
-    """Standard metrics of one model as report rows (stream, model, metric, value), in one pass."""
+def report_rows(df: DataFrame, stream: str | Column, model: str) -> DataFrame:
+    """Standard metrics as report rows (stream, model, metric, value), in one pass.
+
+    ``stream`` is a name, or the column that holds it where the rows are of several streams.
+    """
+    stream = F.lit(stream) if isinstance(stream, str) else stream
     p, y = F.col("prediction").cast("double"), F.col("label").cast("double")
-    metrics = df.agg(
+    metrics = df.groupBy(stream.alias("stream")).agg(
         F.avg((p == y).cast("double")).alias("accuracy"),
         ((F.avg(F.when(y == 1, p)) + F.avg(F.when(y == 0, 1 - p))) / 2).alias("auc"),
         F.count("*").cast("double").alias("rows"),
     )
     pairs = [F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in ("accuracy", "auc", "rows")]
-    return metrics.select(F.lit(stream).alias("stream"), F.lit(model).alias("model"), F.inline(F.array(*pairs)))
+    return metrics.select("stream", F.lit(model).alias("model"), F.inline(F.array(*pairs)))

@@ -32,6 +32,12 @@ def fanout(df: DataFrame, branches: Mapping[str, Column]) -> dict[str, DataFrame
     return {name: df.filter(predicate) for name, predicate in branches.items()}
 
 
+def fanout_rows(df: DataFrame, branches: Mapping[str, Column], name: str = "branch") -> DataFrame:
+    """The same copies as one table with a ``branch`` column, from a single pass over the records."""
+    accepted = F.array_compact(F.array(*[F.when(p, F.lit(b)) for b, p in branches.items()]))
+    return df.select(F.explode(accepted).alias(name), *df.columns)
+
+
 def matched(keys: Sequence[str]) -> Column:
     return F.coalesce(F.col("key").isin(*keys), F.lit(False))
 

@@ -17,7 +17,7 @@ from keyscore.functions.scalar import emit_json, weighted_sum
 from keyscore.operators.features import fixed_layout
 from keyscore.operators.projection import expand
 from keyscore.records import ENDPOINT, Category, Sensor, StreamConfig
-from keyscore.storage import fresh_path
+from keyscore.storage import fresh_path, spread
 
 CATS = ENDPOINT.categories
 SENSORS = ENDPOINT.sensors
@@ -25,7 +25,7 @@ WIDTH = ENDPOINT.width
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 # --- the endpoint view ------------------------------------------------------------------
@@ -168,12 +168,14 @@ def linear_sql(columns, weights, intercept: float) -> str:
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """uuid, key, label, score, prediction of the fixed linear model."""
     margin = weighted_sum([F.col(c) for c in LINEAR_COLUMNS], LINEAR_WEIGHTS, LINEAR_INTERCEPT)
-    rows = endpoints(spark, sf_dir).select("uuid", "key", F.col("Result").alias("label"), margin.alias("score"))
+    rows = endpoints(spark, sf_dir).select(
+        "uuid", "key", "event_type", F.col("Result").alias("label"), margin.alias("score")
+    )
     return rows.withColumn("prediction", (F.col("score") > 0).cast("int"))
 
 
 PR = (
-    f"{EP}, pr0 AS (SELECT uuid, key, Result AS label, "
+    f"{EP}, pr0 AS (SELECT uuid, key, event_type, Result AS label, "
     f"{linear_sql(LINEAR_COLUMNS, LINEAR_WEIGHTS, LINEAR_INTERCEPT)} AS score FROM ep), "
     "pr AS (SELECT *, CASE WHEN score > 0 THEN 1 ELSE 0 END AS prediction FROM pr0)"
 )

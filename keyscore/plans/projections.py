@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from keyscore.functions.scalar import cast_kv, emit_json, parse_json
 from keyscore.operators.projection import flatten, map_columns, to_feature_table
-from keyscore.operators.routing import branch, fanout, matched, route, union_all, unmatched
+from keyscore.operators.routing import branch, fanout_rows, matched, route, union_all, unmatched
 from keyscore.operators.userfn import filter_records, map_records
 from keyscore.plans import endpoints as ep
 from keyscore.plans.catalog import query
@@ -80,8 +80,8 @@ def branch_first_match(spark, sf_dir):
 )
 def fanout_broadcast(spark, sf_dir):
     """Overlapping predicates: a record is in every branch that accepts it."""
-    parts = fanout(ep.endpoints(spark, sf_dir), {n: F.expr(p) for n, p in _branches})
-    return union_all(*[df.select(F.lit(n).alias("branch"), "uuid", "key") for n, df in parts.items()])
+    rows = ep.endpoints(spark, sf_dir).select("uuid", "key", "sensor0")
+    return fanout_rows(rows, {n: F.expr(p) for n, p in _branches}).drop("sensor0")
 
 
 @query("unmatched_keys", f"WITH {ep.EP} SELECT key, count(*) AS n FROM ep WHERE key NOT IN ({_keys}) GROUP BY key")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from keyscore.operators.evaluation import confusion
+from keyscore.operators.evaluation import forest_votes, margins_by_round
 from keyscore.operators.scoring import nearest_center, score, score_linear, score_rbf_svm, score_softmax
 from keyscore.operators.training import fit_gbt, fit_random_forest, shared
 from keyscore.plans import endpoints as ep
@@ -62,19 +63,31 @@ def score_softmax_query(spark, sf_dir):
     )
 
 
-def _tree_scores(fit):
-    def run(spark, sf_dir):
-        """Fitted on every record, then each record scored: class counts and mean probability by key."""
-        with shared(ep.vectors(spark, sf_dir)) as rows:
-            model = fit(rows)
-        scored = score(ep.vectors(spark, sf_dir), model)
-        return confusion(scored).withColumn("trees", F.lit(model.getNumTrees))
+# Tree ensembles are fitted on every record, then every record is scored twice: by the ensemble,
+# and by its trees one at a time. Each key's records must agree.
+BY_KEY = f"WITH {ep.EP} SELECT key, count(*) AS scored, count(*) AS same FROM ep GROUP BY key"
 
-    return run
 
+def _agree(scored, ensemble, trees):
+    same = (F.abs(ensemble - trees) < 1e-9) & (F.col("prediction") == (trees > F.lit(0.0)).cast("double"))
+    return scored.groupBy("key").agg(F.count("*").alias("scored"), F.count_if(same).alias("same"))
 
-query("score_random_forest")(_tree_scores(fit_random_forest))
-query("score_gbt")(_tree_scores(fit_gbt))
+
+@query("score_random_forest", BY_KEY)
+def score_random_forest(spark, sf_dir):
+    with shared(ep.vectors(spark, sf_dir)) as rows:
+        model = fit_random_forest(rows)
+    scored = forest_votes(score(ep.vectors(spark, sf_dir), model), model)
+    return _agree(scored, vector_to_array("probability")[1] - 0.5, F.col("vote") - 0.5)
+
+
+@query("score_gbt", BY_KEY)
+def score_gbt(spark, sf_dir):
+    with shared(ep.vectors(spark, sf_dir)) as rows:
+        model = fit_gbt(rows)
+    scored = margins_by_round(score(ep.vectors(spark, sf_dir), model), model)
+    # rawPrediction is (-margin, margin) of the last round
+    return _agree(scored, vector_to_array("rawPrediction")[1], F.col(f"margin{len(model.treeWeights) - 1}"))
 
 # fixed centres, from a rule
 CENTERS = [[((i + 2 * j) % 5) / 10 - 0.2 for i in range(64)] for j in range(3)]

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from keyscore.functions.scalar import emit_json
 from keyscore.operators.evaluation import report_rows
 from keyscore.operators.features import build_pipeline, feature_table
-from keyscore.operators.routing import union_all
 from keyscore.operators.training import fit_logreg, shared
 from keyscore.plans import endpoints as ep
 from keyscore.plans.catalog import query
@@ -122,18 +121,14 @@ def sink_model_save(spark, sf_dir):
 
 @query(
     "sink_eval_report",
-    f"""WITH {ep.PR}, m AS (SELECT event_type AS stream, pr.label, pr.prediction FROM pr JOIN ep USING (uuid)),
-      s AS (SELECT stream, avg(CASE WHEN label = prediction THEN 1e0 ELSE 0e0 END) AS accuracy,
+    f"""WITH {ep.PR}, s AS (SELECT event_type AS stream, avg(CASE WHEN label = prediction THEN 1e0 ELSE 0e0 END) AS accuracy,
         (avg(CASE WHEN label = 1 THEN prediction END) + avg(CASE WHEN label = 0 THEN 1 - prediction END)) / 2 AS auc,
-        count(*) AS n FROM m GROUP BY stream)
+        count(*) AS n FROM pr GROUP BY event_type)
       SELECT stream, 'linear' AS model, 'accuracy' AS metric, round(accuracy, 9) AS value FROM s
       UNION ALL SELECT stream, 'linear', 'auc', round(auc, 9) FROM s
       UNION ALL SELECT stream, 'linear', 'rows', CAST(n AS DOUBLE) FROM s""",
 )
 def sink_eval_report(spark, sf_dir):
-    rows = ep.endpoints(spark, sf_dir).select("uuid", F.col("event_type").alias("stream"))
-    scored = ep.predictions(spark, sf_dir).join(rows, "uuid").select("stream", "label", "prediction")
     path = fresh_path(spark, "report")
-    parts = [report_rows(scored.filter(F.col("stream") == s), s, "linear") for s in ep.STREAMS]
-    write_report(union_all(*parts), path)
+    write_report(report_rows(ep.predictions(spark, sf_dir), F.col("event_type"), "linear"), path)
     return spark.read.schema(REPORT_SCHEMA).json(path).withColumn("value", F.round("value", 9))

@@ -25,6 +25,15 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/keyscore/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan with fewer splits than the cluster has cores one partition per core.
+
+    A large input has more splits than cores and is returned as it is: it is never shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, so that later jobs start from files."""
     path = fresh_path(df.sparkSession, name)
