@@ -48,12 +48,18 @@ def minmax(df: DataFrame, inp: str = "unscaled", out: str = "features") -> DataF
     return MinMaxScaler(inputCol=inp, outputCol=out).fit(df).transform(df)
 
 
-def build_pipeline(plan: ColumnPlan) -> Pipeline:
-    """Encode, assemble and scale, to be fitted, saved and applied as one unit."""
+def build_pipeline(plan: ColumnPlan, on_invalid: str = "error") -> Pipeline:
+    """Encode, assemble and scale, to be fitted, saved and applied as one unit.
+
+    ``error`` fails on a null or an unseen category; ``keep`` gives an unseen category a slot of
+    its own and a null sensor NaN.
+    """
+    if on_invalid not in ("error", "keep"):
+        raise ValueError("on_invalid must be 'error' or 'keep'")
     return Pipeline(
         stages=[
-            OneHotEncoder(inputCols=plan.categories, outputCols=plan.encoded),
-            VectorAssembler(inputCols=plan.assembled, outputCol="unscaled"),
+            OneHotEncoder(inputCols=plan.categories, outputCols=plan.encoded, handleInvalid=on_invalid),
+            VectorAssembler(inputCols=plan.assembled, outputCol="unscaled", handleInvalid=on_invalid),
             MinMaxScaler(inputCol="unscaled", outputCol="features"),
         ]
     )
@@ -91,12 +97,13 @@ def invalid_record(plan: ColumnPlan, features: PipelineModel) -> Column:
 
 
 def on_invalid_rows(df: DataFrame, plan: ColumnPlan, features: PipelineModel, on_invalid: str) -> DataFrame:
-    """``error`` leaves bad records to fail the job in the encoder or assembler; ``skip`` leaves them out."""
-    if on_invalid == "error":
+    """``skip`` leaves bad records out; ``error`` and ``keep`` hand them to the stages, which were
+    fitted to fail on them or to keep them."""
+    if on_invalid in ("error", "keep"):
         return df
     if on_invalid == "skip":
         return df.filter(~invalid_record(plan, features))
-    raise ValueError("on_invalid must be 'error' or 'skip'")
+    raise ValueError("on_invalid must be 'error', 'skip' or 'keep'")
 
 
 # --- splits -----------------------------------------------------------------------------------

@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyscore.functions.scalar import parse_json
-from keyscore.operators.features import on_invalid_rows
+from keyscore.operators.features import invalid_record, on_invalid_rows
 from keyscore.operators.projection import flatten, to_feature_table
-from keyscore.records import ColumnPlan, Layout, column_plan, endpoint_schema, record_schema
+from keyscore.records import ColumnPlan, Layout, StreamConfig, column_plan, endpoint_schema, record_schema
 from keyscore.sources.registry import Entry
 
 
@@ -39,12 +39,18 @@ def fanout_rows(df: DataFrame, branches: Mapping[str, Column], name: str = "bran
 
 
 def matched(keys: Sequence[str]) -> Column:
-    return F.coalesce(F.col("key").isin(*keys), F.lit(False))
+    """True for a known key, null for no key: as a filter it keeps known keys and reaches the scan."""
+    return F.col("key").isin(*keys)
+
+
+def unknown(keys: Sequence[str]) -> Column:
+    """True for any other key and for none."""
+    return ~F.coalesce(matched(keys), F.lit(False))
 
 
 def unmatched(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Side output: how many records each unknown key (or no key) brought."""
-    return df.filter(~matched(keys)).groupBy("key").agg(F.count("*").alias("n"))
+    return df.filter(unknown(keys)).groupBy("key").agg(F.count("*").alias("n"))
 
 
 def union_all(*dfs: DataFrame) -> DataFrame:
@@ -121,6 +127,28 @@ def score_multi_schema(df: DataFrame, registry: Mapping[str, Entry], on_invalid:
     return union_all(*[score_stream_branch(df, entry, on_invalid) for entry in registry.values()])
 
 
+def rejects(df: DataFrame, source: Layout | StreamConfig, features: PipelineModel) -> DataFrame:
+    """Side output: ``key, value`` messages that the feature stages cannot take, and why.
+
+    ``malformed`` text gives a record of nulls; otherwise a sensor or category is null, or a
+    category code was never seen in the fit.
+    """
+    schema = endpoint_schema(source) if isinstance(source, Layout) else record_schema(source)
+    parsed = df.select("key", "value", F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("data"))
+    categories, sensors = schema.names[-2:]
+    flat = parsed.select("key", "value", "data", f"data.{categories}.*", f"data.{sensors}.*")
+    fields = [F.col(f"data.{name}") for name in schema.names]
+    plan = column_plan(source)
+    values = [F.col(c) for c in plan.categories + plan.sensors]
+    nothing = reduce(lambda a, b: a & b, [f.isNull() for f in fields])
+    reason = (
+        F.when(nothing, "malformed")
+        .when(F.array_contains(F.array(*[v.isNull() for v in values]), True), "null value")
+        .when(invalid_record(plan, features), "unseen category")
+    )
+    return flat.select("key", "value", reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
 def stage_by_key(df: DataFrame, keys: Sequence[str], path: str) -> DataFrame:
     """Write the messages of known keys split by key, so that each branch reads its own part only."""
     df.filter(matched(keys)).select("key", "value").write.mode("overwrite").partitionBy("key").parquet(path)
