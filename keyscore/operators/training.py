@@ -25,14 +25,14 @@ from keyscore.functions.kernels import fourier_features
 from keyscore.operators.features import build_pipeline, feature_table
 from keyscore.records import StreamConfig, column_plan
 from keyscore.sources.registry import artefact_path, load_model, save_model
-from keyscore.storage import materialize, spread
+from keyscore.storage import materialize
 
 
 @contextmanager
 def shared(df: DataFrame) -> Iterator[DataFrame]:
     """Keep a table that several fits read; what does not fit in memory goes to disk, and what is
-    lost with an executor is computed again. A small table gets one partition per core first."""
-    df = spread(df).persist()
+    lost with an executor is computed again."""
+    df = df.persist()
     try:
         yield df
     finally:

@@ -24,8 +24,12 @@ SENSORS = ENDPOINT.sensors
 WIDTH = ENDPOINT.width
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+# Fits run many short jobs, several fits at a time: a small table gets a partition for half of the cores.
+FIT_SHARE = 0.5
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, share: float = 1.0) -> DataFrame:
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"), share)
 
 
 # --- the endpoint view ------------------------------------------------------------------
@@ -66,9 +70,9 @@ ENDPOINT_COLUMNS = {
 }
 
 
-def endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+def endpoints(spark: SparkSession, sf_dir: str, share: float = 1.0) -> DataFrame:
     """Flat endpoint records."""
-    return table(spark, sf_dir, "events").selectExpr(*[f"{e} AS {c}" for c, e in ENDPOINT_COLUMNS.items()])
+    return table(spark, sf_dir, "events", share).selectExpr(*[f"{e} AS {c}" for c, e in ENDPOINT_COLUMNS.items()])
 
 
 _columns_sql = ",\n  ".join(f"{e} AS {c}" for c, e in ENDPOINT_COLUMNS.items())
@@ -142,7 +146,7 @@ SCALED = (
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature table with fixed scales: uuid, key, label, features."""
-    wide = fixed_layout(endpoints(spark, sf_dir), ENDPOINT, vector=True)
+    wide = fixed_layout(endpoints(spark, sf_dir, FIT_SHARE), ENDPOINT, vector=True)
     return wide.select("uuid", "CurrentTime", "key", F.col("Result").alias("label"), "features")
 
 
@@ -216,7 +220,7 @@ def stream_configs() -> list[StreamConfig]:
 def stream_records(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     """Flat training records of one stream."""
     _, cats, sensors = STREAMS[key]
-    rows = endpoints(spark, sf_dir).filter(F.col("event_type") == key)
+    rows = endpoints(spark, sf_dir, FIT_SHARE / 2).filter(F.col("event_type") == key)
     renamed = [F.col(source).alias(name) for name, source in {**cats, **sensors}.items()]
     return rows.select("uuid", F.col("CurrentTime").alias("currentTime"), F.col("Result").alias("result"), *renamed)
 

@@ -105,7 +105,7 @@ def sink_svmlight(spark, sf_dir):
 def sink_model_save(spark, sf_dir):
     """Feature stages and a model saved, read back and applied: rows scored alike, by key."""
     plan, base = column_plan(ENDPOINT), fresh_path(spark, "models")
-    flat = ep.endpoints(spark, sf_dir).drop("event_type")
+    flat = ep.endpoints(spark, sf_dir, ep.FIT_SHARE).drop("event_type")
     stages = build_pipeline(plan).fit(flat)
     save_model(stages, artefact_path(base, "pipeline", "epd"))
     with shared(feature_table(flat, stages, plan)) as rows:

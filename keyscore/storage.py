@@ -25,13 +25,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/keyscore/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan with fewer splits than the cluster has cores one partition per core.
+def spread(df: DataFrame, share: float = 1.0) -> DataFrame:
+    """Give a scan with few splits one partition per core, or for a ``share`` of the cores.
 
-    A large input has more splits than cores and is returned as it is: it is never shuffled here.
+    A large input has more splits than that and is returned as it is: it is never shuffled here.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    wanted = max(int(df.sparkSession.sparkContext.defaultParallelism * share), 1)
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -26,7 +26,7 @@ PLAN = column_plan(SMALL)
 
 @pytest.fixture(scope="module")
 def records(spark):
-    return spark.createDataFrame(small_records(), RECORD_SCHEMA).cache()
+    return spark.createDataFrame(small_records(), RECORD_SCHEMA).coalesce(1).cache()
 
 
 @pytest.fixture(scope="module")

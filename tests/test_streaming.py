@@ -25,7 +25,7 @@ RESULT = "key string, uuid string, CurrentTime string, label int, prediction dou
 
 @pytest.fixture(scope="module")
 def job(spark):
-    records = spark.createDataFrame(small_records(), RECORD_SCHEMA)
+    records = spark.createDataFrame(small_records(), RECORD_SCHEMA).coalesce(1)
     plan = column_plan(SMALL)
     stages = build_pipeline(plan).fit(records)
     rows = feature_table(records, stages, plan).cache()
@@ -108,11 +108,11 @@ def test_each_stream_with_its_own_schema(spark, tmp_path):
         "hack": spark.createDataFrame(
             [(f"h{i}", "t", y, i % 3, c, y * 9.0 + i / 1000, x) for i, (y, c, x) in enumerate(rows)],
             f"{head}, disc31 int, disc32 int, sens31 double, sens32 double",
-        ),
+        ).coalesce(1),
         "clean": spark.createDataFrame(
             [(f"c{i}", "t", y, c, y * 4.0 + i / 1000) for i, (y, c, x) in enumerate(rows[:40])],
             f"{head}, discEE1 int, sensEE1 double",
-        ),
+        ).coalesce(1),
     }
     fit_per_stream(frames, STREAMS, str(tmp_path / "models"))
     registry = load_registry(STREAMS, str(tmp_path / "models"))

@@ -36,7 +36,7 @@ from tests.fixtures import STREAMS
 
 def table(spark, rows):
     df = spark.createDataFrame(rows, "uuid string, label int, x array<double>")
-    return df.select("uuid", "label", array_to_vector("x").alias("features")).cache()
+    return df.coalesce(2).select("uuid", "label", array_to_vector("x").alias("features")).cache()
 
 
 @pytest.fixture(scope="module")
@@ -174,8 +174,8 @@ def test_fit_per_stream(spark, tmp_path):
         clean.append((f"c{i}", "t", hot, i // 2 % 2, -hot * 5 + rng.random()))
     head = "uuid string, currentTime string, result int"
     frames = {
-        "hack": spark.createDataFrame(hack, f"{head}, disc31 int, disc32 int, sens31 double, sens32 double"),
-        "clean": spark.createDataFrame(clean, f"{head}, discEE1 int, sensEE1 double"),
+        "hack": spark.createDataFrame(hack, f"{head}, disc31 int, disc32 int, sens31 double, sens32 double").coalesce(1),
+        "clean": spark.createDataFrame(clean, f"{head}, discEE1 int, sensEE1 double").coalesce(1),
     }
     fit_per_stream(frames, STREAMS, str(tmp_path), kinds=("svc", "lr"))
     registry = load_registry(STREAMS, str(tmp_path))
