@@ -63,9 +63,11 @@ def fit_kmeans(df: DataFrame, k: int = 2, seed: int = 1, features: str = "featur
     return KMeans(k=k, seed=seed, featuresCol=features).fit(df)
 
 
-def fit_softmax_lr(df: DataFrame, max_iter: int = 100, features: str = "features"):
+def fit_softmax_lr(df: DataFrame, max_iter: int = 100, tol: float = 1e-6, features: str = "features"):
     """One dense softmax layer over two classes, solved as a convex problem."""
-    return LogisticRegression(family="multinomial", maxIter=max_iter, regParam=0.0, featuresCol=features).fit(df)
+    return LogisticRegression(
+        family="multinomial", maxIter=max_iter, tol=tol, regParam=0.0, featuresCol=features
+    ).fit(df)
 
 
 def fit_boosted_forest(

@@ -7,6 +7,7 @@ five streams of their own schema, keyed by event type.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.ml.functions import array_to_vector
@@ -249,10 +250,19 @@ def stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- staging ----------------------------------------------------------------------------------
 
 
-def stage(df: DataFrame, name: str, fmt: str = "json", files: int | None = None) -> str:
-    """Write a table to the shared folder; ``files`` spreads it over that many files."""
+def stage(df: DataFrame, name: str, fmt: str = "json") -> str:
+    """Write a table to the shared folder, one file per partition."""
     path = fresh_path(df.sparkSession, name)
-    if files:
-        df = df.repartition(files)
     df.write.format(fmt).save(path)
     return path
+
+
+# Streams over staged files take about a quarter of the files in each micro-batch, however many there are.
+MICRO_BATCHES = 4
+
+
+def files_per_batch(spark: SparkSession, path: str, fmt: str = "json") -> tuple[int, int]:
+    """(files of each micro-batch, number of micro-batches) for the staged files under ``path``."""
+    files = len(spark.read.format(fmt).schema("value string").load(path).inputFiles())
+    limit = max(math.ceil(files / MICRO_BATCHES), 1)
+    return limit, math.ceil(files / limit)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from keyscore.operators.evaluation import auc_by_round, report_rows, silhouette
+from keyscore.operators.evaluation import auc_by_round, report_rows
 from keyscore.operators.features import split_hash
 from keyscore.operators.routing import union_all
+from keyscore.operators.scoring import nearest_center
 from keyscore.operators.training import (
     FITS,
     fit_boosted_forest,
@@ -43,7 +45,6 @@ query("fit_logreg")(_held_out("lr", fit_logreg))
 query("fit_linear_svc")(_held_out("svc", fit_linear_svc))
 query("fit_random_forest")(_held_out("rf", fit_random_forest))
 query("fit_gbt")(_held_out("gbt", fit_gbt))
-query("fit_softmax_lr")(_held_out("softmax", fit_softmax_lr))
 query("fit_boosted_forest")(_held_out("boosted forest", fit_boosted_forest))
 query("fit_rbf_svm")(_held_out("rbf svm", lambda rows: fit_rbf_svm(rows, ep.WIDTH)))
 
@@ -58,12 +59,49 @@ def fit_xgb_style_gbt(spark, sf_dir):
     return union_all(*parts)
 
 
-@query("fit_kmeans")
+@query("fit_kmeans", "SELECT count(*) AS records, count(*) AS nearest, CAST(2 AS INT) AS clusters FROM events")
 def fit_kmeans_query(spark, sf_dir):
-    with shared(ep.vectors(spark, sf_dir).select("features")) as rows:
+    """Every record is in the cluster whose fitted centre is nearest."""
+    table = ep.vectors(spark, sf_dir).select("features")
+    with shared(table) as rows:
         model = fit_kmeans(rows)
-        quality = silhouette(model.transform(rows))
-        return quality.withColumn("clusters", F.lit(len(model.clusterCenters())))
+    clusters = model.clusterCenters()
+    both = nearest_center(model.copy({model.predictionCol: "cluster"}).transform(table), clusters)
+    return both.agg(
+        F.count("*").alias("records"), F.count_if(F.col("cluster") == F.col("prediction")).alias("nearest")
+    ).withColumn("clusters", F.lit(len(clusters)))
+
+
+_moments = " UNION ALL ".join(
+    f"SELECT CAST({i} AS INT) AS slot, round(avg(Result * f{i}), 6) AS moment, true AS met FROM slots" for i in range(ep.WIDTH)
+)
+
+
+@query(
+    "fit_softmax_lr",
+    f"WITH {ep.SLOTS} {_moments} UNION ALL SELECT CAST(-1 AS INT), round(avg(Result), 6), true FROM slots",
+)
+def fit_softmax_lr_query(spark, sf_dir):
+    """At the optimum the gradient is zero: the mean of p * feature is the mean of label * feature,
+    for every slot, and the mean of p that of the label (slot -1). ``met`` says that the fit's
+    moment is within 1e-6 of the label's."""
+    table = ep.vectors(spark, sf_dir)
+    with shared(table) as rows:
+        model = fit_softmax_lr(rows, max_iter=1000, tol=1e-10)
+    p = vector_to_array("probability")[1]
+    x = model.transform(table).select("label", p.alias("p"), vector_to_array("features").alias("x"))
+    means = []
+    for slot in range(-1, ep.WIDTH):
+        feature = F.lit(1.0) if slot < 0 else F.col("x")[slot]
+        moment, fitted = F.avg(F.col("label") * feature), F.avg(F.col("p") * feature)
+        means.append(
+            F.struct(
+                F.lit(slot).alias("slot"),
+                F.round(moment, 6).alias("moment"),
+                (F.abs(fitted - moment) < 1e-6).alias("met"),
+            )
+        )
+    return x.agg(F.array(*means).alias("m")).select(F.inline("m"))
 
 
 @query(

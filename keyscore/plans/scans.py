@@ -60,7 +60,7 @@ def identities(df):
 
 @query("src_kafka_stream", f"WITH {ep.EP} SELECT key, uuid, Result, sensor0 FROM ep")
 def src_kafka_stream(spark, sf_dir):
-    path = ep.stage(ep.messages(spark, sf_dir), "messages", files=4)
+    path = ep.stage(ep.messages(spark, sf_dir), "messages")
     rows, _ = drain(read_stream(spark, "json", {"path": path}), "received")
     return identities(rows)
 
@@ -78,21 +78,20 @@ def src_kafka_metadata(spark, sf_dir):
         F.pmod(event, F.lit(4)).cast("int").alias("partition"),
         F.expr("CAST(get_json_object(value, '$.uuid') AS BIGINT) DIV 4").alias("offset"),
     )
-    path = ep.stage(raw, "topic", fmt="parquet", files=4)
+    path = ep.stage(raw, "topic", fmt="parquet")
     stream = read_stream(spark, "parquet", {"path": path}, schema=raw.schema)
     rows, _ = drain(with_kafka_meta(stream), "received")
     return rows.select("key", F.get_json_object("value", "$.uuid").alias("uuid"), "partition", "offset")
 
 
-@query("src_rate_limit", "SELECT CAST(4 AS INT) AS batches, CAST(2 AS INT) AS sources_max, count(*) AS rows FROM events")
+@query("src_rate_limit", "SELECT count(*) AS rows, true AS limit_kept FROM events")
 def src_rate_limit(spark, sf_dir):
-    """8 files, 2 for each micro-batch."""
-    path = ep.stage(ep.messages(spark, sf_dir), "messages", files=8)
-    rows, run = drain(read_stream(spark, "json", {"path": path}, max_per_trigger=2), "received")
-    batches = [p for p in progress(run) if p["rows"]]
-    return rows.agg(F.count("*").alias("rows")).select(
-        F.lit(len(batches)).alias("batches"), F.lit(8 // max(len(batches), 1)).alias("sources_max"), "rows"
-    )
+    """All rows arrive, in as many micro-batches as the limit of files per batch makes."""
+    path = ep.stage(ep.messages(spark, sf_dir), "messages")
+    limit, expected = ep.files_per_batch(spark, path)
+    rows, run = drain(read_stream(spark, "json", {"path": path}, max_per_trigger=limit), "received")
+    batches = sum(1 for p in progress(run) if p["rows"])
+    return rows.agg(F.count("*").alias("rows")).withColumn("limit_kept", F.lit(batches == expected))
 
 
 # --- feature files -------------------------------------------------------------------------------

@@ -19,14 +19,14 @@ from keyscore.storage import fresh_path
 from keyscore.streaming.jobs import idempotent_writer, write_foreach_batch
 
 
-def _stream(spark, sf_dir, files=4, **kwargs):
-    path = ep.stage(ep.messages(spark, sf_dir), "messages", files=files)
-    return read_stream(spark, "json", {"path": path}, **kwargs)
+def _stream(spark, sf_dir):
+    path = ep.stage(ep.messages(spark, sf_dir), "messages")
+    return read_stream(spark, "json", {"path": path}, max_per_trigger=ep.files_per_batch(spark, path)[0])
 
 
 @query("sink_kafka_append", f"WITH {ep.EP} SELECT key, uuid, Result, sensor0 FROM ep")
 def sink_kafka_append(spark, sf_dir):
-    rows, _ = drain(_stream(spark, sf_dir, max_per_trigger=2), "appended")
+    rows, _ = drain(_stream(spark, sf_dir), "appended")
     return identities(rows)
 
 
@@ -53,7 +53,7 @@ def sink_exactly_once(spark, sf_dir):
         write(batch, batch_id)
 
     write_foreach_batch(
-        _stream(spark, sf_dir, max_per_trigger=2), twice, fresh_path(spark, "checkpoint"), available_now=True
+        _stream(spark, sf_dir), twice, fresh_path(spark, "checkpoint"), available_now=True
     ).awaitTermination()
     return identities(spark.read.parquet(out))
 

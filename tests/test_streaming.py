@@ -6,6 +6,7 @@ from keyscore.operators.features import build_pipeline, feature_table
 from keyscore.operators.routing import score_multi_model, score_multi_schema, stage_by_key
 from keyscore.operators.training import fit_linear_svc, fit_logreg, fit_per_stream
 from keyscore.records import MESSAGE_SCHEMA, column_plan
+from keyscore.sources.documents import read_documents
 from keyscore.sources.registry import load_registry
 from keyscore.sources.streams import read_stream
 from keyscore.streaming.jobs import (
@@ -151,3 +152,11 @@ def test_each_stream_with_its_own_schema(spark, tmp_path):
     got = [sorted((r.key, r.uuid, r.label, r.prediction) for r in way.collect()) for way in ways]
     assert got[0] == got[1] == got[2] and len(got[0]) == 160
     assert all(label == prediction for _, _, label, prediction in got[0])
+
+
+def test_sources_that_need_a_connector(spark):
+    """The options are passed on; without its jar Spark does not find the source."""
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_stream(spark, options={"kafka.bootstrap.servers": "localhost:1", "subscribe": "t"}, max_per_trigger=5)
+    with pytest.raises(Exception, match="(?i)mongodb"):
+        read_documents(spark, "", fmt="mongodb", connection="none")
