@@ -82,17 +82,24 @@ def auc_score(df: DataFrame, score: str = "score") -> DataFrame:
     return df.sparkSession.createDataFrame([(auc_score_value(df, score),)], "auc double")
 
 
-def margins_by_round(df: DataFrame, model) -> DataFrame:
-    """Margin after each round of a boosted-tree model, as ``margin0, margin1, ...`` after the columns.
+def boosting_rounds(model, step: float = 1.0) -> list[tuple[object, float]]:
+    """(model of the round, its weight) of a boosted-tree model, or of a boosted forest with its step."""
+    if hasattr(model, "treeWeights"):
+        return list(zip(model.trees, model.treeWeights))
+    return [(stage, step) for stage in model.stages if hasattr(stage, "trees")]
 
-    Every tree runs once over each row; a round's margin adds its tree to the round before.
+
+def margins_by_round(df: DataFrame, model, step: float = 1.0) -> DataFrame:
+    """Margin after each boosting round, as ``margin0, margin1, ...`` after the columns.
+
+    Every round runs once over each row; its margin adds to that of the round before.
     """
-    out, margin = df, F.lit(0.0)
-    for i, (tree, weight) in enumerate(zip(model.trees, model.treeWeights)):
-        out = tree.copy().setPredictionCol(f"_tree{i}").transform(out)
+    out, margin, rounds = df, F.lit(0.0), boosting_rounds(model, step)
+    for i, (part, weight) in enumerate(rounds):
+        out = part.copy().setPredictionCol(f"_tree{i}").transform(out)
         margin = margin + F.lit(float(weight)) * F.col(f"_tree{i}")
         out = out.withColumn(f"margin{i}", margin)
-    return out.select(*df.columns, *[f"margin{i}" for i in range(len(model.treeWeights))])
+    return out.select(*df.columns, *[f"margin{i}" for i in range(len(rounds))])
 
 
 def forest_votes(df: DataFrame, model) -> DataFrame:
@@ -106,14 +113,14 @@ def forest_votes(df: DataFrame, model) -> DataFrame:
     return out.select(*df.columns, "vote")
 
 
-def auc_by_round(df: DataFrame, model) -> DataFrame:
+def auc_by_round(df: DataFrame, model, step: float = 1.0, features: str = "features") -> DataFrame:
     """AUC of the scores after each boosting round.
 
     Few distinct margins exist (one per combination of leaves), so the rows are first counted by
     label and margins; the rounds then work on those counts.
     """
-    margins = margins_by_round(df.select("label", model.getFeaturesCol()), model).drop(model.getFeaturesCol())
-    rounds = len(model.treeWeights)
+    margins = margins_by_round(df.select("label", features), model, step).drop(features)
+    rounds = len(margins.columns) - 1
     counts = margins.groupBy(*margins.columns).agg(F.count("*").alias("_weight")).persist()
     try:
         rows = []
@@ -154,7 +161,7 @@ def importances(spark, model_path: str, names: DataFrame | None = None) -> DataF
     """Split count, mean gain and mean cover of each feature, from the nodes of a saved tree ensemble.
 
     Cover is the mean number of training rows at the split. ``names`` (slot, name, type) adds the
-    feature's name.
+    feature's name. The path may name several ensembles (``.../stages/*Forest*`` of a boosted forest).
     """
     nodes = spark.read.parquet(f"{model_path}/data")
     node = "nodeData" if "nodeData" in nodes.columns else None

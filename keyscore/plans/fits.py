@@ -45,10 +45,24 @@ query("fit_logreg")(_held_out("lr", fit_logreg))
 query("fit_linear_svc")(_held_out("svc", fit_linear_svc))
 query("fit_random_forest")(_held_out("rf", fit_random_forest))
 query("fit_gbt")(_held_out("gbt", fit_gbt))
-query("fit_boosted_forest")(_held_out("boosted forest", fit_boosted_forest))
 query("fit_rbf_svm")(_held_out("rbf svm", lambda rows: fit_rbf_svm(rows, ep.WIDTH)))
 
 
+@query("fit_boosted_forest")
+def fit_boosted_forest_query(spark, sf_dir):
+    """Quality on held-out records, and the AUC of the scores after each round."""
+    train, test = split_hash(ep.vectors(spark, sf_dir), "uuid", 20)
+    with shared(train.select("features", "label")) as rows:
+        model = fit_boosted_forest(rows)
+    rounds = auc_by_round(test, model).select(
+        F.lit("epd").alias("stream"),
+        F.lit("boosted forest").alias("model"),
+        F.concat(F.lit("auc round "), F.col("round").cast("string")).alias("metric"),
+        F.col("auc").alias("value"),
+    )
+    return union_all(report_rows(model.transform(test), "epd", "boosted forest"), rounds)
+
+
 @query("fit_xgb_style_gbt")
 def fit_xgb_style_gbt(spark, sf_dir):
     """Five rounds of depth 3: AUC of the scores after each round, on train and test."""

@@ -37,12 +37,12 @@ RECORD_SCHEMA = (
 
 STREAMS = [
     StreamConfig(
-        key="hack",
-        name="hacker",
-        cont=(Sensor(21, "sens31"), Sensor(22, "sens32")),
-        disc=(Category(16, "disc31", 3), Category(17, "disc32", 2)),
+        key="press",
+        name="pressing",
+        cont=(Sensor(21, "heat"), Sensor(22, "flow")),
+        disc=(Category(16, "mode", 3), Category(17, "lid", 2)),
     ),
-    StreamConfig(key="clean", name="clean", cont=(Sensor(1, "sensEE1"),), disc=(Category(2, "discEE1", 2),)),
+    StreamConfig(key="wash", name="wash", cont=(Sensor(1, "weight"),), disc=(Category(2, "grade", 2),)),
 ]
 
 __all__ = ["ENDPOINT", "RECORD_SCHEMA", "SMALL", "STREAMS", "message", "small_records"]

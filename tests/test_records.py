@@ -28,11 +28,11 @@ def test_feature_names(spark):
 
 def test_stream_schema_and_columns():
     schema = record_schema(STREAMS[0])
-    assert schema["categories"].dataType.names == ["disc31", "disc32"]
+    assert schema["categories"].dataType.names == ["mode", "lid"]
     plan = column_plan(STREAMS[0])
-    assert plan.encoded == ["disc31Vec", "disc32Vec"]
-    assert plan.assembled == ["disc31Vec", "disc32Vec", "sens31", "sens32"]
-    assert set(plan.dropped) >= set(plan.assembled) | {"disc31", "unscaled"}
+    assert plan.encoded == ["modeVec", "lidVec"]
+    assert plan.assembled == ["modeVec", "lidVec", "heat", "flow"]
+    assert set(plan.dropped) >= set(plan.assembled) | {"mode", "unscaled"}
 
 
 @pytest.mark.parametrize(
@@ -63,36 +63,36 @@ def test_fixed_layout_brute_force(spark):
 
 MASTER = """
 config:
-- equipName: hack
-  fileName: hack03
-  taktTime: 2000
-  offsetDelay: 700
-  consumerTopic: hack
-  producerTopic: factory
+- equipName: press
+  fileName: press07
+  taktTime: 1500
+  offsetDelay: 250
+  consumerTopic: press
+  producerTopic: plant
 """
 STREAM = """
 alrt:
-- {alarm: 780.0, atype: warn, id: 10, incr: false, name: warn2, warn: 340.0}
+- {alarm: 95.0, atype: alarm, id: 3, incr: true, name: hot, warn: 80.0}
 cont:
-- {dist: uni, id: 21, max: 10.0, min: 0.0, name: sens31, neg1: 5.0, neg2: 10.0, pos1: 1.0, pos2: 5.0}
+- {dist: norm, id: 1, max: 120.0, min: 5.0, name: heat, neg1: 70.0, neg2: 6.0, pos1: 40.0, pos2: 8.0}
 disc:
-- {id: 16, levels: "off, hold, run", name: disc31, neg: "0.6, 0.4, 0.0", num: 3, pos: "0.2, 0.2, 0.6"}
-err: 0.1
-name: hacker
-success: 0.45
+- {id: 2, levels: "idle, slow, fast", name: mode, neg: "0.5, 0.3, 0.2", num: 3, pos: "0.1, 0.3, 0.6"}
+err: 0.05
+name: pressing
+success: 0.7
 """
 
 
 def test_load_config(spark, tmp_path):
     pytest.importorskip("yaml")
     (tmp_path / "epdsim.yml").write_text(MASTER)
-    (tmp_path / "hack03.yml").write_text(STREAM)
+    (tmp_path / "press07.yml").write_text(STREAM)
     (stream,) = load_config(spark, str(tmp_path))
-    assert (stream.key, stream.name, stream.offset_delay) == ("hack", "hacker", 700)
-    assert stream.cont[0].max == 10.0 and stream.disc[0].num == 3 and stream.alrt[0].incr is False
+    assert (stream.key, stream.name, stream.offset_delay) == ("press", "pressing", 250)
+    assert stream.cont[0].max == 120.0 and stream.disc[0].num == 3 and stream.alrt[0].incr is True
     tables = config_tables(spark, [stream])
-    assert tables["disc"].first().levels == "off, hold, run"
-    assert tables["stream"].first().producer_topic == "factory"
+    assert tables["disc"].first().levels == "idle, slow, fast"
+    assert tables["stream"].first().producer_topic == "plant"
     assert tables["alrt"].count() == tables["cont"].count() == 1
 
 

@@ -106,13 +106,13 @@ def test_each_stream_with_its_own_schema(spark, tmp_path):
     head = "uuid string, currentTime string, result int"
     rows = [(i % 2, i // 2 % 2, float(i)) for i in range(120)]
     frames = {
-        "hack": spark.createDataFrame(
+        "press": spark.createDataFrame(
             [(f"h{i}", "t", y, i % 3, c, y * 9.0 + i / 1000, x) for i, (y, c, x) in enumerate(rows)],
-            f"{head}, disc31 int, disc32 int, sens31 double, sens32 double",
+            f"{head}, mode int, lid int, heat double, flow double",
         ).coalesce(1),
-        "clean": spark.createDataFrame(
+        "wash": spark.createDataFrame(
             [(f"c{i}", "t", y, c, y * 4.0 + i / 1000) for i, (y, c, x) in enumerate(rows[:40])],
-            f"{head}, discEE1 int, sensEE1 double",
+            f"{head}, grade int, weight double",
         ).coalesce(1),
     }
     fit_per_stream(frames, STREAMS, str(tmp_path / "models"))
@@ -124,10 +124,10 @@ def test_each_stream_with_its_own_schema(spark, tmp_path):
         )
         return frames[key].select(F.lit(key).alias("key"), F.to_json(record).alias("value"))
 
-    messages = texts("hack", ["disc31", "disc32"], ["sens31", "sens32"]).unionByName(
-        texts("clean", ["discEE1"], ["sensEE1"])
+    messages = texts("press", ["mode", "lid"], ["heat", "flow"]).unionByName(
+        texts("wash", ["grade"], ["weight"])
     )
-    strange = spark.createDataFrame([("hacker", "{}"), (None, "x")], MESSAGE_SCHEMA)
+    strange = spark.createDataFrame([("pressing", "{}"), (None, "x")], MESSAGE_SCHEMA)
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     messages.unionByName(strange).repartition(3).write.json(source)
     run = run_multi_schema(

@@ -98,7 +98,11 @@ def test_boosted_forest(ring, tmp_path):
     again = PipelineModel.load(save_model(model, str(tmp_path / "forest")))
     pairs = scored.select("uuid", "margin").collect(), again.transform(ring).select("uuid", "margin").collect()
     assert sorted(map(tuple, pairs[0])) == sorted(map(tuple, pairs[1]))
-    assert len([s for s in model.stages if hasattr(s, "trees")]) == 3
+    rounds = auc_by_round(ring, model).orderBy("round").collect()
+    assert len(rounds) == 3 and rounds[2].auc == pytest.approx(auc_score(scored, "margin").first().auc)
+    table = importances(ring.sparkSession, str(tmp_path / "forest" / "stages" / "*Forest*"))
+    text = "".join(s.toDebugString for s in model.stages if hasattr(s, "trees"))
+    assert {r.slot: r.splits for r in table.collect()} == {s: text.count(f"If (feature {s} ") for s in (0, 1)}
 
 
 def test_boosted_rounds(ring):
@@ -167,20 +171,20 @@ def test_auc_with_ties_brute_force(spark):
 
 def test_fit_per_stream(spark, tmp_path):
     rng = random.Random(11)
-    hack, clean = [], []
+    press, wash = [], []
     for i in range(200):
         hot = i % 2
-        hack.append((f"h{i}", "t", hot, i % 3, i // 2 % 2, hot * 10 + rng.random(), rng.random()))
-        clean.append((f"c{i}", "t", hot, i // 2 % 2, -hot * 5 + rng.random()))
+        press.append((f"h{i}", "t", hot, i % 3, i // 2 % 2, hot * 10 + rng.random(), rng.random()))
+        wash.append((f"c{i}", "t", hot, i // 2 % 2, -hot * 5 + rng.random()))
     head = "uuid string, currentTime string, result int"
     frames = {
-        "hack": spark.createDataFrame(hack, f"{head}, disc31 int, disc32 int, sens31 double, sens32 double").coalesce(1),
-        "clean": spark.createDataFrame(clean, f"{head}, discEE1 int, sensEE1 double").coalesce(1),
+        "press": spark.createDataFrame(press, f"{head}, mode int, lid int, heat double, flow double").coalesce(1),
+        "wash": spark.createDataFrame(wash, f"{head}, grade int, weight double").coalesce(1),
     }
     fit_per_stream(frames, STREAMS, str(tmp_path), kinds=("svc", "lr"))
     registry = load_registry(STREAMS, str(tmp_path))
-    assert (tmp_path / "svc-spark-hacker").exists() and set(registry) == {"hack", "clean"}
+    assert (tmp_path / "svc-spark-pressing").exists() and set(registry) == {"press", "wash"}
     for key, entry in registry.items():
         scored = entry.model.transform(entry.features.transform(frames[key].withColumnRenamed("result", "label")))
         assert accuracy(scored).first().accuracy == 1.0
-    assert set(load_models({"LR": "lr", "SVC": "svc"}, str(tmp_path), "clean")) == {"LR", "SVC"}
+    assert set(load_models({"LR": "lr", "SVC": "svc"}, str(tmp_path), "wash")) == {"LR", "SVC"}
