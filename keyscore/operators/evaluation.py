@@ -9,6 +9,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keyscore.storage import materialize
+
 
 def group_count(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.groupBy(*cols).agg(F.count("*").alias("count"))
@@ -117,20 +119,17 @@ def auc_by_round(df: DataFrame, model, step: float = 1.0, features: str = "featu
     """AUC of the scores after each boosting round.
 
     Few distinct margins exist (one per combination of leaves), so the rows are first counted by
-    label and margins; the rounds then work on those counts.
+    label and margins and written; the rounds then read those counts.
     """
     margins = margins_by_round(df.select("label", features), model, step).drop(features)
     rounds = len(margins.columns) - 1
-    counts = margins.groupBy(*margins.columns).agg(F.count("*").alias("_weight")).persist()
-    try:
-        rows = []
-        for i in range(rounds):
-            evaluator = BinaryClassificationEvaluator(
-                rawPredictionCol=f"margin{i}", labelCol="label", weightCol="_weight", numBins=0
-            )
-            rows.append((i, evaluator.evaluate(counts)))
-    finally:
-        counts.unpersist()
+    counts = materialize(margins.groupBy(*margins.columns).agg(F.count("*").alias("_weight")), "margins")
+    rows = []
+    for i in range(rounds):
+        evaluator = BinaryClassificationEvaluator(
+            rawPredictionCol=f"margin{i}", labelCol="label", weightCol="_weight", numBins=0
+        )
+        rows.append((i, evaluator.evaluate(counts)))
     return df.sparkSession.createDataFrame(rows, "round int, auc double")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from keyscore.functions.kernels import nearest, rbf_margin, rbf_margin_from_files
 from keyscore.functions.scalar import argmax2, logistic, weighted_sum
 from keyscore.sources.documents import SvmParams
-from keyscore.storage import fresh_path
+from keyscore.storage import fresh_path, shared
 
 # Support vectors up to this many bytes travel to the executors with the kernel.
 IN_MEMORY_BYTES = 64 << 20
@@ -80,19 +80,19 @@ def score_rbf_svm(
     travels with the kernel; a larger one is written to the shared folder once and each batch of
     rows reads it block by block. Neither way pairs rows with vectors in a join.
     """
-    size = sv_df.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("d")).first()
-    if not size.n:
-        raise ValueError("the model has no support vectors")
     x = _as_array(df, features)
-    if size.n * (size.d + 1) * 8 <= in_memory_bytes:
-        rows = sv_df.select(F.col("coef").cast("double"), F.col("vector").cast("array<double>")).toPandas()
-        margin = rbf_margin(x, rows["coef"].to_numpy(), np.vstack(rows["vector"].to_numpy()), gamma, rho)
-    else:
-        path = fresh_path(df.sparkSession, "support-vectors")
-        sv_df.select(
-            F.col("coef").cast("double").alias("coef"), F.col("vector").cast("array<double>").alias("vector")
-        ).write.parquet(path)
-        margin = rbf_margin_from_files(x, path, size.d, gamma, rho)
+    typed = sv_df.select(F.col("coef").cast("double").alias("coef"), F.col("vector").cast("array<double>").alias("vector"))
+    with shared(typed) as model:
+        size = model.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("d")).first()
+        if not size.n:
+            raise ValueError("the model has no support vectors")
+        if size.n * (size.d + 1) * 8 <= in_memory_bytes:
+            rows = model.toPandas()
+            margin = rbf_margin(x, rows["coef"].to_numpy(), np.vstack(rows["vector"].to_numpy()), gamma, rho)
+        else:
+            path = fresh_path(df.sparkSession, "support-vectors")
+            model.write.parquet(path)
+            margin = rbf_margin_from_files(x, path, size.d, gamma, rho)
     scored = df.withColumn("margin", margin)
     return scored.withColumn("prediction", F.when(F.col("margin") > 0, labels[0]).otherwise(labels[1]))
 

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
 from functools import partial
 
 import numpy as np
@@ -25,18 +24,7 @@ from keyscore.functions.kernels import fourier_features
 from keyscore.operators.features import build_pipeline, feature_table
 from keyscore.records import StreamConfig, column_plan
 from keyscore.sources.registry import artefact_path, load_model, save_model
-from keyscore.storage import materialize
-
-
-@contextmanager
-def shared(df: DataFrame) -> Iterator[DataFrame]:
-    """Keep a table that several fits read; what does not fit in memory goes to disk, and what is
-    lost with an executor is computed again."""
-    df = df.persist()
-    try:
-        yield df
-    finally:
-        df.unpersist()
+from keyscore.storage import materialize, shared
 
 
 def fit_logreg(df: DataFrame, max_iter: int = 100, reg: float = 0.02, elastic: float = 0.8, features: str = "features"):

@@ -19,13 +19,13 @@ from keyscore.operators.evaluation import (
 )
 from keyscore.operators.features import feature_names
 from keyscore.operators.scoring import nearest_center
-from keyscore.operators.training import fit_gbt, fit_kmeans, fit_logreg, shared
+from keyscore.operators.training import fit_gbt, fit_kmeans, fit_logreg
 from keyscore.plans import endpoints as ep
 from keyscore.plans.catalog import query
 from keyscore.plans.scores import CENTERS, NEAREST
 from keyscore.records import ENDPOINT
 from keyscore.sources.registry import save_model
-from keyscore.storage import fresh_path
+from keyscore.storage import fresh_path, shared
 
 
 @query("agg_group_count", f"WITH {ep.EP} SELECT Result, count(*) AS count FROM ep GROUP BY Result")

@@ -21,12 +21,11 @@ from keyscore.operators.training import (
     fit_rbf_svm,
     fit_softmax_lr,
     reload_parity,
-    shared,
 )
 from keyscore.plans import endpoints as ep
 from keyscore.plans.catalog import query
 from keyscore.sources.registry import load_registry
-from keyscore.storage import fresh_path
+from keyscore.storage import fresh_path, shared
 
 
 def _held_out(name, fit):

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from keyscore.operators.evaluation import forest_votes, margins_by_round
 from keyscore.operators.scoring import nearest_center, score, score_linear, score_rbf_svm, score_softmax
-from keyscore.operators.training import fit_gbt, fit_random_forest, shared
+from keyscore.operators.training import fit_gbt, fit_random_forest
 from keyscore.plans import endpoints as ep
 from keyscore.plans.catalog import query
+from keyscore.storage import shared
 
 SLOT_NAMES = [f"f{i}" for i in range(ep.WIDTH)]
 # parameters of the closed forms, from a rule: small weights, and slot 0 carries the signal

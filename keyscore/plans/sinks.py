@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from keyscore.functions.scalar import emit_json
 from keyscore.operators.evaluation import report_rows
 from keyscore.operators.features import build_pipeline, feature_table
-from keyscore.operators.training import fit_logreg, shared
+from keyscore.operators.training import fit_logreg
 from keyscore.plans import endpoints as ep
 from keyscore.plans.catalog import query
 from keyscore.plans.scans import drain, identities, labelled
@@ -15,7 +15,7 @@ from keyscore.records import ENDPOINT, column_plan
 from keyscore.sources.registry import artefact_path, load_model, save_model
 from keyscore.sources.sinks import REPORT_SCHEMA, preview, to_feature_csv, to_messages, to_svmlight, write_report
 from keyscore.sources.streams import read_stream
-from keyscore.storage import fresh_path
+from keyscore.storage import fresh_path, shared
 from keyscore.streaming.jobs import idempotent_writer, write_foreach_batch
 
 

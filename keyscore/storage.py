@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +36,17 @@ def spread(df: DataFrame, share: float = 1.0) -> DataFrame:
     return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
+@contextmanager
+def shared(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep a table that several jobs read; what does not fit in memory goes to disk, and what is
+    lost with an executor is computed again."""
+    df = df.persist()
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, so that later jobs start from files."""
     path = fresh_path(df.sparkSession, name)
