@@ -22,7 +22,7 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 NATIONAL_ID = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
-ACCOUNT = re.compile(r"(?<![0-9A-Za-z.+-])[0-9]{8,12}(?![0-9A-Za-z.-])")
+ACCOUNT = re.compile(r"(?<![0-9A-Za-z.+-])[0-9]{8,12}(?![0-9A-Za-z-]|\.[0-9])")
 
 #: Words that raise the score of a kind if one of them stands within CONTEXT code points before the span or
 #: half as many behind it; fixed values.
