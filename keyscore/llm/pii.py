@@ -38,7 +38,7 @@ CONTEXT_WORDS = {
 #: Words that lower the score of every kind.
 DOUBT_WORDS = ("example", "sample", "test", "version", "invoice", "isbn", "order", "dummy")
 #: Score of a pattern's match before checksum and context.
-PATTERN_SCORE = {"email": 0.7, "ip": 0.6, "card": 0.5, "phone": 0.6, "iban": 0.3, "national_id": 0.4, "account": 0.1}
+PATTERN_SCORE = {"email": 0.7, "ip": 0.6, "card": 0.5, "phone": 0.6, "iban": 0.3, "national_id": 0.4, "account": 0.2}
 CHECKSUM_BONUS, CONTEXT_BONUS, DOUBT_MALUS = 0.45, 0.35, 0.25
 CONTEXT = 48
 WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)?")
