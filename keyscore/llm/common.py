@@ -83,7 +83,9 @@ def powers(base: int, n: int) -> np.ndarray:
     """base**0 to base**(n-1) modulo 2**64."""
     have = _POWERS.get(base)
     if have is None or len(have) < n:
-        have = np.cumprod(np.concatenate(([1], np.full(max(n, 1 << 16), base, np.uint64))).astype(np.uint64), dtype=np.uint64)
+        have = np.full(max(n, 1 << 16), base, np.uint64)
+        have[0] = 1
+        have = np.cumprod(have, dtype=np.uint64)
         _POWERS[base] = have
     return have[:n]
 
