@@ -6,7 +6,7 @@ import importlib
 
 from keyscore.llm.common import QUERIES, SQL
 
-for _module in ("pii", "bpe", "rules", "quality", "lattice", "toolcalls", "decontaminate", "lines", "substrings"):
+for _module in ("pii", "bpe", "rules", "quality", "lattice", "toolcalls", "decontaminate", "lines", "substrings", "jaccard"):
     importlib.import_module(f"keyscore.llm.{_module}")
 
 __all__ = ["QUERIES", "SQL"]
