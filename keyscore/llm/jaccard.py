@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keyscore.llm.common import chunks, flat_bytes, query, shingles, table, word_hashes
@@ -63,8 +63,8 @@ def sets_of(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, int]]:
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """Rows of kind 0 (id: ``doc``, ``n`` its elements, ``node`` its set) for each row of ``docs``, and of kind 1 (``node`` a shingle
-    that several documents of a task have, ``n`` of how many)."""
+    """Rows of kind 0 (``doc``, ``hash``, ``node`` the name of its set, ``n`` its elements) for each row of ``docs``, and of
+    kind 1 (``node`` a shingle that several documents of a task have, ``n`` of how many)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -78,30 +78,32 @@ def describe(docs: DataFrame) -> DataFrame:
             many = count >= SEEN
             held.clear()
             found = every[head[many]].view(np.int64)
-            return frame(1, np.zeros(len(found), np.int64), found, count[many])
+            return frame(1, np.zeros(len(found), np.int64), np.zeros(len(found), np.int64), found, count[many])
 
-        def frame(kind: int, doc: np.ndarray, node: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            arrays = [pa.array(np.full(len(doc), kind), pa.int32()), pa.array(doc, pa.int64()), pa.array(node, pa.int64()), pa.array(n, pa.int64())]
-            return pa.RecordBatch.from_arrays(arrays, ["kind", "doc", "node", "n"])
+        def frame(kind: int, doc: np.ndarray, text: np.ndarray, node: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            arrays = [pa.array(np.full(len(doc), kind), pa.int32()), pa.array(doc, pa.int64()), pa.array(text, pa.int64()), pa.array(node, pa.int64()), pa.array(n, pa.int64())]
+            return pa.RecordBatch.from_arrays(arrays, ["kind", "doc", "hash", "node", "n"])
 
         for batch in batches:
             ids = batch.column("doc").to_pylist()
-            doc, node, n = [], [], []
+            texts_in = batch.column("hash").to_pylist()
+            doc, text, node, n = [], [], [], []
             for i, own, name in sets_of(batch):
                 doc.append(ids[i])
+                text.append(texts_in[i])
                 node.append(name)
                 n.append(len(own))
                 if name and name not in seen:
                     seen.add(name)
                     held.append(own)
                     load += len(own)
-            yield frame(0, np.array(doc, np.int64), np.array(node, np.int64), np.array(n, np.int64))
+            yield frame(0, np.array(doc, np.int64), np.array(text, np.int64), np.array(node, np.int64), np.array(n, np.int64))
             if load > 8_000_000:
                 yield often()
                 load = 0
         yield often()
 
-    return docs.mapInArrow(run, "kind int, doc long, node long, n long")
+    return docs.withColumn("hash", F.xxhash64("text")).mapInArrow(run, "kind int, doc long, hash long, node long, n long")
 
 
 def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], buckets: int) -> DataFrame:
@@ -279,7 +281,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` and ``node`` for each row of ``docs``.
+    """``doc_id``, ``n_shingles``, ``component_id``, ``node`` and ``text_hash`` for each row of ``docs``.
 
     Words are lower-cased (A-Z) and split at blanks; a document's set holds its distinct shingles of five words, or all
     its words as one if there are fewer. Rows link when 100 * overlap >= 75 * union of their sets; component_id is the
@@ -290,7 +292,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID).cast("long")).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
     described = materialize(describe(docs), "jaccard-described")
-    sets = described.where("kind = 0").select("doc", "node", "n")
+    sets = described.where("kind = 0").select("doc", "hash", "node", "n")
     often = described.where("kind = 1").groupBy("node").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "node").limit(FREQUENT).collect()
     hashes, counts = np.array([r.node for r in often], np.int64).view(np.uint64), np.array([r.n for r in often], np.int64)
     order = np.argsort(hashes)
@@ -336,10 +338,24 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     named = names.join(least, "part").select("node", "component_id")
     out = sets.join(named, "node", "left")
     return out.select(
-        real.alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("node") == 0, real).otherwise(F.col("component_id")).alias("component_id"), "node"
+        real.alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("node") == 0, real).otherwise(F.col("component_id")).alias("component_id"), "node", F.col("hash").alias("text_hash")
     )
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest doc_id (a null one is the largest), then of the
+    smallest hash of the text, and one of rows that are equal in both. Texts without words all stay."""
+    found = similar_documents(docs)
+    place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), F.col("text_hash").alias("hash"))
+    some = found.where("node <> 0").withColumn("part", F.coalesce(F.col("component_id"), F.col("node")))
+    least = some.groupBy("part").agg(F.min(place).alias("least")).select(F.col("least.doc").alias("_doc"), F.col("least.hash").alias("_hash")).withColumn("_some", F.lit(True))
+    empty = found.where("node = 0").select(place.alias("p")).select(F.col("p.doc").alias("_doc"), F.col("p.hash").alias("_hash")).distinct().withColumn("_some", F.lit(False))
+    key = [F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("_doc"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash")]
+    rows_in = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), *key).join(least.unionByName(empty), ["_doc", "_hash"])
+    first = F.row_number().over(Window.partitionBy("_doc", "_hash").orderBy("_doc"))
+    return rows_in.withColumn("_number", first).where("not _some or _number = 1").select("_row.*")
+
+
 @query("op2_ngram_jaccard")
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar_documents(table(spark, sf_dir, "documents"))
+    return similar_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")

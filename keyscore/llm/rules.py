@@ -88,32 +88,37 @@ def repeated_words(w: Column) -> Column:
     return let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(twice(h)))
 
 
-def text_statistics(docs: DataFrame) -> DataFrame:
-    """``doc_id``, the counts ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words`` and
-    ``n_distinct_words`` (long) for each row of ``docs``.
-
-    A null text counts as empty, for which all counts are 0. Each row is looked at for itself, so repeated rows and ids
-    do no harm; other columns are not read. A text's words stay in its row: nothing is shuffled, so a text or a source
-    that is frequent costs no more than others.
-    """
-    text = F.coalesce(F.col("text"), F.lit(""))
+def counts_of(text: Column) -> Column:
+    """The counts of ``text_statistics`` as a struct; ``text`` is not null."""
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
-    counts = let(
-        words(text),
-        lambda w: F.struct(
-            F.size(w).cast("long").alias("n_words"),
-            repeated_words(w).cast("long").alias("n_repeat_words"),
-            F.size(F.array_distinct(w)).cast("long").alias("n_distinct_words"),
-        ),
+    by_word = lambda w: F.struct(
+        F.size(w).cast("long").alias("n_words"),
+        repeated_words(w).cast("long").alias("n_repeat_words"),
+        F.size(F.array_distinct(w)).cast("long").alias("n_distinct_words"),
     )
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+    return F.struct(
         F.length(F.translate(text, BLANKS, "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        F.greatest(F.size(F.split(text, "\n")), F.lit(1)).cast("long").alias("n_lines"),
-        counts.alias("counts"),
-    ).select("doc_id", "counts.n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "counts.n_repeat_words", "counts.n_distinct_words")
+        F.size(F.split(text, "\n")).cast("long").alias("n_lines"),
+        let(words(text), by_word).alias("by_word"),
+    )
+
+
+def counted(docs: DataFrame, *more: Column) -> DataFrame:
+    rows = docs.select(*more, counts_of(F.coalesce(F.col("text"), F.lit(""))).alias("counts"))
+    return rows.select(*(c for c in rows.columns if c != "counts"), "counts.*").select("*", "by_word.*").drop("by_word")
+
+
+def text_statistics(docs: DataFrame) -> DataFrame:
+    """``doc_id``, the counts ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_lines``, ``n_repeat_words``
+    and ``n_distinct_words`` (long) for each row of ``docs``.
+
+    A null text counts as empty, for which all counts but that of lines (1) are 0. Each row is looked at for itself, so
+    repeated rows and ids do no harm; other columns are not read. A text's words stay in its row: nothing is shuffled, so
+    a text or a source that is frequent costs no more than others.
+    """
+    return counted(docs, F.col("doc_id").cast("long").alias("doc_id"))
 
 
 def with_features(stats: DataFrame) -> DataFrame:
@@ -251,6 +256,12 @@ def judge(features: DataFrame, rules: list[Rule]) -> DataFrame:
     )
 
 
+def keep_good(docs: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The rows of ``docs`` that neither the base rules nor ``rules`` reject, with all their columns."""
+    rows = with_features(counted(docs, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")))
+    return judge(rows, rules).where("kept").select("row.*")
+
+
 @query("op7_quality_rules")
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = with_features(materialize(text_statistics(table(spark, sf_dir, "documents")), "rules-statistics"))
