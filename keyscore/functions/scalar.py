@@ -11,9 +11,13 @@ from pyspark.sql import types as T
 
 
 def parse_json(df: DataFrame, schema: T.StructType, col: str = "value", alias: str = "data") -> DataFrame:
-    """Replace JSON text by a typed record; malformed text gives a record of nulls."""
+    """Replace JSON text by a typed record; malformed text gives a record of nulls.
+
+    No option is passed: the default mode is the one meant, and an option would make Spark parse every field of the
+    schema, also those that nothing reads.
+    """
     kept = [F.col(f"`{c}`") for c in df.columns if c != col]
-    return df.select(*kept, F.from_json(F.col(col), schema, {"mode": "PERMISSIVE"}).alias(alias))
+    return df.select(*kept, F.from_json(F.col(col), schema).alias(alias))
 
 
 def emit_json(df: DataFrame, cols: Sequence[str] | None = None, key: str = "key") -> DataFrame:

@@ -7,7 +7,6 @@ five streams of their own schema, keyed by event type.
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.ml.functions import array_to_vector
@@ -18,19 +17,15 @@ from keyscore.functions.scalar import emit_json, weighted_sum
 from keyscore.operators.features import fixed_layout
 from keyscore.operators.projection import expand
 from keyscore.records import ENDPOINT, Category, Sensor, StreamConfig
-from keyscore.storage import fresh_path, spread
+from keyscore.storage import fresh_path
 
 CATS = ENDPOINT.categories
 SENSORS = ENDPOINT.sensors
 WIDTH = ENDPOINT.width
 
 
-# Fits run many short jobs, several fits at a time: a small table gets a partition for half of the cores.
-FIT_SHARE = 0.5
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, share: float = 1.0) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"), share)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # --- the endpoint view ------------------------------------------------------------------
@@ -71,9 +66,9 @@ ENDPOINT_COLUMNS = {
 }
 
 
-def endpoints(spark: SparkSession, sf_dir: str, share: float = 1.0) -> DataFrame:
+def endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat endpoint records."""
-    return table(spark, sf_dir, "events", share).selectExpr(*[f"{e} AS {c}" for c, e in ENDPOINT_COLUMNS.items()])
+    return table(spark, sf_dir, "events").selectExpr(*[f"{e} AS {c}" for c, e in ENDPOINT_COLUMNS.items()])
 
 
 _columns_sql = ",\n  ".join(f"{e} AS {c}" for c, e in ENDPOINT_COLUMNS.items())
@@ -147,7 +142,7 @@ SCALED = (
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature table with fixed scales: uuid, key, label, features."""
-    wide = fixed_layout(endpoints(spark, sf_dir, FIT_SHARE), ENDPOINT, vector=True)
+    wide = fixed_layout(endpoints(spark, sf_dir), ENDPOINT, vector=True)
     return wide.select("uuid", "CurrentTime", "key", F.col("Result").alias("label"), "features")
 
 
@@ -221,7 +216,7 @@ def stream_configs() -> list[StreamConfig]:
 def stream_records(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     """Flat training records of one stream."""
     _, cats, sensors = STREAMS[key]
-    rows = endpoints(spark, sf_dir, FIT_SHARE / 2).filter(F.col("event_type") == key)
+    rows = endpoints(spark, sf_dir).filter(F.col("event_type") == key)
     renamed = [F.col(source).alias(name) for name, source in {**cats, **sensors}.items()]
     return rows.select("uuid", F.col("CurrentTime").alias("currentTime"), F.col("Result").alias("result"), *renamed)
 
@@ -257,12 +252,5 @@ def stage(df: DataFrame, name: str, fmt: str = "json") -> str:
     return path
 
 
-# Streams over staged files take about a quarter of the files in each micro-batch, however many there are.
-MICRO_BATCHES = 4
-
-
-def files_per_batch(spark: SparkSession, path: str, fmt: str = "json") -> tuple[int, int]:
-    """(files of each micro-batch, number of micro-batches) for the staged files under ``path``."""
-    files = len(spark.read.format(fmt).schema("value string").load(path).inputFiles())
-    limit = max(math.ceil(files / MICRO_BATCHES), 1)
-    return limit, math.ceil(files / limit)
+# The most that a micro-batch of a stream over staged files takes, whatever the size of the input.
+BATCH_BYTES = "64m"

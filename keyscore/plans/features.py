@@ -53,7 +53,7 @@ def _cfg_schema_sql():
 def cfg_schema(spark, sf_dir):
     """Messages of all streams, each read with the schema its configuration gives."""
     rows, parts = ep.stream_messages(spark, sf_dir), []
-    for cfg in load_config(spark, config_folder(spark)):
+    for cfg in load_config(spark, config_folder(spark), "streams.yml"):
         plan = column_plan(cfg)
         parsed = parse_json(route(rows, cfg.key), record_schema(cfg))
         flat = flatten(
@@ -83,7 +83,7 @@ def cfg_columns(spark, sf_dir):
     """Column plan of each stream, with the records that it applies to."""
     rows = ep.stream_messages(spark, sf_dir)
     out = []
-    for cfg in load_config(spark, config_folder(spark)):
+    for cfg in load_config(spark, config_folder(spark), "streams.yml"):
         plan = column_plan(cfg)
         text = {"key": [cfg.key], "categories": plan.categories, "encoded": plan.encoded, "dropped": plan.dropped}
         counted = route(rows, cfg.key).agg(F.count("*").alias("records"))

@@ -19,7 +19,7 @@ from keyscore.sources.documents import read_documents, read_feature_csv, read_sv
 from keyscore.sources.sinks import write_feature_csv, write_svmlight
 from keyscore.sources.streams import read_stream, with_kafka_meta
 from keyscore.storage import fresh_path
-from keyscore.streaming.jobs import progress, write_stream
+from keyscore.streaming.jobs import ProgressLog, write_stream
 
 FLAT = f"SELECT uuid, CurrentTime, Result, {', '.join(ep.CATS + ep.SENSORS)} FROM ep"
 
@@ -61,7 +61,7 @@ def identities(df):
 @query("src_kafka_stream", f"WITH {ep.EP} SELECT key, uuid, Result, sensor0 FROM ep")
 def src_kafka_stream(spark, sf_dir):
     path = ep.stage(ep.messages(spark, sf_dir), "messages")
-    rows, _ = drain(read_stream(spark, "json", {"path": path}), "received")
+    rows, _ = drain(read_stream(spark, "json", {"path": path}, max_bytes=ep.BATCH_BYTES), "received")
     return identities(rows)
 
 
@@ -86,12 +86,12 @@ def src_kafka_metadata(spark, sf_dir):
 
 @query("src_rate_limit", "SELECT count(*) AS rows, true AS limit_kept FROM events")
 def src_rate_limit(spark, sf_dir):
-    """All rows arrive, in as many micro-batches as the limit of files per batch makes."""
-    path = ep.stage(ep.messages(spark, sf_dir), "messages")
-    limit, expected = ep.files_per_batch(spark, path)
-    rows, run = drain(read_stream(spark, "json", {"path": path}, max_per_trigger=limit), "received")
-    batches = sum(1 for p in progress(run) if p["rows"])
-    return rows.agg(F.count("*").alias("rows")).withColumn("limit_kept", F.lit(batches == expected))
+    """All rows arrive, in micro-batches of two files each at most."""
+    path = ep.stage(ep.messages(spark, sf_dir).repartition(5), "messages")
+    with ProgressLog(spark, fresh_path(spark, "progress")) as log:
+        rows, run = drain(read_stream(spark, "json", {"path": path}, max_per_trigger=2), "received")
+        batches = log.of(run).filter("rows > 0").count()
+    return rows.agg(F.count("*").alias("rows")).withColumn("limit_kept", F.lit(batches == 3))
 
 
 # --- feature files -------------------------------------------------------------------------------
@@ -168,7 +168,7 @@ def config_folder(spark):
             for c in configs
         ]
     }
-    texts = {"epdsim.yml": master}
+    texts = {"streams.yml": master}
     for c in configs:
         texts[f"{c.key}01.yml"] = {
             "name": c.name, "err": 0.1, "success": 0.5, "alrt": [],
@@ -199,7 +199,7 @@ def _config_rows() -> str:
 @query("src_config_tables", f"WITH {ep.EP} {_config_rows()}")
 def src_config_tables(spark, sf_dir):
     """Configured fields of every stream beside what its messages hold for them."""
-    tables = config_tables(spark, load_config(spark, config_folder(spark)))
+    tables = config_tables(spark, load_config(spark, config_folder(spark), "streams.yml"))
     declared = union_all(
         tables["cont"].select("key", F.lit("cont").alias("part"), "name", "id", F.lit(1).alias("width")),
         tables["disc"].select("key", F.lit("disc").alias("part"), "name", "id", F.col("num").alias("width")),

@@ -30,13 +30,13 @@ def sink_kafka_append(spark, sf_dir):
     return identities(rows)
 
 
-@query("sink_foreach", f"WITH {ep.EP} SELECT key, uuid, Result, sensor0 FROM ep WHERE key <> 'NONE'")
+@query("sink_foreach", f"WITH {ep.EP} SELECT key, uuid, Result, sensor0 FROM ep")
 def sink_foreach(spark, sf_dir):
-    """One writer per micro-batch, given the rows that pass a predicate."""
+    """One writer per micro-batch, given all of its rows."""
     out = fresh_path(spark, "foreach")
 
     def writer(batch, batch_id):
-        batch.filter(F.col("key") != "NONE").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     write_foreach_batch(_stream(spark, sf_dir), writer, fresh_path(spark, "checkpoint"), available_now=True).awaitTermination()
     return identities(spark.read.parquet(out))
@@ -105,7 +105,7 @@ def sink_svmlight(spark, sf_dir):
 def sink_model_save(spark, sf_dir):
     """Feature stages and a model saved, read back and applied: rows scored alike, by key."""
     plan, base = column_plan(ENDPOINT), fresh_path(spark, "models")
-    flat = ep.endpoints(spark, sf_dir, ep.FIT_SHARE).drop("event_type")
+    flat = ep.endpoints(spark, sf_dir).drop("event_type")
     stages = build_pipeline(plan).fit(flat)
     save_model(stages, artefact_path(base, "pipeline", "epd"))
     with shared(feature_table(flat, stages, plan)) as rows:

@@ -27,11 +27,13 @@ def _parse(text: str, path: str) -> dict:
 
 def read_properties(spark: SparkSession, path: str) -> dict:
     """One small configuration file, such as the connection settings, from any file system Spark reads."""
-    rows = spark.read.text(path, wholetext=True).take(1)
+    rows = spark.read.text(path, wholetext=True).filter("trim(value) <> ''").take(2)
+    if len(rows) != 1:
+        raise ValueError(f"{path} holds {'more than one' if rows else 'no'} configuration file")
     return _parse(rows[0].value, path)
 
 
-def load_config(spark: SparkSession, folder: str, master: str = "epdsim.yml", suffix: str = ".yml") -> list[StreamConfig]:
+def load_config(spark: SparkSession, folder: str, master: str, suffix: str = ".yml") -> list[StreamConfig]:
     """Every stream of the master list with its own file.
 
     The key is the master's ``equipName``, which is what the messages carry; the file's ``name``

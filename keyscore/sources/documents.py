@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,22 +33,35 @@ def read_feature_csv(spark: SparkSession, path: str, n_features: int, vector: bo
 
 
 def read_svmlight(spark: SparkSession, path: str, n_features: int, vector: bool = True) -> DataFrame:
-    """``label i:v i:v ...`` lines with 0-based indices; slots that a line leaves out are 0."""
+    """``label i:v i:v ...`` lines with 0-based indices; slots that a line leaves out are 0.
+
+    An entry outside 0 to ``n_features`` - 1, or one that is no ``index:value``, is an error.
+    """
     parts = F.split(F.trim(F.col("value")), " +")
-    pairs = F.slice(parts, 2, F.size(parts) - 1)
-    rows = (
-        spark.read.text(path)
-        .filter(F.length(F.trim("value")) > 0)
-        .select(parts[0].cast("double").cast("int").alias("label"), _slots(pairs).alias("slots"))
-    )
-    features = F.array(*[F.coalesce(F.col("slots")[i], F.lit(0.0)) for i in range(n_features)])
-    return rows.select("label", (array_to_vector(features) if vector else features).alias("features"))
+    rows = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
+    rows = rows.select(parts[0].cast("double").cast("int").alias("label"), dense(F.slice(parts, 2, F.size(parts) - 1), n_features).alias("features"))
+    return rows.select("label", (array_to_vector("features") if vector else F.col("features")).alias("features"))
+
+
+def dense(pairs: Column, width: int) -> Column:
+    """``index:value`` texts as an array of ``width`` numbers, zero where there is no entry; wrong ones are an error."""
+    wrong = F.filter(pairs, lambda p: ~_fits(p, width))
+    values = F.map_from_arrays(F.transform(pairs, _index), F.transform(pairs, _value))
+    filled = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.coalesce(F.element_at(values, i), F.lit(0.0)))
+    message = F.concat(F.lit(f"not an entry of {width} slots: "), wrong[0])
+    return F.when(F.size(wrong) > 0, F.raise_error(message).cast("array<double>")).otherwise(filled)
 
 
-def _slots(pairs):
-    keys = F.transform(pairs, lambda p: F.element_at(F.split(p, ":"), 1).cast("int"))
-    values = F.transform(pairs, lambda p: F.element_at(F.split(p, ":"), 2).cast("double"))
-    return F.map_from_arrays(keys, values)
+def _index(pair: Column) -> Column:
+    return F.element_at(F.split(pair, ":"), 1).try_cast("int")
+
+
+def _value(pair: Column) -> Column:
+    return F.element_at(F.split(pair, ":"), 2).try_cast("double")
+
+
+def _fits(pair: Column, width: int) -> Column:
+    return F.coalesce(pair.rlike("^[0-9]+:[^:]+$") & (_index(pair) < width) & _value(pair).isNotNull(), F.lit(False))
 
 
 @dataclass(frozen=True)
@@ -69,15 +82,20 @@ class SvmParams:
 SVM_HEADER = ("svm_type", "kernel_type", "gamma", "nr_class", "total_sv", "rho", "label", "nr_sv")
 
 
-def read_svm_model(spark: SparkSession, path: str) -> tuple[SvmParams, DataFrame]:
+def read_svm_model(spark: SparkSession, path: str, n_features: int | None = None) -> tuple[SvmParams, DataFrame]:
     """Header of a kernel-SVM model and its support vectors as rows ``coef, vector``.
 
-    Only the header lines come to the driver; the vectors stay distributed.
+    Vectors have the width of the largest index (or ``n_features``); a vector may leave out slots, which are 0, or all.
+    Only the header comes to the driver, a line for each word; the vectors stay distributed. A header word with two
+    values, a line that is neither header nor vector, or another number of vectors than the header says is an error.
     """
-    text = spark.read.text(path).select(F.trim("value").alias("line"))
+    text = spark.read.text(path).select(F.trim("value").alias("line")).filter("line <> ''")
     word = F.split("line", " +")
-    header_rows = text.select(word.alias("w")).filter(F.col("w")[0].isin(*SVM_HEADER)).distinct()
-    header = {row.w[0]: row.w[1:] for row in header_rows.take(len(SVM_HEADER))}
+    rows = text.select(word.alias("w")).filter(F.col("w")[0].isin(*SVM_HEADER)).groupBy(F.col("w")[0].alias("word"))
+    found = rows.agg(F.min("w").alias("w"), (F.min("w") != F.max("w")).alias("twice")).collect()
+    if any(row.twice for row in found):
+        raise ValueError("a header word has two values")
+    header = {row.word: row.w[1:] for row in found}
     if header.get("kernel_type") != ["rbf"] or header.get("svm_type") != ["c_svc"]:
         raise ValueError("only c_svc models with an rbf kernel can be read")
     params = SvmParams(
@@ -88,8 +106,13 @@ def read_svm_model(spark: SparkSession, path: str) -> tuple[SvmParams, DataFrame
         labels=tuple(int(v) for v in header["label"]),
         nr_sv=tuple(int(v) for v in header["nr_sv"]),
     )
-    body = text.filter(F.col("line").rlike(r"^[-+0-9.eE]+ +[0-9]+:")).select(word.alias("w"))
-    values = F.transform(
-        F.slice("w", 2, F.size("w") - 1), lambda p: F.element_at(F.split(p, ":"), 2).cast("double")
-    )
-    return params, body.select(F.col("w")[0].cast("double").alias("coef"), values.alias("vector"))
+    body = text.select(word.alias("w")).filter(~F.col("w")[0].isin(*SVM_HEADER, "SV"))
+    pairs = F.slice("w", 2, F.size("w") - 1)
+    largest = F.array_max(F.transform(pairs, _index))
+    number = F.col("w")[0].try_cast("double")
+    seen = body.agg(F.count("*").alias("n"), F.max(largest).alias("largest"), F.count_if(number.isNull()).alias("strange")).first()
+    stated = int(header["total_sv"][0])
+    if seen.strange or not seen.n == stated == params.total_sv:
+        raise ValueError(f"the header says {stated} and {params.total_sv} support vectors, there are {seen.n}, {seen.strange} of them without a number")
+    width = n_features or (seen.largest or 0) + 1
+    return params, body.select(number.alias("coef"), dense(pairs, width).alias("vector"))

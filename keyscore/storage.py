@@ -27,15 +27,6 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/keyscore/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, share: float = 1.0) -> DataFrame:
-    """Give a scan with few splits one partition per core, or for a ``share`` of the cores.
-
-    A large input has more splits than that and is returned as it is: it is never shuffled here.
-    """
-    wanted = max(int(df.sparkSession.sparkContext.defaultParallelism * share), 1)
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
-
-
 @contextmanager
 def shared(df: DataFrame) -> Iterator[DataFrame]:
     """Keep a table that several jobs read; what does not fit in memory goes to disk, and what is

@@ -85,9 +85,9 @@ success: 0.7
 
 def test_load_config(spark, tmp_path):
     pytest.importorskip("yaml")
-    (tmp_path / "epdsim.yml").write_text(MASTER)
+    (tmp_path / "streams.yml").write_text(MASTER)
     (tmp_path / "press07.yml").write_text(STREAM)
-    (stream,) = load_config(spark, str(tmp_path))
+    (stream,) = load_config(spark, str(tmp_path), "streams.yml")
     assert (stream.key, stream.name, stream.offset_delay) == ("press", "pressing", 250)
     assert stream.cont[0].max == 120.0 and stream.disc[0].num == 3 and stream.alrt[0].incr is True
     tables = config_tables(spark, [stream])
@@ -98,8 +98,8 @@ def test_load_config(spark, tmp_path):
 
 def test_json_config_and_shared_keys(spark, tmp_path):
     entry = {"equipName": "a", "fileName": "a01"}
-    (tmp_path / "epdsim.yml").write_text(json.dumps({"config": [entry, entry]}))
+    (tmp_path / "streams.yml").write_text(json.dumps({"config": [entry, entry]}))
     (tmp_path / "a01.yml").write_text(json.dumps({"name": "a", "cont": [], "disc": []}))
     assert read_properties(spark, str(tmp_path / "a01.yml"))["name"] == "a"
     with pytest.raises(ValueError):
-        load_config(spark, str(tmp_path))
+        load_config(spark, str(tmp_path), "streams.yml")

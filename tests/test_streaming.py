@@ -12,8 +12,8 @@ from keyscore.sources.streams import read_stream
 from keyscore.streaming.jobs import (
     count_routing,
     idempotent_writer,
+    ProgressLog,
     multi_model_results,
-    progress,
     run_for,
     run_multi_schema,
     write_idempotent,
@@ -54,11 +54,13 @@ def test_stream_equals_batch_over_a_restart(spark, tmp_path, job):
     for start, stop in ((0, 90), (90, 200)):
         put(spark, source, start, stop)
         stream = multi_model_results(read_stream(spark, "json", {"path": source}, max_per_trigger=1), *job, SMALL)
-        run = write_stream(stream, "parquet", {"path": out}, checkpoint, available_now=True)
-        run.awaitTermination()
-        assert {p["sources"] for p in progress(run)} == {1}
+        with ProgressLog(spark, str(tmp_path / "progress")) as log:
+            run = write_stream(stream, "parquet", {"path": out}, checkpoint, available_now=True)
+            run.awaitTermination()
+            reports = log.of(run).collect()
+        assert {p.sources for p in reports} == {1}
         # one read whatever the number of models; unknown keys may leave inside the scan
-        assert 0 < sum(p["rows"] for p in progress(run)) <= stop - start
+        assert 0 < sum(p.rows for p in reports) <= stop - start
     assert results(spark, out) == batch_results(spark, source, job)
     assert len(results(spark, out)) == sum(1 for i in range(200) if i % 3 != 2)
 
@@ -95,10 +97,32 @@ def test_unmatched_messages_are_counted(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     put(spark, source, 0, 90)
     stream = count_routing(read_stream(spark, "json", {"path": source}), ["LR", "SVC"])
-    run = write_stream(stream, "parquet", {"path": out}, str(tmp_path / "c"), available_now=True)
-    run.awaitTermination()
-    routing = [p["routing"]["routing"] for p in progress(run) if p["rows"]]
-    assert sum(r["seen"] for r in routing) == 90 and sum(r["unmatched"] for r in routing) == 30
+    with ProgressLog(spark, str(tmp_path / "progress")) as log:
+        run = write_stream(stream, "parquet", {"path": out}, str(tmp_path / "c"), available_now=True)
+        run.awaitTermination()
+        counts = [p.counts for p in log.of(run).collect()]
+    assert sum(c["seen"] for c in counts) == 90 and sum(c["unmatched"] for c in counts) == 30
+
+
+def test_progress_of_many_micro_batches(spark, tmp_path):
+    """More micro-batches than a query remembers: every row is in the reports."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(130).selectExpr("'LR' AS key", "string(id) AS value").repartition(130, "value").write.option("maxRecordsPerFile", 1).json(source)
+    with ProgressLog(spark, str(tmp_path / "progress"), every=30) as log:
+        stream = read_stream(spark, "json", {"path": source}, max_per_trigger=1)
+        run = write_stream(stream, "noop", {}, str(tmp_path / "c"), available_now=True)
+        run.awaitTermination()
+        reports = log.of(run)
+        assert reports.agg(F.sum("rows"), F.countDistinct("batch_id")).first() == (130, 130)
+
+
+def test_a_new_checkpoint_does_not_overwrite(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for n in (1, 2):
+        source = str(tmp_path / f"in{n}")
+        put(spark, source, 0, 5 * n)
+        write_idempotent(read_stream(spark, "json", {"path": source}), out, str(tmp_path / f"c{n}"), available_now=True).awaitTermination()
+    assert spark.read.parquet(out).count() == 15
 
 
 def test_each_stream_with_its_own_schema(spark, tmp_path):
@@ -130,16 +154,18 @@ def test_each_stream_with_its_own_schema(spark, tmp_path):
     strange = spark.createDataFrame([("pressing", "{}"), (None, "x")], MESSAGE_SCHEMA)
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     messages.unionByName(strange).repartition(3).write.json(source)
-    run = run_multi_schema(
-        read_stream(spark, "json", {"path": source}, max_per_trigger=1),
-        registry,
-        idempotent_writer(out),
-        str(tmp_path / "c"),
-        available_now=True,
-    )
-    run.awaitTermination()
-    assert sum(p["rows"] for p in progress(run)) == 162
-    assert sum(p["routing"]["routing"]["unmatched"] for p in progress(run) if p["rows"]) == 2
+    with ProgressLog(spark, str(tmp_path / "progress")) as log:
+        run = run_multi_schema(
+            read_stream(spark, "json", {"path": source}, max_per_trigger=1),
+            registry,
+            idempotent_writer(out),
+            str(tmp_path / "c"),
+            available_now=True,
+        )
+        run.awaitTermination()
+        reports = log.of(run).collect()
+    assert sum(p.rows for p in reports) == 162
+    assert sum(p.counts["unmatched"] for p in reports) == 2
 
     plain = spark.read.schema(MESSAGE_SCHEMA).json(source)
     fields = RESULT.replace("CurrentTime", "currentTime")
