@@ -26,50 +26,49 @@ def _matrix():
     return matrix
 
 
-def rbf_margin(features: Column, coefs: np.ndarray, vectors: np.ndarray, gamma: float, rho: float) -> Column:
-    """sum_i coef_i * exp(-gamma * |x - v_i|^2) - rho for vectors held in memory."""
-    matrix, row_block, vector_block = _matrix(), ROWS_PER_BLOCK, VECTORS_PER_BLOCK
-    coefs, vectors = np.asarray(coefs, float), np.asarray(vectors, float)
-
-    @F.arrow_udf("double")
-    def margin(column):
-        import numpy as np
-        import pyarrow as pa
-
-        dim = vectors.shape[1]
-        x = matrix(column, dim)
-        out = np.full(len(x), -rho)
-        for r in range(0, len(x), row_block):
-            rows = x[r : r + row_block]
-            for v in range(0, len(vectors), vector_block):
-                block = vectors[v : v + vector_block]
-                dist = (rows**2).sum(1)[:, None] + (block**2).sum(1)[None, :] - 2.0 * rows @ block.T
-                out[r : r + row_block] += np.exp(-gamma * np.maximum(dist, 0.0)) @ coefs[v : v + vector_block]
-        return pa.array(out)
-
-    return margin(features)
-
+def rbf_margin(features: Column, path: str, dim: int, gamma: float, rho: float, held_bytes: int = 256 << 20) -> Column:
+    """sum_i coef_i * exp(-gamma * |x - v_i|^2) - rho for vectors in the files under ``path``, in the order of their names.
 
-def rbf_margin_from_files(features: Column, path: str, dim: int, gamma: float, rho: float) -> Column:
-    """The same sum for a model of any size: each batch reads the vectors block by block from files."""
+    A task reads the files block by block. Blocks of up to ``held_bytes`` stay in its memory for its next batches of
+    rows; what goes beyond is read again. The sums are the same either way.
+    """
     matrix, row_block, vector_block = _matrix(), ROWS_PER_BLOCK, VECTORS_PER_BLOCK
+    held: list = []
+    state = {"whole": False, "bytes": 0}
 
     @F.arrow_udf("double")
     def margin(column):
         import numpy as np
         import pyarrow as pa
         import pyarrow.dataset as ds
-        from pyarrow.fs import FileSystem
+        from pyarrow.fs import FileSelector, FileSystem
+
+        def blocks():
+            yield from held
+            if state["whole"]:
+                return
+            fs, folder = FileSystem.from_uri(path)
+            names = sorted(f.path for f in fs.get_file_info(FileSelector(folder)) if f.path.endswith(".parquet"))
+            done = 0
+            for name in names:
+                for batch in ds.dataset(name, filesystem=fs, format="parquet").to_batches(columns=["coef", "vector"], batch_size=vector_block):
+                    done += 1
+                    if batch.num_rows == 0 or done <= state.get("read", 0):
+                        continue
+                    coefs = np.array(batch.column(0), dtype=float)
+                    block = np.array(batch.column(1).flatten(), dtype=float).reshape(-1, dim)
+                    if state["bytes"] + block.nbytes <= held_bytes:
+                        held.append((coefs, block))
+                        state["bytes"] += block.nbytes
+                        state["read"] = done
+                    else:
+                        state["bytes"] = held_bytes  # later blocks are not held either, so the order stays
+                    yield coefs, block
+            state["whole"] = state.get("read", 0) == done
 
         x = matrix(column, dim)
         out = np.full(len(x), -rho)
-        fs, folder = FileSystem.from_uri(path)
-        files = ds.dataset(folder, filesystem=fs, format="parquet")
-        for batch in files.to_batches(columns=["coef", "vector"], batch_size=vector_block):
-            if batch.num_rows == 0:
-                continue
-            coefs = np.asarray(batch.column(0), dtype=float)
-            block = np.asarray(batch.column(1).flatten(), dtype=float).reshape(-1, dim)
+        for coefs, block in blocks():
             for r in range(0, len(x), row_block):
                 rows = x[r : r + row_block]
                 dist = (rows**2).sum(1)[:, None] + (block**2).sum(1)[None, :] - 2.0 * rows @ block.T

@@ -87,13 +87,20 @@ def feature_names(spark, layout: Layout) -> DataFrame:
 # --- records that the feature stages cannot take -------------------------------------------
 
 
-def invalid_record(plan: ColumnPlan, features: PipelineModel) -> Column:
-    """True where a value is null or a category code was never seen in the fit."""
+def reject_reason(plan: ColumnPlan, features: PipelineModel) -> Column:
+    """Why the fitted stages cannot take a record, or null: a null or NaN value, or a category code never seen in the fit."""
     encoder = next(s for s in features.stages if isinstance(s, OneHotEncoderModel))
     sizes = dict(zip(encoder.getInputCols(), encoder.categorySizes))
-    checks = [F.col(c).isNull() for c in plan.sensors]
-    checks += [F.col(c).isNull() | (F.col(c) < 0) | (F.col(c) >= sizes[c]) for c in plan.categories]
-    return F.coalesce(reduce(lambda a, b: a | b, checks), F.lit(True))
+    values = [F.col(c) for c in plan.categories + plan.sensors]
+    some_null = reduce(lambda a, b: a | b, [v.isNull() for v in values])
+    some_nan = reduce(lambda a, b: a | b, [F.isnan(F.col(c).cast("double")) for c in plan.sensors], F.lit(False))
+    unseen = reduce(lambda a, b: a | b, [(F.col(c) < 0) | (F.col(c) >= sizes[c]) for c in plan.categories], F.lit(False))
+    return F.when(some_null, "null value").when(some_nan, "not a number").when(unseen, "unseen category")
+
+
+def invalid_record(plan: ColumnPlan, features: PipelineModel) -> Column:
+    """True where the fitted stages cannot take a record."""
+    return reject_reason(plan, features).isNotNull()
 
 
 def on_invalid_rows(df: DataFrame, plan: ColumnPlan, features: PipelineModel, on_invalid: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyscore.functions.scalar import parse_json
-from keyscore.operators.features import invalid_record, on_invalid_rows
+from keyscore.operators.features import on_invalid_rows, reject_reason
 from keyscore.operators.projection import flatten, to_feature_table
 from keyscore.records import ColumnPlan, Layout, StreamConfig, column_plan, endpoint_schema, record_schema
 from keyscore.sources.registry import Entry
@@ -130,22 +130,14 @@ def score_multi_schema(df: DataFrame, registry: Mapping[str, Entry], on_invalid:
 def rejects(df: DataFrame, source: Layout | StreamConfig, features: PipelineModel) -> DataFrame:
     """Side output: ``key, value`` messages that the feature stages cannot take, and why.
 
-    ``malformed`` text gives a record of nulls; otherwise a sensor or category is null, or a
-    category code was never seen in the fit.
+    ``malformed`` text gives a record of nulls; otherwise the reasons are those of ``reject_reason``.
     """
     schema = endpoint_schema(source) if isinstance(source, Layout) else record_schema(source)
-    parsed = df.select("key", "value", F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("data"))
+    parsed = df.select("key", "value", F.from_json("value", schema).alias("data"))
     categories, sensors = schema.names[-2:]
     flat = parsed.select("key", "value", "data", f"data.{categories}.*", f"data.{sensors}.*")
-    fields = [F.col(f"data.{name}") for name in schema.names]
-    plan = column_plan(source)
-    values = [F.col(c) for c in plan.categories + plan.sensors]
-    nothing = reduce(lambda a, b: a & b, [f.isNull() for f in fields])
-    reason = (
-        F.when(nothing, "malformed")
-        .when(F.array_contains(F.array(*[v.isNull() for v in values]), True), "null value")
-        .when(invalid_record(plan, features), "unseen category")
-    )
+    nothing = reduce(lambda a, b: a & b, [F.col(f"data.{name}").isNull() for name in schema.names])
+    reason = F.when(nothing, "malformed").otherwise(reject_reason(column_plan(source), features))
     return flat.select("key", "value", reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 

@@ -10,13 +10,13 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyscore.functions.kernels import nearest, rbf_margin, rbf_margin_from_files
+from keyscore.functions.kernels import nearest, rbf_margin
 from keyscore.functions.scalar import argmax2, logistic, weighted_sum
 from keyscore.sources.documents import SvmParams
-from keyscore.storage import fresh_path, shared
+from keyscore.storage import fresh_path
 
-# Support vectors up to this many bytes travel to the executors with the kernel.
-IN_MEMORY_BYTES = 64 << 20
+# Bytes of support vectors that a task holds; what a model has beyond is read again for each batch of rows.
+HELD_BYTES = 256 << 20
 
 
 def score(df: DataFrame, model) -> DataFrame:
@@ -72,27 +72,21 @@ def score_rbf_svm(
     rho: float,
     labels: tuple[int, int] = (0, 1),
     features: str = "features",
-    in_memory_bytes: int = IN_MEMORY_BYTES,
+    held_bytes: int = HELD_BYTES,
 ) -> DataFrame:
     """margin = sum_i coef_i * exp(-gamma |x - v_i|^2) - rho; a positive margin gives the first label.
 
-    ``sv_df`` holds ``coef, vector``. Its size is checked: a model up to ``in_memory_bytes``
-    travels with the kernel; a larger one is written to the shared folder once and each batch of
-    rows reads it block by block. Neither way pairs rows with vectors in a join.
+    ``sv_df`` holds ``coef, vector``. The vectors are sorted and written to the shared folder once; each task reads them
+    block by block, in that order, and holds up to ``held_bytes`` of them. No join pairs rows with vectors.
     """
     x = _as_array(df, features)
     typed = sv_df.select(F.col("coef").cast("double").alias("coef"), F.col("vector").cast("array<double>").alias("vector"))
-    with shared(typed) as model:
-        size = model.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("d")).first()
-        if not size.n:
-            raise ValueError("the model has no support vectors")
-        if size.n * (size.d + 1) * 8 <= in_memory_bytes:
-            rows = model.toPandas()
-            margin = rbf_margin(x, rows["coef"].to_numpy(), np.vstack(rows["vector"].to_numpy()), gamma, rho)
-        else:
-            path = fresh_path(df.sparkSession, "support-vectors")
-            model.write.parquet(path)
-            margin = rbf_margin_from_files(x, path, size.d, gamma, rho)
+    path = fresh_path(df.sparkSession, "support-vectors")
+    typed.orderBy("coef", "vector").write.parquet(path)
+    size = df.sparkSession.read.parquet(path).agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("d")).first()
+    if not size.n:
+        raise ValueError("the model has no support vectors")
+    margin = rbf_margin(x, path, size.d, gamma, rho, held_bytes)
     scored = df.withColumn("margin", margin)
     return scored.withColumn("prediction", F.when(F.col("margin") > 0, labels[0]).otherwise(labels[1]))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from keyscore.functions.scalar import argmax2, fmt, round_label
 from keyscore.operators.scoring import nearest_center, score_linear, score_rbf_svm, score_softmax, score_svm_model
 from keyscore.operators.userfn import filter_records, map_records
-from keyscore.sources.documents import read_svm_model
+from keyscore.sources.documents import read_svm_model, read_svmlight
 
 
 @pytest.fixture(scope="module")
@@ -32,10 +32,10 @@ def brute_force(x, vectors, gamma, rho):
     return total - rho
 
 
-@pytest.mark.parametrize("limit", [64 << 20, 0], ids=["in memory", "from files"])
+@pytest.mark.parametrize("limit", [64 << 20, 40_000, 0], ids=["all held", "some held", "none held"])
 def test_rbf_margin(kernel, limit):
     df, sv, rows, vectors = kernel
-    scored = score_rbf_svm(df, sv, 0.25, 1.5, labels=(0, 1), in_memory_bytes=limit).collect()
+    scored = score_rbf_svm(df, sv, 0.25, 1.5, labels=(0, 1), held_bytes=limit).collect()
     assert len(scored) == len(rows)
     for r in scored:
         margin = brute_force(rows[r.id], vectors, 0.25, 1.5)
@@ -80,6 +80,28 @@ def test_svm_model_file(spark, tmp_path):
         assert r.margin == pytest.approx(margin) and r.prediction == (0 if margin > 0 else 1)
 
 
+def test_svm_model_with_gaps(spark, tmp_path):
+    """Slots that a line leaves out are 0, also all of them; the numbers must agree with the header."""
+    text = MODEL.replace("2.0 0:0.0 1:0.0 ", "2.0 ").replace("-1.5 0:1.0 1:0.5 ", "-1.5 2:0.5")
+    (tmp_path / "model.txt").write_text(text)
+    _, sv = read_svm_model(spark, str(tmp_path / "model.txt"))
+    assert sorted((r.coef, r.vector) for r in sv.collect()) == [(-1.5, [0.0, 0.0, 0.5]), (-0.5, [0.25, -1.0, 0.0]), (2.0, [0.0] * 3)]
+    for wrong in (text.replace("-0.5 0:2.5e-1 1:-1.0 \n", ""), text.replace("-0.5 0:", "x 0:"), text.replace("gamma 0.5", "gamma 0.5\ngamma 0.7")):
+        (tmp_path / "wrong.txt").write_text(wrong)
+        with pytest.raises(ValueError):
+            read_svm_model(spark, str(tmp_path / "wrong.txt"))
+
+
+def test_svmlight_entries_out_of_range(spark, tmp_path):
+    (tmp_path / "rows.txt").write_text("1 0:0.5 1:0.1\n0 2:3\n1\n")
+    rows = [(r.label, r.features) for r in read_svmlight(spark, str(tmp_path / "rows.txt"), 3, vector=False).collect()]
+    assert rows == [(1, [0.5, 0.1, 0.0]), (0, [0.0, 0.0, 3.0]), (1, [0.0] * 3)]
+    for wrong in ("1 0:0.5 1:0.1 5:9.0", "1 -1:2", "1 0:x", "1 7"):
+        (tmp_path / "wrong.txt").write_text(wrong + "\n")
+        with pytest.raises(Exception, match="not an entry"):
+            read_svmlight(spark, str(tmp_path / "wrong.txt"), 3, vector=False).collect()
+
+
 def test_svm_model_of_another_kernel(spark, tmp_path):
     (tmp_path / "model.txt").write_text(MODEL.replace("rbf", "linear"))
     with pytest.raises(ValueError):
