@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from keyscore.operators.evaluation import (
@@ -114,32 +115,89 @@ def eval_silhouette(spark, sf_dir):
     return silhouette(rows).select(F.round("silhouette", 6).alias("silhouette"))
 
 
-@query("eval_score_listener")
+@query(
+    "eval_score_listener",
+    f"""WITH {ep.EP}, p AS (SELECT avg(CAST(Result AS DOUBLE)) AS p FROM ep)
+      SELECT 'lr' AS model, round(-p * ln(p) - (1 - p) * ln(1 - p), 6) AS first, true AS falls FROM p
+      UNION ALL SELECT 'gbt', CAST(NULL AS DOUBLE), true""",
+)
 def eval_score_listener(spark, sf_dir):
-    """Objective of a linear fit and loss of a boosted fit, by iteration."""
+    """Objective of a linear fit and loss of a boosted fit, by iteration: both fall, and the linear one starts from the
+    labels' entropy, the loss of a model without features."""
     with shared(ep.vectors(spark, sf_dir)) as rows:
         linear, boosted = fit_logreg(rows), fit_gbt(rows, iters=10)
-        return loss_history(linear, rows).withColumn("model", F.lit("lr")).unionByName(
-            loss_history(boosted, rows).withColumn("model", F.lit("gbt"))
-        )
+        parts = []
+        for name, model in (("lr", linear), ("gbt", boosted)):
+            losses = loss_history(model, rows)
+            ends = losses.agg(F.min_by("loss", "iteration").alias("first"), F.max_by("loss", "iteration").alias("last"))
+            first = F.round("first", 6) if name == "lr" else F.lit(None).cast("double")
+            parts.append(ends.select(F.lit(name).alias("model"), first.alias("first"), (F.col("last") < F.col("first")).alias("falls")))
+        return parts[0].unionByName(parts[1])
 
 
-@query("eval_centers")
+@query(
+    "eval_centers",
+    """WITH ev AS (SELECT CAST(unnest(embedding) AS DOUBLE) AS v, unnest(range(64)) AS i FROM embeddings)
+      SELECT CAST(i AS INT) AS slot, round(sum(v), 4) AS total, true AS met FROM ev GROUP BY i""",
+)
 def eval_centers(spark, sf_dir):
-    with shared(ep.embedding_vectors(spark, sf_dir)) as rows:
-        return centers(spark, fit_kmeans(rows))
+    """The centres, each as often as its cluster has rows, add up to the rows' sum in every slot; ``met`` says to within
+    a hundredth of the rows' length, which the last step of the fit may move them."""
+    table = ep.embedding_vectors(spark, sf_dir)
+    with shared(table) as rows:
+        model = fit_kmeans(rows)
+    sizes = model.transform(table).groupBy(F.col("prediction").alias("cluster")).agg(F.count("*").alias("n"))
+    weighted = centers(spark, model).join(sizes, "cluster").groupBy("slot").agg(F.sum(F.col("n") * F.col("value")).alias("weighted"))
+    exploded = table.select(F.posexplode(vector_to_array("features")).alias("slot", "v"))
+    sums = exploded.groupBy("slot").agg(F.sum("v").alias("total"), F.sum(F.abs("v")).alias("length"))
+    near = F.abs(F.col("weighted") - F.col("total")) <= 0.01 * F.col("length")
+    return sums.join(weighted, "slot").select("slot", (F.round("total", 4) + F.lit(0.0)).alias("total"), near.alias("met"))
+
+
+def _boosted(spark, sf_dir):
+    """The nodes of a saved model of five trees, and its importance table."""
+    with shared(ep.vectors(spark, sf_dir)) as rows:
+        model = fit_gbt(rows, iters=5, step=0.3, depth=3)
+    path = save_model(model, fresh_path(spark, "gbt"))
+    nodes = spark.read.parquet(f"{path}/data").select(F.col("treeID").alias("tree"), "nodeData.*")
+    return nodes, importances(spark, path, feature_names(spark, ENDPOINT))
+
 
+TREES = "t AS (SELECT CAST(unnest(range(5)) AS INT) AS tree)"
 
-def _importance(column):
-    def run(spark, sf_dir):
-        with shared(ep.vectors(spark, sf_dir)) as rows:
-            model = fit_gbt(rows, iters=5, step=0.3, depth=3)
-        path = save_model(model, fresh_path(spark, "gbt"))
-        return importances(spark, path, feature_names(spark, ENDPOINT)).select("slot", "name", "type", column)
 
-    return run
+@query("imp_split_count", f"WITH {TREES} SELECT tree, count(*) AS rows, true AS met FROM events, t GROUP BY tree")
+def imp_split_count(spark, sf_dir):
+    """Every tree's leaves hold all rows; ``met``: the table's splits are the trees' inner nodes, one fewer than leaves."""
+    nodes, table = _boosted(spark, sf_dir)
+    leaf = F.col("leftChild") < 0
+    by_tree = nodes.groupBy("tree").agg(
+        F.sum(F.when(leaf, F.col("rawCount"))).cast("long").alias("rows"), F.count_if(leaf).alias("leaves"), F.count_if(~leaf).alias("inner")
+    )
+    total = table.agg(F.sum("splits").alias("splits"))
+    inner = nodes.agg(F.count_if(~leaf).alias("all_inner"))
+    one = F.broadcast(total.join(inner))
+    return by_tree.join(one).select("tree", "rows", ((F.col("splits") == F.col("all_inner")) & (F.col("leaves") == F.col("inner") + 1)).alias("met"))
 
 
-query("imp_split_count")(_importance("splits"))
-query("imp_gain")(_importance("gain"))
-query("imp_cover")(_importance("cover"))
+@query(
+    "imp_gain",
+    f"WITH {ep.EP} SELECT round(2 * sum(Result) - count(*), 3) + 0e0 AS margin, 'sensor0' AS best, true AS met FROM ep",
+)
+def imp_gain(spark, sf_dir):
+    """The first tree is fitted to labels of -1 and 1: its leaves, by their rows, add up to their sum. The sensor that
+    the labels follow has the largest gain; ``met``: all gains are positive."""
+    nodes, table = _boosted(spark, sf_dir)
+    leaves = nodes.filter((F.col("tree") == 0) & (F.col("leftChild") < 0))
+    margin = leaves.agg((F.round(F.sum(F.col("rawCount") * F.col("prediction")), 3) + F.lit(0.0)).alias("margin"))
+    best = table.agg(F.max_by("name", F.col("gain") * F.col("splits")).alias("best"), (F.min("gain") > 0).alias("met"))
+    return margin.join(F.broadcast(best))
+
+
+@query("imp_cover", f"WITH {TREES} SELECT tree, count(*) AS cover, true AS met FROM events, t GROUP BY tree")
+def imp_cover(spark, sf_dir):
+    """The cover of every tree's root is the number of rows; ``met``: no split covers more."""
+    nodes, table = _boosted(spark, sf_dir)
+    roots = nodes.filter("id = 0").select("tree", F.col("rawCount").cast("long").alias("cover"))
+    most = F.broadcast(table.agg(F.max("cover").alias("most"), F.min("cover").alias("least")))
+    return roots.join(most).select("tree", "cover", ((F.col("most") <= F.col("cover")) & (F.col("least") > 0)).alias("met"))
