@@ -118,12 +118,14 @@ def forest_votes(df: DataFrame, model) -> DataFrame:
 def auc_by_round(df: DataFrame, model, step: float = 1.0, features: str = "features") -> DataFrame:
     """AUC of the scores after each boosting round.
 
-    Few distinct margins exist (one per combination of leaves), so the rows are first counted by
-    label and margins and written; the rounds then read those counts.
+    The margins are written once and every round reads its own. Those of boosted trees are few (one per combination of
+    leaves), so their rows are counted first; those of forests are nearly all different, and are written as they are.
     """
     margins = margins_by_round(df.select("label", features), model, step).drop(features)
     rounds = len(margins.columns) - 1
-    counts = materialize(margins.groupBy(*margins.columns).agg(F.count("*").alias("_weight")), "margins")
+    few = hasattr(model, "treeWeights")
+    counted = margins.groupBy(*margins.columns).agg(F.count("*").alias("_weight")) if few else margins.withColumn("_weight", F.lit(1))
+    counts = materialize(counted, "margins")
     rows = []
     for i in range(rounds):
         evaluator = BinaryClassificationEvaluator(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 from pyspark import inheritable_thread_target, keyword_only
@@ -21,9 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyscore.functions.kernels import fourier_features
+from keyscore.operators.evaluation import centers, report_rows, silhouette
 from keyscore.operators.features import build_pipeline, feature_table
 from keyscore.records import StreamConfig, column_plan
 from keyscore.sources.registry import artefact_path, load_model, save_model
+from keyscore.sources.sinks import write_report
 from keyscore.storage import materialize, shared
 
 
@@ -143,6 +145,7 @@ def fit_rbf_svm(
     n_components: int = 256,
     seed: int = 42,
     max_iter: int = 100,
+    tol: float = 1e-4,
 ) -> PipelineModel:
     """RBF support-vector classifier: random Fourier features and a linear SVM.
 
@@ -154,12 +157,20 @@ def fit_rbf_svm(
     rows = df.count()
     with shared(lift.transform(df).select("kernel", "label")) as lifted:
         svc = LinearSVC(
-            featuresCol="kernel", maxIter=max_iter, regParam=1.0 / (C * max(rows, 1)), standardization=False
+            featuresCol="kernel", maxIter=max_iter, tol=tol, regParam=1.0 / (C * max(rows, 1)), standardization=False
         ).fit(lifted)
     return PipelineModel([lift, svc])
 
 
-FITS = {"lr": fit_logreg, "svc": fit_linear_svc, "rf": fit_random_forest, "gbt": fit_gbt, "kmeans": fit_kmeans}
+FITS = {
+    "lr": fit_logreg,
+    "svc": fit_linear_svc,
+    "rf": fit_random_forest,
+    "gbt": fit_gbt,
+    "kmeans": fit_kmeans,
+    "softmax": fit_softmax_lr,
+    "forest": fit_boosted_forest,
+}
 
 
 def _side_by_side(spark: SparkSession, tasks: Sequence[Callable[[], object]], parallelism: int) -> list:
@@ -208,6 +219,43 @@ def fit_per_stream(
     return dict(zip([cfg.key for cfg in registry], _side_by_side(spark, tasks, parallelism)))
 
 
+def evaluate_stream(
+    fitted: Mapping[str, object], df: DataFrame, cfg: StreamConfig, path: str | None = None
+) -> DataFrame:
+    """Report rows (stream, model, metric, value) of everything that ``fit_stream`` fitted, on one stream's records.
+
+    Classifiers get accuracy, AUC and rows, clusterings the rows of each cluster, the silhouette and the centres.
+    ``path`` adds the rows to a report.
+    """
+    table = feature_table(df, fitted["pipeline"], column_plan(cfg))
+    parts = []
+    with shared(table) as rows:
+        for kind, model in fitted.items():
+            if kind == "kmeans":
+                clustered = model.transform(rows)
+                sizes = clustered.groupBy("prediction").agg(F.count("*").cast("double").alias("value"))
+                named = sizes.select(F.concat(F.lit("cluster "), F.col("prediction").cast("string")).alias("metric"), "value")
+                named = named.unionByName(silhouette(clustered).select(F.lit("silhouette").alias("metric"), F.col("silhouette").alias("value")))
+                place = F.concat(F.lit("center "), F.col("cluster").cast("string"), F.lit(" slot "), F.col("slot").cast("string"))
+                named = named.unionByName(centers(df.sparkSession, model).select(place.alias("metric"), "value"))
+                parts.append(named.select(F.lit(cfg.key).alias("stream"), F.lit(kind).alias("model"), "metric", "value"))
+            elif kind != "pipeline":
+                parts.append(report_rows(model.transform(rows), cfg.key, kind))
+        report = materialize(reduce(DataFrame.unionByName, parts), "report")
+    if path:
+        write_report(report, path)
+    return report
+
+
+def predict_as(model: Model, df: DataFrame, name: str) -> DataFrame:
+    """``df`` with the prediction of any model, a fitted chain of stages included, as the column ``name``."""
+    if hasattr(model, "predictionCol"):
+        scored = model.copy({model.predictionCol: name}).transform(df)
+    else:
+        scored = model.transform(df).withColumnRenamed("prediction", name)
+    return scored.select(*df.columns, name)
+
+
 def reload_parity(model: Model, kind: str, path: str, df: DataFrame, id_col: str = "uuid") -> DataFrame:
     """Save, reload and score again: ``first, second, same`` for every row.
 
@@ -215,6 +263,5 @@ def reload_parity(model: Model, kind: str, path: str, df: DataFrame, id_col: str
     """
     save_model(model, path)
     again = load_model(kind, path)
-    first = model.copy({model.predictionCol: "first"}).transform(df).drop("rawPrediction", "probability")
-    both = again.copy({again.predictionCol: "second"}).transform(first)
+    both = predict_as(again, predict_as(model, df, "first"), "second")
     return both.select(id_col, "first", "second", F.col("first").eqNullSafe(F.col("second")).alias("same"))

@@ -253,4 +253,4 @@ def stage(df: DataFrame, name: str, fmt: str = "json") -> str:
 
 
 # The most that a micro-batch of a stream over staged files takes, whatever the size of the input.
-BATCH_BYTES = "64m"
+BATCH_BYTES = 64 << 20

@@ -158,8 +158,9 @@ def _names_sql():
 @query("feat_names", f"WITH {ep.SLOTS} {_names_sql()}")
 def feat_names(spark, sf_dir):
     """Name and type of each slot, with the slot's total over all records."""
-    rows = fixed_layout(ep.endpoints(spark, sf_dir), ENDPOINT, vector=False).select(F.posexplode("features").alias("slot", "v"))
-    totals = rows.groupBy("slot").agg(F.round(F.sum("v"), 4).alias("total"), F.count("*").alias("records"))
+    rows = fixed_layout(ep.endpoints(spark, sf_dir), ENDPOINT, vector=False)
+    slots = [F.struct(F.lit(i).alias("slot"), F.round(F.sum(F.col("features")[i]), 4).alias("total"), F.count("*").alias("records")) for i in range(ep.WIDTH)]
+    totals = rows.agg(F.array(*slots).alias("slots")).select(F.inline("slots"))
     return totals.join(feature_names(spark, ENDPOINT), "slot").select("slot", "name", "type", "total", "records")
 
 

@@ -11,6 +11,7 @@ from keyscore.operators.routing import union_all
 from keyscore.operators.scoring import nearest_center
 from keyscore.operators.training import (
     FITS,
+    evaluate_stream,
     fit_boosted_forest,
     fit_gbt,
     fit_kmeans,
@@ -24,7 +25,7 @@ from keyscore.operators.training import (
 )
 from keyscore.plans import endpoints as ep
 from keyscore.plans.catalog import query
-from keyscore.sources.registry import load_registry
+from keyscore.sources.sinks import REPORT_SCHEMA
 from keyscore.storage import fresh_path, shared
 
 
@@ -158,22 +159,29 @@ def fit_softmax_lr_query(spark, sf_dir):
 
 @query(
     "fit_per_stream",
-    f"WITH {ep.EP} SELECT event_type AS key, count(*) AS scored FROM ep GROUP BY event_type",
+    f"""WITH {ep.EP}, k AS (SELECT unnest(['gbt', 'kmeans', 'lr', 'rf', 'svc']) AS model)
+      SELECT event_type AS key, model, CAST(count(*) AS DOUBLE) AS scored, true AS met FROM ep, k GROUP BY event_type, model""",
 )
 def fit_per_stream_query(spark, sf_dir):
-    """Stages and a linear SVM for each stream, saved, reloaded by the registry, applied to its records."""
+    """Feature stages and five kinds of model for each stream, saved, evaluated on its records and reported. ``met``: a
+    classifier is well above chance, so a constant one would fail; clusters lie apart."""
     base, configs = fresh_path(spark, "models"), ep.stream_configs()
     rows = {c.key: ep.stream_records(spark, sf_dir, c.key) for c in configs}
-    fit_per_stream(rows, configs, base)
-    parts = []
-    for key, entry in load_registry(configs, base).items():
-        features = entry.features.transform(rows[key])
-        scored = entry.model.transform(features.withColumnRenamed("result", "label"))
-        parts.append(scored.groupBy(F.lit(key).alias("key")).agg(F.count("prediction").alias("scored")))
-    return union_all(*parts)
+    fitted = fit_per_stream(rows, configs, base, kinds=("lr", "svc", "rf", "gbt", "kmeans"))
+    report = fresh_path(spark, "report")
+    for cfg in configs:
+        evaluate_stream(fitted[cfg.key], rows[cfg.key], cfg, report)
+    written = spark.read.schema(REPORT_SCHEMA).json(report)
+    value = lambda metric: F.max(F.when(F.col("metric") == metric, F.col("value")))
+    clusters = F.sum(F.when(F.col("metric").startswith("cluster "), F.col("value")))
+    kinds = written.groupBy(F.col("stream").alias("key"), "model").agg(
+        F.coalesce(value("rows"), clusters).alias("scored"),
+        (F.coalesce(value("auc"), value("silhouette") + 0.5) >= 0.6).alias("met"),
+    )
+    return kinds
 
 
-_kinds = ("lr", "svc", "rf", "gbt", "kmeans")
+_kinds = ("lr", "svc", "rf", "gbt", "kmeans", "softmax", "forest", "rbf")
 
 
 @query(
@@ -186,7 +194,7 @@ def reload_parity_query(spark, sf_dir):
     base, parts = fresh_path(spark, "models"), []
     with shared(table) as rows:
         for kind in _kinds:
-            model = FITS[kind](rows)
+            model = fit_rbf_svm(rows, ep.WIDTH) if kind == "rbf" else FITS[kind](rows)
             same = reload_parity(model, kind, f"{base}/{kind}", table).groupBy(F.lit(kind).alias("model"))
             parts.append(same.agg(F.count("*").alias("rows"), F.count_if(~F.col("same")).alias("differ")))
     return union_all(*parts)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from keyscore.functions.scalar import emit_json
 from keyscore.operators.evaluation import report_rows
 from keyscore.operators.features import build_pipeline, feature_table
+from keyscore.operators.scoring import score_linear
 from keyscore.operators.training import fit_logreg
 from keyscore.plans import endpoints as ep
 from keyscore.plans.catalog import query
@@ -21,7 +23,7 @@ from keyscore.streaming.jobs import idempotent_writer, write_foreach_batch
 
 def _stream(spark, sf_dir):
     path = ep.stage(ep.messages(spark, sf_dir), "messages")
-    return read_stream(spark, "json", {"path": path}, max_per_trigger=ep.files_per_batch(spark, path)[0])
+    return read_stream(spark, "json", {"path": path}, max_bytes=ep.BATCH_BYTES)
 
 
 @query("sink_kafka_append", f"WITH {ep.EP} SELECT key, uuid, Result, sensor0 FROM ep")
@@ -44,31 +46,40 @@ def sink_foreach(spark, sf_dir):
 
 @query("sink_exactly_once", f"WITH {ep.EP} SELECT key, uuid, Result, sensor0 FROM ep")
 def sink_exactly_once(spark, sf_dir):
-    """Every micro-batch is written twice, as after a failure; each row is there once."""
-    out = fresh_path(spark, "idempotent")
-    write = idempotent_writer(out)
+    """The first micro-batch is written and then fails before its commit, so it is replayed; each row is there once."""
+    out, checkpoint = fresh_path(spark, "idempotent"), fresh_path(spark, "checkpoint")
+    write, path = idempotent_writer(out), ep.stage(ep.messages(spark, sf_dir), "messages")
 
-    def twice(batch, batch_id):
-        write(batch, batch_id)
-        write(batch, batch_id)
+    def run(writer):
+        stream = read_stream(spark, "json", {"path": path}, max_bytes=ep.BATCH_BYTES)
+        return write_foreach_batch(stream, writer, checkpoint, available_now=True)
 
-    write_foreach_batch(
-        _stream(spark, sf_dir), twice, fresh_path(spark, "checkpoint"), available_now=True
-    ).awaitTermination()
+    def fails(batch, batch_id):
+        write(batch, batch_id)
+        raise RuntimeError("lost before the commit")
+
+    try:
+        run(fails).awaitTermination()
+        raise AssertionError("the failure was not reported")
+    except StreamingQueryException:
+        pass
+    run(write).awaitTermination()
     return identities(spark.read.parquet(out))
 
 
 @query(
     "sink_topic_message",
-    f"""WITH {ep.EP} SELECT 'epd01' AS topic, key,
-      '{{"key":"' || key || '","uuid":"' || uuid || '","recordTime":"' || CurrentTime || '","prediction":' || Result || '}}' AS value
-      FROM ep""",
+    f"""WITH {ep.EP}, p AS (SELECT *, CASE WHEN {ep.linear_sql(ep.LINEAR_COLUMNS, ep.LINEAR_WEIGHTS, ep.LINEAR_INTERCEPT)} > 0
+        THEN 1 ELSE 0 END AS prediction FROM ep)
+      SELECT 'results' AS topic, key,
+      '{{"key":"' || key || '","uuid":"' || uuid || '","recordTime":"' || CurrentTime || '","prediction":' || prediction || '}}' AS value
+      FROM p""",
 )
 def sink_topic_message(spark, sf_dir):
-    thin = ep.endpoints(spark, sf_dir).select(
-        "key", "uuid", F.col("CurrentTime").alias("recordTime"), F.col("Result").alias("prediction")
-    )
-    return to_messages(emit_json(thin), "epd01")
+    """Thin results of the fixed linear model as messages."""
+    scored = score_linear(ep.endpoints(spark, sf_dir), ep.LINEAR_COLUMNS, ep.LINEAR_WEIGHTS, ep.LINEAR_INTERCEPT, "margin")
+    thin = scored.select("key", "uuid", F.col("CurrentTime").alias("recordTime"), "prediction")
+    return to_messages(emit_json(thin), "results")
 
 
 @query(

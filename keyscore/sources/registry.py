@@ -23,6 +23,9 @@ LOADERS = {
     "rf": RandomForestClassificationModel,
     "gbt": GBTClassificationModel,
     "kmeans": KMeansModel,
+    "softmax": LogisticRegressionModel,
+    "forest": PipelineModel,
+    "rbf": PipelineModel,
 }
 
 

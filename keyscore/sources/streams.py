@@ -14,14 +14,14 @@ def read_stream(
     fmt: str = "kafka",
     options: dict[str, str] | None = None,
     max_per_trigger: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     schema: T.StructType | None = None,
 ) -> DataFrame:
     """A stream of messages.
 
     For a topic ``options`` hold ``kafka.bootstrap.servers`` and ``subscribe``; reading starts at
     the latest offsets unless told otherwise. For files they hold ``path``. ``max_per_trigger``
-    bounds a micro-batch: offsets for a topic, files otherwise. ``max_bytes`` (such as "256m") bounds that of files by
+    bounds a micro-batch: offsets for a topic, files otherwise. ``max_bytes`` bounds that of files by
     their size.
     """
     options = dict(options or {})
@@ -33,7 +33,7 @@ def read_stream(
     if max_per_trigger:
         options["maxFilesPerTrigger"] = str(max_per_trigger)
     if max_bytes:
-        options["maxBytesPerTrigger"] = max_bytes
+        options["maxBytesPerTrigger"] = str(max_bytes)
     return spark.readStream.format(fmt).schema(schema or MESSAGE_SCHEMA).options(**options).load()
 
 
