@@ -87,14 +87,21 @@ def feature_names(spark, layout: Layout) -> DataFrame:
 # --- records that the feature stages cannot take -------------------------------------------
 
 
-def reject_reason(plan: ColumnPlan, features: PipelineModel) -> Column:
-    """Why the fitted stages cannot take a record, or null: a null or NaN value, or a category code never seen in the fit."""
-    encoder = next(s for s in features.stages if isinstance(s, OneHotEncoderModel))
-    sizes = dict(zip(encoder.getInputCols(), encoder.categorySizes))
+#: Why a record cannot be scored, as ``reject_reason`` says it.
+REASONS = ("null value", "not a number", "unseen category")
+
+
+def reject_reason(plan: ColumnPlan, features: PipelineModel | None) -> Column:
+    """Why the fitted stages cannot take a record, or null: a null or NaN value, or a category code never seen in the fit.
+
+    Malformed text parses to a record of nulls. Without stages (fixed scales) no code is unseen.
+    """
+    encoders = [s for s in features.stages if isinstance(s, OneHotEncoderModel)] if features else []
+    sizes = dict(zip(encoders[0].getInputCols(), encoders[0].categorySizes)) if encoders else {}
     values = [F.col(c) for c in plan.categories + plan.sensors]
     some_null = reduce(lambda a, b: a | b, [v.isNull() for v in values])
     some_nan = reduce(lambda a, b: a | b, [F.isnan(F.col(c).cast("double")) for c in plan.sensors], F.lit(False))
-    unseen = reduce(lambda a, b: a | b, [(F.col(c) < 0) | (F.col(c) >= sizes[c]) for c in plan.categories], F.lit(False))
+    unseen = reduce(lambda a, b: a | b, [(F.col(c) < 0) | (F.col(c) >= sizes[c]) for c in plan.categories if c in sizes], F.lit(False))
     return F.when(some_null, "null value").when(some_nan, "not a number").when(unseen, "unseen category")
 
 

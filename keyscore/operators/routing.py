@@ -6,11 +6,12 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyscore.functions.scalar import parse_json
-from keyscore.operators.features import on_invalid_rows, reject_reason
+from keyscore.operators.features import REASONS, fixed_layout, on_invalid_rows, reject_reason
 from keyscore.operators.projection import flatten, to_feature_table
 from keyscore.records import ColumnPlan, Layout, StreamConfig, column_plan, endpoint_schema, record_schema
 from keyscore.sources.registry import Entry
@@ -65,26 +66,34 @@ RICH_FIELDS = ("key", "uuid", "CurrentTime", "label", "rawPrediction", "predicti
 
 def score_multi_model(
     df: DataFrame,
-    features: PipelineModel,
+    features: PipelineModel | Layout,
     models: Mapping[str, object],
     layout: Layout,
     on_invalid: str = "error",
 ) -> DataFrame:
     """Score ``key, value`` messages of one schema with the model that each key names.
 
-    One pass: unknown keys go before anything is parsed, the feature stages run once, then every
+    One pass: unknown keys go before anything is parsed, the features are made once, then every
     model adds its own output columns and the key picks among them. The input is read once
     however many models there are, in batch and in a stream, with no cached copy. Extra models
     cost one vector product or tree walk per row, which is less than parsing the row again.
+
+    ``features`` are fitted stages, or a layout of fixed scales, which takes any record. Models are anything that
+    adds ``prediction``: a classifier, a fitted chain of stages, or support vectors read from text. One without raw
+    predictions gives null for them. With ``skip``, records that the stages cannot take leave, and are counted by
+    reason in the observed metrics ``rejects``.
     """
     parsed = parse_json(df.filter(matched(list(models))).select("key", "value"), endpoint_schema(layout))
     flat = flatten(parsed, ["data.Categories", "data.Sensors"], ["key", "data.uuid", "data.CurrentTime", "data.Result"])
     plan = column_plan(layout)
-    table = to_feature_table(features.transform(on_invalid_rows(flat, plan, features, on_invalid)), plan)
+    if isinstance(features, Layout):
+        slots = fixed_layout(take_valid(flat, plan, None, on_invalid), features)
+        table = slots.select("key", "uuid", "CurrentTime", F.col("Result").alias("label"), "features")
+    else:
+        table = to_feature_table(features.transform(take_valid(flat, plan, features, on_invalid)), plan)
     raw = prediction = None
     for i, (key, model) in enumerate(models.items()):
-        model = _renamed_outputs(model, f"_raw{i}", f"_prediction{i}")
-        table = model.transform(table)
+        table = _named_outputs(model, table, f"_raw{i}", f"_prediction{i}")
         here = F.col("key") == key
         raw = F.when(here, F.col(f"_raw{i}")) if raw is None else raw.when(here, F.col(f"_raw{i}"))
         chosen = F.col(f"_prediction{i}")
@@ -94,10 +103,34 @@ def score_multi_model(
     )
 
 
-def _renamed_outputs(model, raw: str, prediction: str):
-    copy = model.copy().setRawPredictionCol(raw).setPredictionCol(prediction)
-    # an empty name switches an output off; SVMs have no probability
-    return copy.setProbabilityCol("") if hasattr(copy, "setProbabilityCol") else copy
+def _named_outputs(model, table: DataFrame, raw: str, prediction: str) -> DataFrame:
+    """``table`` with a model's raw and final predictions under names of their own."""
+    if hasattr(model, "setRawPredictionCol"):
+        copy = model.copy().setRawPredictionCol(raw).setPredictionCol(prediction)
+        # an empty name switches an output off; SVMs have no probability
+        copy = copy.setProbabilityCol("") if hasattr(copy, "setProbabilityCol") else copy
+        return copy.transform(table)
+    scored = model.transform(table)
+    margins = F.col("rawPrediction") if "rawPrediction" in scored.columns else F.lit(None).cast(VectorUDT())
+    return scored.select(*table.columns, margins.alias(raw), F.col("prediction").cast("double").alias(prediction))
+
+
+def take_valid(flat: DataFrame, plan: ColumnPlan, features: PipelineModel | None, on_invalid: str) -> DataFrame:
+    """The records that the features can be made of.
+
+    With ``skip`` the others leave, counted by reason; without fitted stages no category code is unseen.
+    """
+    if on_invalid != "skip":
+        return on_invalid_rows(flat, plan, features, on_invalid)
+    reason = reject_reason(plan, features)
+    named = flat.withColumn("_reason", reason)
+    counts = [F.count_if(F.col("_reason") == r).alias(r.replace(" ", "_")) for r in REASONS]
+    return named.observe("rejects", *counts).filter(F.col("_reason").isNull()).drop("_reason")
+
+
+def thin_results(scored: DataFrame) -> DataFrame:
+    """key, uuid, recordTime and the prediction as a whole number."""
+    return scored.select("key", "uuid", F.col("CurrentTime").alias("recordTime"), F.col("prediction").cast("int").alias("prediction"))
 
 
 # --- many schemas, many feature stages, many models ---------------------------------------
@@ -111,7 +144,7 @@ def score_stream_branch(df: DataFrame, entry: Entry, on_invalid: str = "error")
     flat = flatten(
         parsed, ["data.categories", "data.sensors"], ["key", "data.uuid", "data.currentTime", "data.result"]
     )
-    ready = on_invalid_rows(flat, plan, entry.features, on_invalid)
+    ready = take_valid(flat, plan, entry.features, on_invalid)
     table = to_feature_table(entry.features.transform(ready), plan)
     scored = entry.model.transform(table)
     return scored.select("key", "uuid", "currentTime", "label", "rawPrediction", "prediction")

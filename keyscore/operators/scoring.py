@@ -91,6 +91,16 @@ def score_rbf_svm(
     return scored.withColumn("prediction", F.when(F.col("margin") > 0, labels[0]).otherwise(labels[1]))
 
 
+class SvmTextModel:
+    """A kernel-SVM read from text, with the ``transform`` of a fitted model: adds ``margin`` and ``prediction``."""
+
+    def __init__(self, params: SvmParams, sv_df: DataFrame):
+        self.params, self.sv_df = params, sv_df
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return score_svm_model(df, self.params, self.sv_df)
+
+
 def score_svm_model(df: DataFrame, params: SvmParams, sv_df: DataFrame, features: str = "features") -> DataFrame:
     """Score with a model read from its text file."""
     return score_rbf_svm(df, sv_df, params.gamma, params.rho, params.labels, features)
