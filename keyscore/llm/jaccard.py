@@ -16,12 +16,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keyscore.llm.common import chunks, flat_bytes, query, shingles, table, word_hashes
 from keyscore.llm.graph import components
-from keyscore.llm.substrings import gather, rows
+from keyscore.llm.substrings import pack, unpack
 from keyscore.storage import materialize
 
 #: Similarity as a fraction, words of a shingle.
@@ -52,6 +52,18 @@ def prefix_length(n: int) -> int:
     return n + (-p * n // q) + 1
 
 
+def common_prefix() -> Column:
+    """How many shingles the prefixes of similar sets of ``n_a`` and ``n_b`` elements share at least.
+
+    Of two prefixes one ends first in the common order. What the sets share up to there is in both prefixes; the rest is
+    among that set's elements behind its prefix, n - prefix_length(n) of them.
+    """
+    p, q = SIMILAR
+    total = F.ceil(F.lit(p) * (F.col("n_a") + F.col("n_b")) / (p + q))
+    behind = lambda n: F.ceil(F.lit(p) * F.col(n) / q) - 1
+    return F.greatest(total - F.greatest(behind("n_a"), behind("n_b")), F.lit(1))
+
+
 def sets_of(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, int]]:
     """(row, distinct shingles, hash of the set) of each row; a set without elements has the hash 0."""
     column = batch.column("text")
@@ -117,17 +129,18 @@ def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], buckets:
         load = 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            count = np.array([len(x) for x, _, _ in held])
-            arrays = {
-                "shingle": np.concatenate([x for x, _, _ in held]),
-                "node": np.repeat(np.array([x for _, x, _ in held], np.int64), count),
-                "n": np.repeat(np.array([x for _, _, x in held], np.int32), count),
-            }
-            order = np.argsort(arrays["shingle"])
-            arrays = {k: v[order] for k, v in arrays.items()}
+            every = np.concatenate([x for x, _, _ in held])
+            owner = np.repeat(np.arange(len(held)), [len(x) for x, _, _ in held])
+            names, sizes = np.array([x for _, x, _ in held], np.int64), np.array([x for _, _, x in held], np.int64)
             held.clear()
-            for kind, bucket, data in rows((arrays["shingle"] % np.uint64(buckets)).astype(np.int64), arrays):
-                yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([bucket], pa.int64()), pa.array([data], pa.binary())], ["kind", "bucket", "data"])
+            to = (every % np.uint64(buckets)).astype(np.int64)
+            order = np.lexsort((every, to))
+            heads = np.flatnonzero(np.concatenate(([True], np.diff(to[order]) != 0)))
+            for a, b in zip(heads, np.append(heads[1:], len(order))):
+                own = order[a:b]
+                some, at = np.unique(owner[own], return_inverse=True)
+                data = pack({"shingle": every[own], "at": at.astype(np.int32), "node": names[some], "n": sizes[some]})
+                yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([to[own[0]]], pa.int64()), pa.array([data], pa.binary())], ["kind", "bucket", "data"])
 
         for batch in batches:
             for _, own, name in sets_of(batch):
@@ -151,8 +164,11 @@ def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], buckets:
     return docs.mapInArrow(run, BLOB)
 
 
-def lists_in(every: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(list, node, n) of one bucket's inverted lists of two nodes and more; lists of the same nodes are one list."""
+def lists_in(blobs: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(list, node, n, weight) of one bucket's inverted lists of two nodes and more. Lists of the same nodes are one
+    list, whose weight is the number of its shingles."""
+    parts = [unpack(b) for b in blobs]
+    every = {"shingle": np.concatenate([p["shingle"] for p in parts])} | {k: np.concatenate([p[k][p["at"]] for p in parts]) for k in ("node", "n")}
     order = np.lexsort((every["node"], every["shingle"]))
     e = {k: v[order] for k, v in every.items()}
     keep = np.concatenate(([True], (e["shingle"][1:] != e["shingle"][:-1]) | (e["node"][1:] != e["node"][:-1])))
@@ -168,11 +184,11 @@ def lists_in(every: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndar
     with np.errstate(over="ignore"):
         mixed = (e["node"].view(np.uint64) ^ (e["node"].view(np.uint64) >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         name = np.add.reduceat(mixed ^ (mixed >> np.uint64(32)), head) * np.uint64(0x94D049BB133111EB) + count.astype(np.uint64)
-    _, first = np.unique(name, return_index=True)
-    chosen = np.zeros(len(head), bool)
-    chosen[first] = True
-    picked = np.repeat(chosen, count)
-    yield np.repeat(name[chosen], count[chosen]).view(np.int64), e["node"][picked], e["n"][picked].astype(np.int64)
+    _, first, times = np.unique(name, return_index=True, return_counts=True)
+    weight = np.zeros(len(head), np.int64)
+    weight[first] = times
+    picked = np.repeat(weight > 0, count)
+    yield np.repeat(name, count)[picked].view(np.int64), e["node"][picked], e["n"][picked], np.repeat(weight, count)[picked]
 
 
 def t_occurrence(lists: list[list[int]], least: int) -> list[tuple[int, int]]:
@@ -243,7 +259,8 @@ def search(index: list[tuple[int, np.ndarray]], queries: list[tuple[int, np.ndar
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links (a, b) among the candidate ``pairs``, and others that the search meets on its way.
+    """Links (a, b) that connect what similar pairs connect, of the candidate ``pairs`` and of others that the search
+    meets on its way.
 
     ``a`` is indexed and ``b`` asks. An index holds the ``a`` of about QUERIES queries; one that is asked more than
     SALTED times is indexed again for each further part of its queries. The sets are made again from the texts of the
@@ -258,17 +275,16 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     salted = pairs.join(asked, "a").select(place, F.pmod(F.xxhash64("b", F.lit(5)), "salts").cast("int").alias("salt"), F.lit(True).alias("asks"), F.col("b").alias("node"))
     held = asked.select(place, F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("asks"), F.col("a").alias("node"))
     roles = materialize(salted.unionByName(held).distinct(), "jaccard-roles")
-    wanted = materialize(roles.select("node").distinct().join(nodes, "node").select("doc", "node"), "jaccard-wanted")
+    wanted = roles.select("node").distinct().join(nodes, "node").select("doc")
     pick = lambda: F.shiftrightunsigned(F.xxhash64("doc"), 64 - PICK_BITS).alias("pick")
     picked = docs.select("doc", "text", pick()).join(F.broadcast(wanted.select(pick()).distinct()), "pick", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc").to_pylist()
-            found = [(ids[i], name, own.tobytes()) for i, own, name in sets_of(batch) if name]
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(list(zip(*found)) or ([], [], []), (pa.int64(), pa.int64(), pa.binary()))], ["doc", "node", "elements"])
+            found = [(name, own.tobytes()) for _, own, name in sets_of(batch) if name]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(list(zip(*found)) or ([], []), (pa.int64(), pa.binary()))], ["node", "elements"])
 
-    made = picked.select("doc", "text").mapInArrow(run, "doc long, node long, elements binary").join(wanted, ["doc", "node"])
+    made = picked.select("text").mapInArrow(run, "node long, elements binary")
 
     def meet(group: pa.Table) -> pa.Table:
         index, queries = {}, {}
@@ -277,7 +293,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
         found = list(search(list(index.items()), list(queries.items())))
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
-    return roles.join(made.select("node", "elements"), "node").groupBy("index", "salt").applyInArrow(meet, "a long, b long")
+    return roles.join(made, "node").groupBy("index", "salt").applyInArrow(meet, "a long, b long")
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
@@ -300,31 +316,34 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     buckets = max(8, -(-total // BUCKET_BYTES))
 
     def listed(group: pa.Table) -> pa.Table:
-        found = list(lists_in(gather([b.as_py() for b in group["data"]])))
-        name, node, n = found[0] if found else (np.empty(0, np.int64),) * 3
-        return pa.table({"list": pa.array(name, pa.int64()), "node": pa.array(node, pa.int64()), "n": pa.array(n, pa.int64())})
+        found = list(lists_in([b.as_py() for b in group["data"]]))
+        columns = found[0] if found else (np.empty(0, np.int64),) * 4
+        return pa.table({k: pa.array(v, pa.int64()) for k, v in zip(("list", "node", "n", "weight"), columns)})
 
-    packed = prefixes(docs, (hashes[order], counts[order]), buckets).groupBy("bucket").applyInArrow(listed, "list long, node long, n long")
-    lists = materialize(packed.distinct(), "jaccard-lists")
+    packed = prefixes(docs, (hashes[order], counts[order]), buckets).groupBy("bucket").applyInArrow(listed, "list long, node long, n long, weight long")
+    lists = materialize(packed.groupBy("list", "node", "n").agg(F.sum("weight").alias("weight")), "jaccard-lists")
     nodes = sets.where("node <> 0").groupBy("node").agg(F.min("doc").alias("doc"))
 
     # Each node asks for the pivot that it shares most lists with; pivots are the first nodes of a list in a range of sizes.
     p, q = SIMILAR
     sized = lists.withColumn("range", F.floor(F.log(F.col("n")) / math.log(q / p)))
-    pivots = sized.groupBy("list", "range").agg(F.min("node").alias("a"), F.count("*").alias("size")).where("size > 1")
-    star = sized.join(pivots, ["list", "range"]).where("node <> a").groupBy(F.col("node").alias("b"), "a").agg(F.count("*").alias("shared"))
+    pivots = sized.groupBy("list", "range").agg(F.min(F.struct("node", "n")).alias("p"), F.count("*").alias("size")).where("size > 1")
+    star = sized.join(pivots, ["list", "range"]).where(F.col("node") != F.col("p.node"))
+    star = star.groupBy(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("p.node").alias("a"), F.col("p.n").alias("n_a")).agg(F.sum("weight").alias("shared"))
+    star = star.where(F.col("shared") >= common_prefix())  # not all they share: what is left out here is tried below
     best = star.groupBy("b").agg(F.max(F.struct("shared", (-F.col("a")).alias("a"))).alias("x")).select((-F.col("x.a")).alias("a"), "b")
     best = materialize(best, "jaccard-best")
     links = materialize(verified(best, nodes, docs), "jaccard-links")
 
     # What is left: nodes of one list that are still apart and whose sizes allow a link.
-    parts = lists.join(components(links), lists["node"] == F.col("id"), "left").select("list", "node", "n", F.coalesce("component", "node").alias("part"))
+    parts = lists.join(components(links), lists["node"] == F.col("id"), "left").select("list", "node", "n", "weight", F.coalesce("component", "node").alias("part"))
     parts = materialize(parts, "jaccard-parts")
     mixed = parts.groupBy("list").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("list")
     apart = parts.join(mixed, "list")
-    side = lambda s: apart.select("list", F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("part").alias(f"part_{s}"))
+    side = lambda s: apart.select("list", "weight", F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("part").alias(f"part_{s}"))
     fits = (q * F.least("n_a", "n_b") >= p * F.greatest("n_a", "n_b")) & (F.col("part_a") < F.col("part_b"))
-    rest = side("a").join(side("b"), "list").where(fits).select("a", "b").distinct()
+    rest = side("a").join(side("b").drop("weight"), "list").where(fits).groupBy("a", "b", "n_a", "n_b").agg(F.sum("weight").alias("shared"))
+    rest = rest.where(F.col("shared") >= common_prefix()).select("a", "b")
     tried = best.unionByName(best.select(F.col("b").alias("a"), F.col("a").alias("b")))
     rest = materialize(rest.join(tried, ["a", "b"], "left_anti"), "jaccard-rest")
     every = links.unionByName(verified(rest, nodes, docs))
@@ -356,6 +375,24 @@ def keep_one(docs: DataFrame) -> DataFrame:
     return rows_in.withColumn("_number", first).where("not _some or _number = 1").select("_row.*")
 
 
-@query("op2_ngram_jaccard")
+#: The same by comparing all sets that share a shingle.
+OP2_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+sizes AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM sets),
+elements AS (SELECT doc_id, unnest(s) AS x FROM sets),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM elements a JOIN elements b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * shared.n >= 75 * (p.n + q.n - shared.n)),
+reach AS (SELECT a AS doc_id, b AS other FROM links UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+SELECT s.doc_id, s.n AS n_shingles, least(s.doc_id, coalesce(min(r.other), s.doc_id)) AS component_id
+FROM sizes s LEFT JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.n
+"""
+
+
+@query("op2_ngram_jaccard", OP2_SQL)
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
