@@ -484,7 +484,26 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
     return packed_docs.groupBy("bucket").cogroup(spans.groupBy("bucket")).applyInArrow(last, "doc_id long, removed array<struct<start:long,end:long>>, kept binary")
 
 
-@query("op4_repeated_substrings")
+#: The same by grouping all windows of 50 bytes.
+OP4_SQL = r"""
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS w FROM (SELECT doc_id, h, unnest(range(length(h) // 2 - 49)) AS i FROM docs WHERE length(h) >= 100)),
+least_doc AS (SELECT w, min(doc_id) AS d FROM windows GROUP BY w),
+found AS (SELECT doc_id, i FROM windows JOIN least_doc USING (w) WHERE d < doc_id),
+edges AS (SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 50, true) AS fresh FROM found),
+runs AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM
+  (SELECT doc_id, i, sum(CASE WHEN fresh THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM edges) GROUP BY doc_id, run),
+ends AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS done FROM runs),
+pieces AS (SELECT e.doc_id, a, substr(h, 2 * done + 1, 2 * (a - done)) AS piece FROM ends e JOIN docs USING (doc_id)),
+kept AS (
+  SELECT d.doc_id, coalesce(p.head, '') || substr(h, 2 * coalesce(r.b, 0) + 1) AS k, coalesce(r.removed, 0) AS removed, coalesce(r.n, 0) AS n, length(h) // 2 AS size
+  FROM docs d LEFT JOIN (SELECT doc_id, string_agg(piece, '' ORDER BY a) AS head FROM pieces GROUP BY doc_id) p ON p.doc_id = d.doc_id
+  LEFT JOIN (SELECT doc_id, max(b) AS b, sum(b - a) AS removed, count(*) AS n FROM runs GROUP BY doc_id) r ON r.doc_id = d.doc_id)
+SELECT doc_id, CAST(size AS BIGINT) AS n_bytes, CAST(removed AS BIGINT) AS n_removed, CAST(n AS BIGINT) AS n_spans, sha256(unhex(k)) AS kept_sha256 FROM kept
+"""
+
+
+@query("op4_repeated_substrings", OP4_SQL)
 def op4_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents"))
     n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda a, r: a + r["end"] - r["start"])
