@@ -25,11 +25,11 @@ from keyscore.llm.suffixes import ragged, suffix_arrays
 from keyscore.storage import materialize
 
 #: Bytes of text for each bucket, and stretches that a task holds before it passes them on.
-BUCKET_BYTES, HELD = 16 << 20, 2_000_000
+BUCKET_BYTES, HELD = 16 << 20, 1_000_000
 #: Different stretches of an anchor from which on its windows are spread over several groups; see ``spread``.
 MANY = 256
 #: Bytes of suffix-array input that are worked on together.
-BATCH = 4 << 20
+BATCH = 1 << 20
 NO_ID = -(1 << 63)
 Arrays = dict[str, np.ndarray]
 
@@ -155,11 +155,11 @@ def cut(batches: Iterator[pa.RecordBatch], size: int, buckets: int) -> Iterator[
 
     def flush() -> Iterator[tuple[int, int, bytes]]:
         every = {k: np.concatenate([h[k] for h in held]) for k in held[0]}
-        order = np.lexsort((every["pos"], every["key"], every["doc"], every["hash"], every["anchor"]))
+        order = np.argsort(every["hash"])  # equal stretches have equal anchors too
         every = {k: v[order] for k, v in every.items()}
         new = np.concatenate(([True], (every["hash"][1:] != every["hash"][:-1]) | (every["anchor"][1:] != every["anchor"][:-1])))
         head = np.flatnonzero(new)
-        least = np.repeat(every["doc"][head], np.diff(np.append(head, len(new))))
+        least = np.repeat(np.minimum.reduceat(every["doc"], head), np.diff(np.append(head, len(new))))
         owner = every["doc"] == least
         go = {k: v[owner] for k, v in every.items()}
         yield from rows((go["anchor"] % np.uint64(buckets)).astype(np.int64), narrow(go))
@@ -168,7 +168,7 @@ def cut(batches: Iterator[pa.RecordBatch], size: int, buckets: int) -> Iterator[
         held.clear()
 
     for batch in batches:
-        for start, stop in chunks(batch.column("text"), 2 << 20):
+        for start, stop in chunks(batch.column("text"), 1 << 20):
             part = batch.slice(start, stop - start)
             data, offsets = flat_bytes(part.column("text"))
             ids = np.array([NO_ID if i is None else i for i in part.column("doc_id").to_pylist()], np.int64)
@@ -194,7 +194,7 @@ def compare(every: Arrays, buckets: int) -> Iterator[tuple[int, int, bytes]]:
 
     A request stands for one stretch of which an anchor has several, in its smallest document, with all places there.
     """
-    order = np.lexsort((every["pos"], every["key"], every["doc"], every["hash"], every["anchor"]))
+    order = np.lexsort((every["doc"], every["hash"], every["anchor"]))
     e = {k: v[order] for k, v in every.items()}
     fresh = np.concatenate(([True], e["anchor"][1:] != e["anchor"][:-1]))
     new = fresh | np.concatenate(([True], e["hash"][1:] != e["hash"][:-1]))
@@ -209,6 +209,8 @@ def compare(every: Arrays, buckets: int) -> Iterator[tuple[int, int, bytes]]:
     if not asked.any():
         return
     a = {k: v[asked] for k, v in e.items()} | {"many": (kinds[group[asked]] > MANY), "kind": kind[asked]}
+    order = np.lexsort((a["pos"], a["key"], a["kind"]))
+    a = {k: v[order] for k, v in a.items()}
     head = np.flatnonzero(np.concatenate(([True], (a["kind"][1:] != a["kind"][:-1]) | (a["key"][1:] != a["key"][:-1]))))
     request = {k: a[k][head] for k in ("anchor", "doc", "key", "len", "off", "many")}
     request["places"] = np.diff(np.append(head, len(a["kind"]))).astype(np.int32)
