@@ -22,7 +22,7 @@ LOG_ZERO = -1e30
 #: Words that a worker remembers, and the longest of them.
 REMEMBERED, REMEMBERED_LENGTH = 300_000, 64
 #: Words whose counts every task gets; the counts of all others are joined.
-FREQUENT = 200_000
+FREQUENT = 80_000
 
 
 class Lattice:
