@@ -27,7 +27,7 @@ from keyscore.storage import materialize
 #: Similarity as a fraction, words of a shingle.
 SIMILAR, WORDS = (3, 4), 5
 #: Shingles that a task sees in so many documents may be frequent; how many of the most frequent ones all tasks know.
-SEEN, FREQUENT = 4, 50_000
+SEEN, FREQUENT = 2, 200_000
 #: Bytes of text for each bucket of shingles, queries for each inverted index, bits by which texts are picked.
 BUCKET_BYTES, QUERIES, PICK_BITS = 32 << 20, 500, 20
 #: Queries with one index entry that a task takes.
@@ -258,6 +258,23 @@ def search(index: list[tuple[int, np.ndarray]], queries: list[tuple[int, np.ndar
                 yield other, name
 
 
+def stars(links: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What the links connect, as one link for each name to the first of its group: fewer than there are names."""
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while up.setdefault(x, x) != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for a, b in links:
+        p, q = root(a), root(b)
+        if p != q:
+            up[max(p, q)] = min(p, q)
+    return [(root(x), x) for x in list(up) if root(x) != x]
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """Links (a, b) that connect what similar pairs connect, of the candidate ``pairs`` and of others that the search
     meets on its way.
@@ -290,7 +307,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
         index, queries = {}, {}
         for asks, node, elements in zip(group["asks"].to_pylist(), group["node"].to_pylist(), group["elements"]):
             (queries if asks else index)[node] = np.frombuffer(elements.as_py(), np.uint64)
-        found = list(search(list(index.items()), list(queries.items())))
+        found = stars(search(list(index.items()), list(queries.items())))
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     return roles.join(made, "node").groupBy("index", "salt").applyInArrow(meet, "a long, b long")
