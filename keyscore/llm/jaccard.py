@@ -314,13 +314,13 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``, ``node`` and ``text_hash`` for each row of ``docs``.
+    """``doc_id``, ``n_shingles``, ``component_id``, ``node``, ``part`` and ``text_hash`` for each row of ``docs``.
 
     Words are lower-cased (A-Z) and split at blanks; a document's set holds its distinct shingles of five words, or all
     its words as one if there are fewer. Rows link when 100 * overlap >= 75 * union of their sets; component_id is the
     smallest doc_id that links reach. node names the set: equal sets (similar, of course) have one name; 0 is the set of
-    a text without words, null included, that links with nothing: its component is its own doc_id. Repeated rows and
-    ids give a row each; a null id is left out of the smallest, and is null where there is no other. Shingles and sets
+    a text without words, null included, that links with nothing: its component is its own doc_id. part is the smallest
+    node that links reach (null for 0), so it tells components apart where ids are null or repeated. Repeated rows and ids give a row each; a null id is left out of the smallest, and is null where there is no other. Shingles and sets
     are told apart by 64-bit hashes. Other columns are not read.
     """
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID).cast("long")).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
@@ -371,10 +371,10 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     names = found.join(sets.where("node <> 0").groupBy("node").agg(F.min(real).alias("real")), "node")
     names = names.select("node", "part", "real")
     least = names.groupBy("part").agg(F.min("real").alias("component_id"))
-    named = names.join(least, "part").select("node", "component_id")
+    named = names.join(least, "part").select("node", "part", "component_id")
     out = sets.join(named, "node", "left")
     return out.select(
-        real.alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("node") == 0, real).otherwise(F.col("component_id")).alias("component_id"), "node", F.col("hash").alias("text_hash")
+        real.alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("node") == 0, real).otherwise(F.col("component_id")).alias("component_id"), "node", "part", F.col("hash").alias("text_hash")
     )
 
 
@@ -383,8 +383,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     smallest hash of the text, and one of rows that are equal in both. Texts without words all stay."""
     found = similar_documents(docs)
     place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), F.col("text_hash").alias("hash"))
-    some = found.where("node <> 0").withColumn("part", F.coalesce(F.col("component_id"), F.col("node")))
-    least = some.groupBy("part").agg(F.min(place).alias("least")).select(F.col("least.doc").alias("_doc"), F.col("least.hash").alias("_hash")).withColumn("_some", F.lit(True))
+    least = found.where("node <> 0").groupBy("part").agg(F.min(place).alias("least")).select(F.col("least.doc").alias("_doc"), F.col("least.hash").alias("_hash")).withColumn("_some", F.lit(True))
     empty = found.where("node = 0").select(place.alias("p")).select(F.col("p.doc").alias("_doc"), F.col("p.hash").alias("_hash")).distinct().withColumn("_some", F.lit(False))
     key = [F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("_doc"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash")]
     rows_in = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), *key).join(least.unionByName(empty), ["_doc", "_hash"])

@@ -83,3 +83,12 @@ def test_query(spark, sf_dir):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     out = jaccard.op2_ngram_jaccard(spark, sf_dir).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out), key=str) == brute(docs)
+
+
+def test_keep_one_with_null_and_repeated_ids(spark):
+    words = ["k%d" % i for i in range(120)]
+    a, b, c = " ".join(words[:40]), " ".join(words[40:80]), " ".join(words[80:])
+    near = [c, c + " more", "less " + c]
+    rows = [(5, a), (5, b), (6, b + " end"), *((None, t) for t in near)]
+    got = sorted(r.text for r in jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert len(got) == 3 and {a, b} <= set(got) and len(set(near) & set(got)) == 1
