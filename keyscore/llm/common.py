@@ -76,46 +76,82 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Bytes that are hashed at once: what a hash needs per byte is held for so many only, however long a text is.
+SLICE = 1 << 20
 _POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 to base**(n-1) modulo 2**64."""
+    """base**0 to base**(n-1) modulo 2**64. What is kept for later calls never exceeds two slices."""
     have = _POWERS.get(base)
     if have is None or len(have) < n:
         have = np.full(max(n, 1 << 16), base, np.uint64)
         have[0] = 1
-        have = np.cumprod(have, dtype=np.uint64)
-        _POWERS[base] = have
+        np.cumprod(have, dtype=np.uint64, out=have)
+        if len(have) <= 2 * SLICE:
+            _POWERS[base] = have
     return have[:n]
 
 
-def word_hashes(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each word with A-Z lowered, and the words' offsets by row.
-
-    A row's end separates words as a blank does. Equal words have equal hashes; different ones
-    differ but for a chance of 2**-64 a pair.
-    """
-    n, rows = len(flat), len(offsets) - 1
-    if not n:
-        return np.empty(0, np.uint64), np.zeros(rows + 1, np.int64)
-    solid = ~IS_BLANK[flat]
+def _hash_slice(flat: np.ndarray, offsets: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, first and last bytes of the words of a slice; ``offsets`` are the places in it where a row begins."""
+    solid = ~blank[flat]
     starts = solid.copy()
     starts[1:] &= ~solid[:-1]
-    firsts = offsets[:-1][offsets[:-1] < offsets[1:]]
-    starts[firsts] = solid[firsts]
+    starts[offsets] = solid[offsets]
     first = np.flatnonzero(starts)
+    del starts
     stops = solid.copy()
     stops[:-1] &= ~solid[1:]
-    lasts = offsets[1:][offsets[:-1] < offsets[1:]] - 1
-    stops[lasts] = solid[lasts]
+    before = offsets[offsets > 0] - 1
+    stops[before] = solid[before]
     last = np.flatnonzero(stops)
-    sums = (LOWER[flat].astype(np.uint64) + np.uint64(1)) * powers(BASE, n)
+    del stops
+    sums = LOWER[flat].astype(np.uint64)
+    sums += np.uint64(1)
+    sums *= powers(BASE, len(flat))
     sums *= solid
     np.cumsum(sums, out=sums)
-    before = np.where(first > 0, sums[np.maximum(first - 1, 0)], np.uint64(0))
-    raw = (sums[last] - before) * powers(INVERSE, n)[first]
-    hashes = mix(raw ^ ((last - first + 1).astype(np.uint64) << np.uint64(48)))
+    raw = sums[last]
+    raw -= np.where(first > 0, sums[np.maximum(first - 1, 0)], np.uint64(0))
+    raw *= powers(INVERSE, len(flat))[first]
+    return mix(raw ^ ((last - first + 1).astype(np.uint64) << np.uint64(48))), first, last
+
+
+def word_spans(flat: np.ndarray, offsets: np.ndarray, blank: np.ndarray = IS_BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word with A-Z lowered, and the words' first and last bytes.
+
+    A row's end separates words as a blank does. Equal words have equal hashes; different ones differ but for a chance
+    of 2**-64 a pair. The bytes are taken in slices that end between words.
+    """
+    n, start = len(flat), 0
+    edges = np.unique(offsets[:-1])
+    edges = edges[edges < n]
+    parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    while start < n:
+        stop = min(n, start + SLICE)
+        while stop < n:
+            # on to the next blank or row, whichever is nearer; a word longer than a slice makes the slice longer
+            ahead = flat[stop : stop + 4096]
+            gap = np.flatnonzero(blank[ahead])
+            edge = np.searchsorted(edges, stop)
+            to_edge = int(edges[edge]) - stop if edge < len(edges) else n - stop
+            to_gap = int(gap[0]) if len(gap) else len(ahead)
+            stop += min(to_edge, to_gap)
+            if len(gap) or to_edge <= to_gap:
+                break
+        inside = edges[np.searchsorted(edges, start) : np.searchsorted(edges, stop)] - start
+        hashes, first, last = _hash_slice(flat[start:stop], inside, blank)
+        parts.append((hashes, first + start, last + start))
+        start = stop
+    if not parts:
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*parts)) if len(parts) > 1 else parts[0]
+
+
+def word_hashes(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of ``word_spans``, and the words' offsets by row."""
+    hashes, first, _ = word_spans(flat, offsets)
     return hashes, np.searchsorted(first, offsets).astype(np.int64)
 
 
@@ -133,7 +169,7 @@ def shingles(words: np.ndarray, size: int) -> np.ndarray:
         return np.unique(mix(out + np.uint64(width)))
 
 
-def chunks(column: pa.Array, most: int = 8 << 20) -> Iterator[tuple[int, int]]:
+def chunks(column: pa.Array, most: int = SLICE) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``most`` bytes, one row at least."""
     _, offsets = flat_bytes(column)
     start = 0
