@@ -8,7 +8,7 @@ import corpus_pipeline
 
 from keyscore.llm.common import QUERIES, SQL
 
-for _module in ("pii", "bpe", "rules", "quality", "lattice", "toolcalls", "decontaminate", "lines", "substrings", "jaccard", "topk", "collocations"):
+for _module in ("pii", "bpe", "rules", "quality", "lattice", "toolcalls", "decontaminate", "lines", "substrings", "jaccard", "topk", "collocations", "spelling"):
     importlib.import_module(f"keyscore.llm.{_module}")
 
 QUERIES["pipeline"] = corpus_pipeline.run
