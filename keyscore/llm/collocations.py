@@ -119,10 +119,25 @@ def filter_of(hashes: DataFrame, column: str) -> Filter:
     return Filter(bits, [(r.bucket, bytes(r.bits)) for r in rows.collect()])
 
 
-def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def joined_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The hash of a phrase from that of its words but the last, and the last one's."""
     return mix(a * np.uint64(BASE) + b)
 
 
+def salt(lang: str) -> int:
+    return xxhash.xxh64_intdigest(lang.encode())
+
+
+def of_language(hashes: np.ndarray, salts: np.ndarray) -> np.ndarray:
+    hashes = mix(hashes ^ salts)
+    hashes[hashes == 0] = 1
+    return hashes
+
+
+#: Lets no word pass.
+NOTHING = Filter(SMALLEST, [])
+
+
 class Shard:
     """Words of some texts, as hashes of language and word; 0 stands between pieces."""
 
@@ -133,12 +148,11 @@ class Shard:
 
     def clear(self) -> None:
         self.hashes: list[np.ndarray] = [np.zeros(1, np.uint64)]
-        self.lang: list[np.ndarray] = [np.zeros(1, np.int32)]
         self.names: dict[int, tuple[str, str]] = {}
         self.words = 0
 
     def add(self, part: pa.RecordBatch, named: Filter | None) -> None:
-        """The words of some rows; the spelling of those that ``named`` lets pass is kept."""
+        """The words of some rows; the spelling of those that ``named`` lets pass is kept, of all without it."""
         flat, offsets = flat_bytes(part.column("text"))
         hashes, first, last = word_spans(flat, offsets, IS_GAP)
         if not len(hashes):
@@ -150,20 +164,30 @@ class Shard:
                 self.lang_codes[lang] = len(self.langs)
                 self.langs.append(lang)
             codes.append(self.lang_codes[lang])
-        salts = np.array([xxhash.xxh64_intdigest(lang.encode()) for lang in self.langs], np.uint64)
+        salts = np.array([salt(lang) for lang in self.langs], np.uint64)
         lang = np.array(codes, np.int32)[row]
-        hashes = mix(hashes ^ salts[lang])
-        hashes[hashes == 0] = 1
+        hashes = of_language(hashes, salts[lang])
         piece = np.searchsorted(np.flatnonzero(IS_END[flat]), first)
         new = np.flatnonzero((row[1:] != row[:-1]) | (piece[1:] != piece[:-1])) + 1
         self.hashes += [np.insert(hashes, new, 0), np.zeros(1, np.uint64)]
-        self.lang += [np.insert(lang, new, 0), np.zeros(1, np.int32)]
         self.words += len(hashes)
-        if named is not None:
-            unique, at = np.unique(hashes[known := np.flatnonzero(named(hashes))], return_index=True)
-            for h, i in zip(unique.tolist(), known[at].tolist()):
-                if h not in self.names:
-                    self.names[h] = self.langs[lang[i]], LOWER[flat[first[i] : last[i] + 1]].tobytes().decode("utf-8", "replace")
+        known = np.arange(len(hashes)) if named is None else np.flatnonzero(named(hashes))
+        unique, at = np.unique(hashes[known], return_index=True)
+        lower = LOWER[flat].tobytes() if named is None else None
+        for h, i in zip(unique.tolist(), known[at].tolist()):
+            if h not in self.names:
+                word = lower[first[i] : last[i] + 1] if lower else LOWER[flat[first[i] : last[i] + 1]].tobytes()
+                self.names[h] = self.langs[lang[i]], word.decode("utf-8", "replace")
+
+    def sequence(self) -> np.ndarray:
+        return np.concatenate(self.hashes)
+
+    def spelled(self, unique: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Languages and spellings of the words with these hashes; none for 0."""
+        found = [self.names.get(h, ("", "")) for h in unique.tolist()]
+        out = np.empty((2, len(found)), object)
+        out[0], out[1] = [x[0] for x in found], [x[1] for x in found]
+        return out[0], out[1]
 
 
 def shards(batches: Iterator[pa.RecordBatch], named: Filter | None, most: int) -> Iterator[Shard]:
@@ -178,18 +202,27 @@ def shards(batches: Iterator[pa.RecordBatch], named: Filter | None, most: int) -
         yield shard
 
 
-def segments(hashes: np.ndarray, words: Filter, pairs: Filter | None = None) -> np.ndarray:
-    """The sequence with 0 for words that do not pass, between pairs that do not pass, and one 0 between segments of two words or more."""
+def segments(hashes: np.ndarray, words: Filter, pairs: Filter | None = None, triples: Filter | None = None) -> np.ndarray:
+    """The sequence cut so that no phrase in it holds a word, pair or triple that does not pass.
+
+    0 stands for words that do not pass and between pairs that do not. Where the triple a b c does not pass, b ends one
+    segment and begins the next: a b 0 b c. Each phrase of two words and more is as often in the result as before, if
+    all its parts pass. Words alone are left out, and of several 0 all but one.
+    """
     hashes = np.where((hashes != 0) & words(hashes), hashes, np.uint64(0))
     if pairs is not None:
-        apart = (hashes[:-1] != 0) & (hashes[1:] != 0)
-        at = np.flatnonzero(apart)
-        hashes = np.insert(hashes, at[~pairs(pair_hash(hashes[at], hashes[at + 1]))] + 1, np.uint64(0))
+        at = np.flatnonzero((hashes[:-1] != 0) & (hashes[1:] != 0))
+        hashes = np.insert(hashes, at[~pairs(joined_hash(hashes[at], hashes[at + 1]))] + 1, np.uint64(0))
     full = np.concatenate(([False], hashes != 0, [False]))
-    # a word without a neighbour is in no phrase; of several 0 one is enough
     alone = full[1:-1] & ~full[:-2] & ~full[2:]
     hashes = np.where(alone, np.uint64(0), hashes)
-    return hashes[(hashes != 0) | np.concatenate(([True], hashes[:-1] != 0))]
+    hashes = hashes[(hashes != 0) | np.concatenate(([True], hashes[:-1] != 0))]
+    if triples is not None:
+        at = np.flatnonzero((hashes[:-2] != 0) & (hashes[1:-1] != 0) & (hashes[2:] != 0))
+        at = at[~triples(joined_hash(joined_hash(hashes[at], hashes[at + 1]), hashes[at + 2]))]
+        twice = np.stack((np.zeros(len(at), np.uint64), hashes[at + 1]), axis=1).ravel()
+        hashes = np.insert(hashes, np.repeat(at + 2, 2), twice)
+    return hashes
 
 
 def dense(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -199,61 +232,64 @@ def dense(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_words(docs: DataFrame, most: int) -> DataFrame:
-    """``lang``, ``word`` (a hash) and ``n``, per shard."""
+    """``lang``, ``phrase`` (a word) and ``n``, per shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in shards(batches, None, most):
-            hashes, lang = np.concatenate(shard.hashes), np.concatenate(shard.lang)
-            unique, at, n = np.unique(hashes, return_index=True, return_counts=True)
-            there = unique != 0
-            names = pa.array(shard.langs).take(pa.array(lang[at[there]]))
-            yield pa.RecordBatch.from_arrays([names, pa.array(unique[there].view(np.int64)), pa.array(n[there])], ["lang", "word", "n"])
+            unique, n = np.unique(shard.sequence(), return_counts=True)
+            langs, words = shard.spelled(unique[there := unique != 0])
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(n[there])], ["lang", "phrase", "n"])
 
-    return docs.mapInArrow(run, "lang string, word long, n long")
+    return docs.mapInArrow(run, "lang string, phrase string, n long")
 
 
-def count_pairs(docs: DataFrame, words, most: int) -> DataFrame:
-    """``pair`` (a hash) and ``n``, per shard, of pairs of words that pass."""
+def hash_words(words: DataFrame) -> DataFrame:
+    """``hash`` of each ``lang`` and ``phrase`` of one word, as shards have it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in shards(batches, None, most):
-            ids, hashes = dense(segments(np.concatenate(shard.hashes), words.value))
-            index = ShardIndex(ids, 2)
-            index.extend(0)
-            pair = pair_hash(hashes[index.grams[:, 0]], hashes[index.grams[:, 1]])
-            yield pa.RecordBatch.from_arrays([pa.array(pair.view(np.int64)), pa.array(index.size)], ["pair", "n"])
+        for batch in batches:
+            hashes, _, _ = word_spans(*flat_bytes(batch.column("phrase")), IS_GAP)
+            salts = np.array([salt(lang) for lang in batch.column("lang").to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(of_language(hashes, salts).view(np.int64))], ["hash"])
+
+    return words.select("lang", "phrase").mapInArrow(run, "hash long")
+
+
+def count_hashed(docs: DataFrame, length: int, filters: list, most: int) -> DataFrame:
+    """``hash`` and ``n``, per shard, of phrases of 2 or 3 words whose words and pairs pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in shards(batches, NOTHING, most):
+            ids, hashes = dense(segments(shard.sequence(), *(f.value for f in filters)))
+            index = ShardIndex(ids, length)
+            for k in range(1, length):
+                index.extend(k % 2)
+            phrase = hashes[index.grams[:, 0]]
+            for k in range(1, length):
+                phrase = joined_hash(phrase, hashes[index.grams[:, k]])
+            yield pa.RecordBatch.from_arrays([pa.array(phrase.view(np.int64)), pa.array(index.size)], ["hash", "n"])
 
-    return docs.mapInArrow(run, "pair long, n long")
+    return docs.mapInArrow(run, "hash long, n long")
 
 
-def count_phrases(docs: DataFrame, words, pairs, longest: int, most: int) -> DataFrame:
-    """``lang``, ``phrase`` and ``n``, per shard, of words that pass and of phrases all of whose pairs do."""
+def count_phrases(docs: DataFrame, filters: list, longest: int, most: int) -> DataFrame:
+    """``lang``, ``phrase`` and ``n``, per shard, of phrases of 2 to ``longest`` words all of whose parts pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(ids: list[np.ndarray], sizes: np.ndarray) -> pa.RecordBatch:
-            spelled = [texts[i] for i in ids]
-            phrases = spelled[0] if len(ids) == 1 else list(map(" ".join, zip(*spelled)))
-            return pa.RecordBatch.from_arrays([pa.array(langs[ids[0]], pa.string()), pa.array(phrases, pa.string()), pa.array(sizes)], ["lang", "phrase", "n"])
-
-        def names(unique: np.ndarray, shard: Shard) -> tuple[np.ndarray, np.ndarray]:
-            found = [shard.names.get(h, ("", "")) for h in unique.tolist()]
-            both = np.empty((2, len(found)), object)
-            both[0], both[1] = [x[0] for x in found], [x[1] for x in found]
-            return both[0], both[1]
-
-        for shard in shards(batches, words.value, most):
-            hashes = np.concatenate(shard.hashes)
-            unique, n = np.unique(hashes[(hashes != 0) & words.value(hashes)], return_counts=True)
-            langs, texts = names(unique, shard)
-            for at in range(0, len(unique), 100_000):
-                yield rows([np.arange(at, min(at + 100_000, len(unique)))], n[at : at + 100_000])
-            ids, unique = dense(segments(hashes, words.value, pairs.value))
-            langs, texts = names(unique, shard)
+        passed = [f.value for f in filters]
+        for shard in shards(batches, passed[0], most):
+            ids, unique = dense(segments(shard.sequence(), *passed))
+            langs, words = shard.spelled(unique)
             index = ShardIndex(ids, longest)
             for length in range(2, longest + 1):
                 index.extend(length % 2)
                 for at in range(0, len(index.size), 100_000):
-                    yield rows(list(index.grams[at : at + 100_000].T), index.size[at : at + 100_000])
+                    grams = index.grams[at : at + 100_000].T
+                    phrases = list(map(" ".join, zip(*(words[g] for g in grams))))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(langs[grams[0]], pa.string()), pa.array(phrases, pa.string()), pa.array(index.size[at : at + 100_000])],
+                        ["lang", "phrase", "n"],
+                    )
 
     return docs.mapInArrow(run, "lang string, phrase string, n long")
 
@@ -271,19 +307,21 @@ def collocations(
     ids count each time; texts of any length are counted whole, and columns beside ``text`` and ``lang`` are not read.
     An empty table, or one without frequent phrases, gives no rows.
 
-    A phrase cannot be frequent unless its words and pairs are. So shards count words first, then pairs of frequent
-    words, then phrases of frequent pairs; hashed filters of a bounded size carry what is frequent, and pass too much at
-    worst. The counts that are returned are those of whole phrases, by their text.
+    A phrase cannot be frequent unless its parts are. So shards count words first, then pairs of frequent words, triples
+    of frequent pairs, and phrases of frequent triples; hashed filters of a bounded size carry what is frequent, and
+    pass too much at worst. The counts that are returned are those of whole phrases, by their text.
     """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    words = materialize(count_words(texts, shard_words).groupBy("lang", "word").agg(F.sum("n").alias("n")), "collocation-words")
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    known = spark.sparkContext.broadcast(filter_of(words.where(F.col("n") >= least), "word"))
-    counted = count_pairs(texts, known, shard_words).groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    pairs = spark.sparkContext.broadcast(filter_of(materialize(counted.select("pair"), "collocation-pairs"), "pair"))
-    counted = count_phrases(texts, known, pairs, longest, shard_words).groupBy("lang", "phrase").agg(F.sum("n").alias("a"))
-    phrases = materialize(counted.where(F.col("a") >= least), "collocation-phrases")
+    words = materialize(count_words(texts, shard_words).groupBy("lang", "phrase").agg(F.sum("n").alias("a")), "collocation-words")
+    totals = words.groupBy("lang").agg(F.sum("a").alias("n"))
+    words = words.where(F.col("a") >= least)
+    filters = [spark.sparkContext.broadcast(filter_of(materialize(hash_words(words), "collocation-filter"), "hash"))]
+    for length in range(2, min(longest, 4)):
+        counted = count_hashed(texts, length, filters, shard_words).groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        filters.append(spark.sparkContext.broadcast(filter_of(materialize(counted.select("hash"), "collocation-filter"), "hash")))
+    counted = count_phrases(texts, filters, longest, shard_words).groupBy("lang", "phrase").agg(F.sum("n").alias("a"))
+    phrases = materialize(words.unionByName(counted.where(F.col("a") >= least)), "collocation-phrases")
     return _scored(phrases, totals, longest, best, cover)
 
 
