@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyscore.storage import materialize
+from keyscore.functions.trees import FlatTrees, saved_trees, walk
+from keyscore.storage import forget, fresh_path, materialize
 
 
 def group_count(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -84,55 +85,51 @@ def auc_score(df: DataFrame, score: str = "score") -> DataFrame:
     return df.sparkSession.createDataFrame([(auc_score_value(df, score),)], "auc double")
 
 
-def boosting_rounds(model, step: float = 1.0) -> list[tuple[object, float]]:
-    """(model of the round, its weight) of a boosted-tree model, or of a boosted forest with its step."""
-    if hasattr(model, "treeWeights"):
-        return list(zip(model.trees, model.treeWeights))
-    return [(stage, step) for stage in model.stages if hasattr(stage, "trees")]
+def flat_trees(model, classes: bool = False, step: float = 1.0) -> FlatTrees:
+    """The trees of a fitted ensemble as flat arrays, from the table of nodes that it saves.
 
-
-def margins_by_round(df: DataFrame, model, step: float = 1.0) -> DataFrame:
-    """Margin after each boosting round, as ``margin0, margin1, ...`` after the columns.
-
-    Every round runs once over each row; its margin adds to that of the round before.
+    Of a forest (``classes``) the output is the mean share of class 1 over its trees; of boosted trees, or of a boosted
+    forest, whose ``step`` weighs each round, the margin after each round.
     """
-    out, margin, rounds = df, F.lit(0.0), boosting_rounds(model, step)
-    for i, (part, weight) in enumerate(rounds):
-        out = part.copy().setPredictionCol(f"_tree{i}").transform(out)
-        margin = margin + F.lit(float(weight)) * F.col(f"_tree{i}")
-        out = out.withColumn(f"margin{i}", margin)
-    return out.select(*df.columns, *[f"margin{i}" for i in range(len(rounds))])
+    parts = [stage for stage in model.stages if hasattr(stage, "trees")] if hasattr(model, "stages") else [model]
+    spark, trees, weights, rounds = SparkSession.active(), [], [], []
+    for part in parts:
+        path = fresh_path(spark, "trees")
+        part.write().overwrite().save(path)
+        found = saved_trees(spark.read.parquet(f"{path}/data"), classes)
+        boosted = not classes and len(parts) == 1
+        rounds += range(len(trees), len(trees) + len(found)) if boosted else [len(trees)]
+        trees += found
+        weights += list(part.treeWeights) if boosted else [step / len(found)] * len(found)
+    return FlatTrees.of(trees, weights, rounds)
 
 
-def forest_votes(df: DataFrame, model) -> DataFrame:
-    """Mean class-1 share of a forest's trees as ``vote``; every tree runs once over each row."""
-    out, total = df, F.lit(0.0)
-    for i, tree in enumerate(model.trees):
-        tree = tree.copy().setPredictionCol(f"_tree{i}").setRawPredictionCol("").setProbabilityCol(f"_share{i}")
-        out = tree.transform(out)
-        total = total + vector_to_array(F.col(f"_share{i}"))[1]
-    out = out.withColumn("vote", total / F.lit(float(len(model.trees))))
-    return out.select(*df.columns, "vote")
+def margins_by_round(df: DataFrame, model, step: float = 1.0, features: str = "features") -> DataFrame:
+    """Margin after each boosting round, as the array ``margins``: all trees in one pass over the rows."""
+    return df.withColumn("margins", walk(vector_to_array(features), flat_trees(model, step=step)))
 
 
-def auc_by_round(df: DataFrame, model, step: float = 1.0, features: str = "features") -> DataFrame:
-    """AUC of the scores after each boosting round.
+def forest_votes(df: DataFrame, model, features: str = "features") -> DataFrame:
+    """Mean class-1 share of a forest's trees as ``vote``: all trees in one pass over the rows."""
+    return df.withColumn("vote", walk(vector_to_array(features), flat_trees(model, classes=True))[0])
 
-    The margins are written once and every round reads its own. Those of boosted trees are few (one per combination of
-    leaves), so their rows are counted first; those of forests are nearly all different, and are written as they are.
-    """
-    margins = margins_by_round(df.select("label", features), model, step).drop(features)
-    rounds = len(margins.columns) - 1
-    few = hasattr(model, "treeWeights")
-    counted = margins.groupBy(*margins.columns).agg(F.count("*").alias("_weight")) if few else margins.withColumn("_weight", F.lit(1))
-    counts = materialize(counted, "margins")
+
+def auc_of_margins(scored: DataFrame, rounds: int, digits: int | None = None) -> DataFrame:
+    """AUC of each entry of ``margins``, rounded to ``digits`` if given, with rows of equal margins counted together."""
     rows = []
     for i in range(rounds):
-        evaluator = BinaryClassificationEvaluator(
-            rawPredictionCol=f"margin{i}", labelCol="label", weightCol="_weight", numBins=0
-        )
-        rows.append((i, evaluator.evaluate(counts)))
-    return df.sparkSession.createDataFrame(rows, "round int, auc double")
+        margin = F.col("margins")[i] if digits is None else F.round(F.col("margins")[i], digits)
+        rows.append((i, auc_score_value(scored.select("label", margin.alias("score")))))
+    return scored.sparkSession.createDataFrame(rows, "round int, auc double")
+
+
+def auc_by_round(df: DataFrame, model, step: float = 1.0, features: str = "features") -> DataFrame:
+    """AUC of the scores after each boosting round; the rows are scored once, and their margins kept for all rounds."""
+    flat = flat_trees(model, step=step)
+    scored = materialize(df.select("label", walk(vector_to_array(features), flat).alias("margins")), "margins")
+    out = auc_of_margins(scored, len(flat.rounds))
+    forget(scored)
+    return out
 
 
 def loss_history(model, df: DataFrame) -> DataFrame:

@@ -103,15 +103,6 @@ def fit_boosted_forest_query(spark, sf_dir):
     return _rounds(test, model, "test")
 
 
-@query("fit_xgb_style_gbt", ROUNDS_SQL)
-def fit_xgb_style_gbt(spark, sf_dir):
-    """Five rounds of depth 3: scores after each round, on train and test."""
-    train, test = parts(spark, sf_dir)
-    with shared(train.select("features", "label")) as rows:
-        model = fit_gbt(rows, iters=5, step=0.3, depth=3)
-        return union_all(_rounds(rows, model, "train"), _rounds(test, model, "test"))
-
-
 @query("fit_kmeans", "SELECT count(*) AS records, count(*) AS nearest, CAST(2 AS INT) AS clusters FROM events")
 def fit_kmeans_query(spark, sf_dir):
     """Every record is in the cluster whose fitted centre is nearest."""

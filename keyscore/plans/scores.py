@@ -88,7 +88,7 @@ def score_gbt(spark, sf_dir):
         model = fit_gbt(rows)
     scored = margins_by_round(score(ep.vectors(spark, sf_dir), model), model)
     # rawPrediction is (-margin, margin) of the last round
-    return _agree(scored, vector_to_array("rawPrediction")[1], F.col(f"margin{len(model.treeWeights) - 1}"))
+    return _agree(scored, vector_to_array("rawPrediction")[1], F.element_at("margins", -1))
 
 # fixed centres, from a rule
 CENTERS = [[((i + 2 * j) % 5) / 10 - 0.2 for i in range(64)] for j in range(3)]

@@ -38,8 +38,18 @@ def shared(df: DataFrame) -> Iterator[DataFrame]:
         df.unpersist()
 
 
+def forget(df: DataFrame) -> None:
+    """Remove what ``materialize`` wrote for ``df``, once nothing reads it any more; any other table is left alone."""
+    path = getattr(df, "_materialized", None)
+    if path is not None:
+        where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, so that later jobs start from files."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written._materialized = path
+    return written
