@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,10 +74,9 @@ def score_multi_model(
 ) -> DataFrame:
     """Score ``key, value`` messages of one schema with the model that each key names.
 
-    One pass: unknown keys go before anything is parsed, the features are made once, then every
-    model adds its own output columns and the key picks among them. The input is read once
-    however many models there are, in batch and in a stream, with no cached copy. Extra models
-    cost one vector product or tree walk per row, which is less than parsing the row again.
+    One pass: unknown keys go before anything is parsed, the features are made once, and each row is
+    scored by the model of its key. The input is read once however many models there are, in batch and
+    in a stream, with no cached copy.
 
     ``features`` are fitted stages, or a layout of fixed scales, which takes any record. Models are anything that
     adds ``prediction``: a classifier, a fitted chain of stages, or support vectors read from text. One without raw
@@ -91,28 +91,47 @@ def score_multi_model(
         table = slots.select("key", "uuid", "CurrentTime", F.col("Result").alias("label"), "features")
     else:
         table = to_feature_table(features.transform(take_valid(flat, plan, features, on_invalid)), plan)
-    raw = prediction = None
-    for i, (key, model) in enumerate(models.items()):
-        table = _named_outputs(model, table, f"_raw{i}", f"_prediction{i}")
-        here = F.col("key") == key
-        raw = F.when(here, F.col(f"_raw{i}")) if raw is None else raw.when(here, F.col(f"_raw{i}"))
-        chosen = F.col(f"_prediction{i}")
-        prediction = F.when(here, chosen) if prediction is None else prediction.when(here, chosen)
-    return table.select(
-        "key", "uuid", "CurrentTime", "label", raw.alias("rawPrediction"), prediction.alias("prediction")
-    )
+    scored = _by_key(table, models)
+    return scored.select("key", "uuid", "CurrentTime", "label", "rawPrediction", "prediction")
+
 
+def _by_key(table: DataFrame, models: Mapping[str, object]) -> DataFrame:
+    """``table`` with ``rawPrediction`` and ``prediction`` of the model that each row's key names.
 
-def _named_outputs(model, table: DataFrame, raw: str, prediction: str) -> DataFrame:
-    """``table`` with a model's raw and final predictions under names of their own."""
-    if hasattr(model, "setRawPredictionCol"):
-        copy = model.copy().setRawPredictionCol(raw).setPredictionCol(prediction)
-        # an empty name switches an output off; SVMs have no probability
-        copy = copy.setProbabilityCol("") if hasattr(copy, "setProbabilityCol") else copy
-        return copy.transform(table)
-    scored = model.transform(table)
-    margins = F.col("rawPrediction") if "rawPrediction" in scored.columns else F.lit(None).cast(VectorUDT())
-    return scored.select(*table.columns, margins.alias(raw), F.col("prediction").cast("double").alias(prediction))
+    A row is scored by its own model only. A model's raw margins stand in the branch of its key and nowhere else, so
+    Spark works them out for the rows of that branch; the prediction is the larger of the chosen margins. A model that
+    decides otherwise (a threshold, weights of classes) or has no raw margins brings its own prediction.
+    """
+    kept, raw, prediction = table.columns, F.lit(None).cast(VectorUDT()), F.lit(None).cast("double")
+    for i, (key, model) in enumerate(models.items()):
+        here = F.col("key") == key
+        if _plain_margins(model):
+            copy = model.copy().setRawPredictionCol(f"_raw{i}").setPredictionCol("")
+            # an empty name switches an output off; SVMs have no probability
+            copy = copy.setProbabilityCol("") if hasattr(copy, "setProbabilityCol") else copy
+            table = copy.transform(table)
+            raw = F.when(here, F.col(f"_raw{i}")).otherwise(raw)
+        else:
+            scored = model.transform(table)
+            if "rawPrediction" in scored.columns:
+                raw = F.when(here, F.col(f"_raw{i}")).otherwise(raw)
+            margins = F.col("rawPrediction") if "rawPrediction" in scored.columns else F.lit(None).cast(VectorUDT())
+            table = scored.select(*table.columns, margins.alias(f"_raw{i}"), F.col("prediction").cast("double").alias(f"_prediction{i}"))
+            prediction = F.when(here, F.col(f"_prediction{i}")).otherwise(prediction)
+    chosen = table.select(*kept, raw.alias("rawPrediction"), prediction.alias("_own"))
+    margins = vector_to_array("rawPrediction")
+    larger = F.when(F.col("rawPrediction").isNotNull(), (margins[1] > margins[0]).cast("double"))
+    return chosen.withColumn("prediction", F.coalesce("_own", larger)).drop("_own")
+
+
+def _plain_margins(model) -> bool:
+    """Whether a fitted classifier predicts the class of the larger margin."""
+    if not hasattr(model, "setRawPredictionCol"):
+        return False
+    if model.hasParam("thresholds") and model.isDefined("thresholds"):
+        return False
+    plain = {"LinearSVCModel": 0.0}.get(type(model).__name__, 0.5)
+    return not model.hasParam("threshold") or model.getOrDefault("threshold") == plain
 
 
 def take_valid(flat: DataFrame, plan: ColumnPlan, features: PipelineModel | None, on_invalid: str) -> DataFrame:
@@ -128,6 +147,33 @@ def take_valid(flat: DataFrame, plan: ColumnPlan, features: PipelineModel | None
     return named.observe("rejects", *counts).filter(F.col("_reason").isNull()).drop("_reason")
 
 
+def score_or_reject(df: DataFrame, features: PipelineModel | Layout, models: Mapping[str, object], layout: Layout) -> DataFrame:
+    """Every ``key, value`` message once, as ``output, key, value, reason``: one parse, two kinds of row.
+
+    A scored record is a ``result`` whose value is the JSON of its prediction. Anything else is a ``rejected`` one with
+    its text as it came and the reason: ``unknown key``, ``malformed``, or what the feature stages cannot take. Rejected
+    records go through the same stages with neutral values, so nothing is filtered away and read again.
+    """
+    known = F.coalesce(matched(list(models)), F.lit(False))
+    schema, plan = endpoint_schema(layout), column_plan(layout)
+    parsed = df.select("key", "value", F.from_json(F.when(known, F.col("value")), schema).alias("data"))
+    flat = parsed.select("key", "value", "data", "data.uuid", "data.CurrentTime", "data.Result", "data.Categories.*", "data.Sensors.*")
+    nothing = reduce(lambda a, b: a & b, [F.col(f"data.{name}").isNull() for name in schema.names])
+    stages = None if isinstance(features, Layout) else features
+    reason = F.when(~known, "unknown key").when(nothing, "malformed").otherwise(reject_reason(plan, stages))
+    judged = flat.withColumn("reason", reason)
+    fine = F.col("reason").isNull()
+    neutral = {c: F.when(fine, F.col(c)).otherwise(F.lit(0)) for c in plan.categories}
+    neutral |= {c: F.when(fine, F.col(c)).otherwise(F.lit(0.0)) for c in plan.sensors}
+    clean = judged.withColumns(neutral)
+    made = fixed_layout(clean, features) if isinstance(features, Layout) else features.transform(clean)
+    scored = _by_key(made.select("key", "value", "reason", "uuid", "CurrentTime", F.col("Result").alias("label"), "features"), models)
+    result = F.to_json(F.struct("key", "uuid", "CurrentTime", "label", "prediction"))
+    return scored.select(
+        F.when(fine, "result").otherwise("rejected").alias("output"), "key", F.when(fine, result).otherwise(F.col("value")).alias("value"), "reason"
+    )
+
+
 def thin_results(scored: DataFrame) -> DataFrame:
     """key, uuid, recordTime and the prediction as a whole number."""
     return scored.select("key", "uuid", F.col("CurrentTime").alias("recordTime"), F.col("prediction").cast("int").alias("prediction"))

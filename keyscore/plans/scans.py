@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from dataclasses import asdict
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from keyscore.functions.scalar import parse_json
@@ -52,6 +53,15 @@ def drain(df, name):
     return spark.read.schema(df.schema).parquet(out), query
 
 
+def run_to_failure(start):
+    """Start a query that must fail, and wait until it has."""
+    try:
+        start().awaitTermination()
+    except StreamingQueryException:
+        return
+    raise AssertionError("the failure was not reported")
+
+
 def identities(df):
     """key, uuid, Result and one sensor of each message."""
     parsed = parse_json(df.select("key", "value"), endpoint_schema())
@@ -84,14 +94,24 @@ def src_kafka_metadata(spark, sf_dir):
     return rows.select("key", F.get_json_object("value", "$.uuid").alias("uuid"), "partition", "offset")
 
 
+#: Bytes of messages in a file of the stream whose rate is limited.
+RATE_FILE_BYTES = 8 << 20
+
+
 @query("src_rate_limit", "SELECT count(*) AS rows, true AS limit_kept FROM events")
 def src_rate_limit(spark, sf_dir):
-    """All rows arrive, in micro-batches of two files each at most."""
-    path = ep.stage(ep.messages(spark, sf_dir).repartition(5), "messages")
+    """All rows arrive, and no micro-batch has more rows than the two largest files: two files each at most.
+
+    The number of files follows the bytes of the messages."""
+    path = fresh_path(spark, "messages")
+    messages = ep.messages(spark, sf_dir)
+    sizes = messages.agg(F.sum(F.octet_length("value")), F.count("*")).first()
+    per_file = max(1, RATE_FILE_BYTES * sizes[1] // max(sizes[0] or 1, 1))
+    messages.write.option("maxRecordsPerFile", per_file).json(path)
     with ProgressLog(spark, fresh_path(spark, "progress")) as log:
         rows, run = drain(read_stream(spark, "json", {"path": path}, max_per_trigger=2), "received")
-        batches = log.of(run).filter("rows > 0").count()
-    return rows.agg(F.count("*").alias("rows")).withColumn("limit_kept", F.lit(batches == 3))
+        most = log.of(run).agg(F.max("rows")).first()[0] or 0
+    return rows.agg(F.count("*").alias("rows")).withColumn("limit_kept", F.lit(most <= 2 * per_file))
 
 
 # --- feature files -------------------------------------------------------------------------------

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from keyscore.functions.scalar import emit_json
@@ -12,13 +11,13 @@ from keyscore.operators.scoring import score_linear
 from keyscore.operators.training import fit_logreg
 from keyscore.plans import endpoints as ep
 from keyscore.plans.catalog import query
-from keyscore.plans.scans import drain, identities, labelled
-from keyscore.records import ENDPOINT, column_plan
+from keyscore.plans.scans import drain, identities, labelled, run_to_failure
+from keyscore.records import ENDPOINT, MESSAGE_SCHEMA, column_plan
 from keyscore.sources.registry import artefact_path, load_model, save_model
 from keyscore.sources.sinks import REPORT_SCHEMA, preview, to_feature_csv, to_messages, to_svmlight, write_report
 from keyscore.sources.streams import read_stream
 from keyscore.storage import fresh_path, shared
-from keyscore.streaming.jobs import idempotent_writer, write_foreach_batch
+from keyscore.streaming.outputs import read_published, read_rows, row_writer, write_published, write_rows
 
 
 def _stream(spark, sf_dir):
@@ -32,39 +31,51 @@ def sink_kafka_append(spark, sf_dir):
     return identities(rows)
 
 
+def _line(row):
+    """The text of a message; a function of its own, so that it travels with the writer."""
+    import json
+
+    return json.dumps([row.key, row.value])
+
+
 @query("sink_foreach", f"WITH {ep.EP} SELECT key, uuid, Result, sensor0 FROM ep")
 def sink_foreach(spark, sf_dir):
-    """One writer per micro-batch, given all of its rows."""
-    out = fresh_path(spark, "foreach")
+    """A row writer fails in the middle of an epoch, after some of its partitions are closed; the epoch is replayed, and
+    those partitions refuse to be opened again."""
+    path = ep.stage(ep.messages(spark, sf_dir).repartition(8, "value"), "messages")
+    out, checkpoint = fresh_path(spark, "foreach"), fresh_path(spark, "checkpoint")
+
+    def run(line):
+        stream = read_stream(spark, "json", {"path": path}, max_bytes=ep.BATCH_BYTES)
+        return write_rows(stream, row_writer(out, line), checkpoint, available_now=True)
+
+    def fails(row):
+        import json
 
-    def writer(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        if json.loads(row.value)["uuid"].endswith("77"):
+            raise RuntimeError("the writer is gone")
+        return json.dumps([row.key, row.value])
 
-    write_foreach_batch(_stream(spark, sf_dir), writer, fresh_path(spark, "checkpoint"), available_now=True).awaitTermination()
-    return identities(spark.read.parquet(out))
+    run_to_failure(lambda: run(fails))
+    run(_line).awaitTermination()
+    pair = F.from_json("value", "array<string>")
+    return identities(read_rows(spark, out).select(pair[0].alias("key"), pair[1].alias("value")))
 
 
 @query("sink_exactly_once", f"WITH {ep.EP} SELECT key, uuid, Result, sensor0 FROM ep")
 def sink_exactly_once(spark, sf_dir):
-    """The first micro-batch is written and then fails before its commit, so it is replayed; each row is there once."""
-    out, checkpoint = fresh_path(spark, "idempotent"), fresh_path(spark, "checkpoint")
-    write, path = idempotent_writer(out), ep.stage(ep.messages(spark, sf_dir), "messages")
+    """The first micro-batch is lost between its tasks' commits and its publication. A reader sees none of it; replayed,
+    each row is there once."""
+    out, checkpoint = fresh_path(spark, "published"), fresh_path(spark, "checkpoint")
+    path = ep.stage(ep.messages(spark, sf_dir), "messages")
 
-    def run(writer):
+    def run(**more):
         stream = read_stream(spark, "json", {"path": path}, max_bytes=ep.BATCH_BYTES)
-        return write_foreach_batch(stream, writer, checkpoint, available_now=True)
-
-    def fails(batch, batch_id):
-        write(batch, batch_id)
-        raise RuntimeError("lost before the commit")
-
-    try:
-        run(fails).awaitTermination()
-        raise AssertionError("the failure was not reported")
-    except StreamingQueryException:
-        pass
-    run(write).awaitTermination()
-    return identities(spark.read.parquet(out))
+        return write_published(stream, out, checkpoint, available_now=True, **more)
+
+    run_to_failure(lambda: run(fail_batch=0))
+    run().awaitTermination()
+    return identities(read_published(spark, out, MESSAGE_SCHEMA))
 
 
 @query(
