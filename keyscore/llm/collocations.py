@@ -20,7 +20,7 @@ IS_END[list(ENDS.encode())] = True
 IS_GAP = IS_END.copy()
 IS_GAP[list(b" \t")] = True
 
-#: Words of a shard's index.
+#: Words of a shard's index; a shard that keeps the spelling of all its words has half as many.
 SHARD_WORDS = 2_000_000
 #: Bits of a filter for each thing that it lets pass, and the bits of the smallest and largest filter as powers of two.
 FILTER_BITS, SMALLEST, LARGEST = 16, 18, 28
@@ -313,7 +313,7 @@ def collocations(
     """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    words = materialize(count_words(texts, shard_words).groupBy("lang", "phrase").agg(F.sum("n").alias("a")), "collocation-words")
+    words = materialize(count_words(texts, max(1, shard_words // 2)).groupBy("lang", "phrase").agg(F.sum("n").alias("a")), "collocation-words")
     totals = words.groupBy("lang").agg(F.sum("a").alias("n"))
     words = words.where(F.col("a") >= least)
     filters = [spark.sparkContext.broadcast(filter_of(materialize(hash_words(words), "collocation-filter"), "hash"))]
