@@ -100,23 +100,23 @@ def nearest(features: Column, centers: np.ndarray) -> Column:
     return index(features)
 
 
-def fourier_features(features: Column, directions: np.ndarray, phases: np.ndarray) -> Column:
-    """sqrt(2/D) * cos(W x + b): random features whose inner product approximates an RBF kernel."""
+def kernel_features(features: Column, marks: np.ndarray, whiten: np.ndarray, gamma: float) -> Column:
+    """exp(-gamma |x - m_i|^2) for all landmarks, times ``whiten``."""
     matrix, row_block = _matrix(), ROWS_PER_BLOCK
-    directions, phases = np.asarray(directions, float), np.asarray(phases, float)
+    marks, whiten = np.asarray(marks, float), np.asarray(whiten, float)
 
     @F.arrow_udf("array<double>")
-    def project(column):
+    def lift(column):
         import numpy as np
         import pyarrow as pa
 
-        dim, width = directions.shape
-        x = matrix(column, dim)
-        out = np.empty((len(x), width))
+        x = matrix(column, marks.shape[1])
+        out = np.empty((len(x), whiten.shape[1]))
         for r in range(0, len(x), row_block):
-            out[r : r + row_block] = np.cos(x[r : r + row_block] @ directions + phases)
-        out *= np.sqrt(2.0 / width)
-        offsets = np.arange(len(x) + 1, dtype=np.int32) * width
+            rows = x[r : r + row_block]
+            dist = (rows**2).sum(1)[:, None] + (marks**2).sum(1)[None, :] - 2.0 * rows @ marks.T
+            out[r : r + row_block] = np.exp(-gamma * np.maximum(dist, 0.0)) @ whiten
+        offsets = np.arange(len(x) + 1, dtype=np.int32) * whiten.shape[1]
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel()))
 
-    return project(features)
+    return lift(features)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -31,6 +31,11 @@ def cast_kv(df: DataFrame, *extra: str) -> DataFrame:
     return df.selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value", *extra)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is worked out once although ``body`` names it often."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def fmt(col: Column, digits: int = 3) -> Column:
     """Number as text with a fixed number of decimals."""
     return F.format_string(f"%.{digits}f", col.cast("double"))

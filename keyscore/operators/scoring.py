@@ -7,12 +7,12 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyscore.functions.kernels import nearest, rbf_margin
 from keyscore.functions.scalar import argmax2, logistic, weighted_sum
-from keyscore.sources.documents import SvmParams
+from keyscore.sources.documents import SvmParams, read_svm_model, write_svm_model
 from keyscore.storage import fresh_path
 
 # Bytes of support vectors that a task holds; what a model has beyond is read again for each batch of rows.
@@ -92,11 +92,18 @@ def score_rbf_svm(
 
 
 class SvmTextModel:
-    """A kernel-SVM read from text, with the ``transform`` of a fitted model: adds ``margin`` and ``prediction``."""
+    """A kernel-SVM, fitted or read from text, with the ``transform`` of a model: adds ``margin`` and ``prediction``."""
 
     def __init__(self, params: SvmParams, sv_df: DataFrame):
         self.params, self.sv_df = params, sv_df
 
+    @classmethod
+    def load(cls, path: str) -> SvmTextModel:
+        return cls(*read_svm_model(SparkSession.active(), path))
+
+    def save(self, path: str) -> str:
+        return write_svm_model(self.params, self.sv_df, path)
+
     def transform(self, df: DataFrame) -> DataFrame:
         return score_svm_model(df, self.params, self.sv_df)
 

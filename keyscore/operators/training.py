@@ -7,26 +7,25 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce
 
 import numpy as np
-from pyspark import inheritable_thread_target, keyword_only
-from pyspark.ml import Model, PipelineModel, Transformer
+from pyspark import inheritable_thread_target
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyscore.functions.kernels import fourier_features
+from keyscore.functions.kernels import kernel_features
 from keyscore.operators.evaluation import centers, report_rows, silhouette
 from keyscore.operators.features import build_pipeline, feature_table
+from keyscore.operators.scoring import SvmTextModel
 from keyscore.records import StreamConfig, column_plan
+from keyscore.sources.documents import SvmParams
 from keyscore.sources.registry import artefact_path, load_model, save_model
 from keyscore.sources.sinks import write_report
-from keyscore.storage import materialize, shared
+from keyscore.storage import forget, materialize, shared
 
 
 def fit_logreg(df: DataFrame, max_iter: int = 100, reg: float = 0.02, elastic: float = 0.8, features: str = "features"):
@@ -76,7 +75,7 @@ def fit_boosted_forest(
     a leaf holds sum(residual) / sum(hessian). The result is a chain of plain Spark stages that
     adds ``margin``, ``probability1`` and ``prediction``, saved and loaded like any other.
     """
-    stages, margin = [], "0.0"
+    stages, margin, before = [], "0.0", None
     scored = df.select("features", F.col("label").cast("double").alias("label"), F.lit(0.0).alias("_margin"))
     for i in range(rounds):
         p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_margin")))
@@ -88,6 +87,9 @@ def fit_boosted_forest(
             ),
             "boosting",
         )
+        if i:
+            forget(before)
+        before = target
         forest = RandomForestRegressor(
             labelCol="_target",
             weightCol="_weight",
@@ -103,6 +105,7 @@ def fit_boosted_forest(
         scored = forest.transform(target).select(
             "features", "label", (F.col("_margin") + F.lit(float(step)) * F.col(f"_round{i}")).alias("_margin")
         )
+    forget(before)
     drop = ", ".join(f"_round{i}" for i in range(rounds))
     stages.append(SQLTransformer(statement=f"SELECT *, {margin} AS margin FROM __THIS__"))
     stages.append(
@@ -114,27 +117,11 @@ def fit_boosted_forest(
     return PipelineModel(stages)
 
 
-class RandomFourier(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """Random Fourier features of an RBF kernel; the projection is drawn from the seed."""
-
-    gamma = Param(Params._dummy(), "gamma", "kernel width", TypeConverters.toFloat)
-    components = Param(Params._dummy(), "components", "number of features", TypeConverters.toInt)
-    size = Param(Params._dummy(), "size", "length of the input vectors", TypeConverters.toInt)
-    seed = Param(Params._dummy(), "seed", "random seed", TypeConverters.toInt)
-
-    @keyword_only
-    def __init__(self, *, inputCol="features", outputCol="kernel", gamma=1.0, components=256, size=1, seed=42):
-        super().__init__()
-        self._setDefault(inputCol="features", outputCol="kernel", gamma=1.0, components=256, size=1, seed=42)
-        self._set(**self._input_kwargs)
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        rng = np.random.RandomState(self.getOrDefault(self.seed))
-        size, width = self.getOrDefault(self.size), self.getOrDefault(self.components)
-        directions = rng.normal(scale=np.sqrt(2.0 * self.getOrDefault(self.gamma)), size=(size, width))
-        phases = rng.uniform(0.0, 2.0 * np.pi, size=width)
-        projected = fourier_features(vector_to_array(F.col(self.getInputCol())), directions, phases)
-        return df.withColumn(self.getOutputCol(), array_to_vector(projected))
+def landmarks(df: DataFrame, n: int, features: str = "features") -> np.ndarray:
+    """``n`` different rows of the data, or all if there are fewer: those whose hash comes first, whatever the partitioning."""
+    x = vector_to_array(features)
+    rows = df.select(x.alias("x")).where("x IS NOT NULL").withColumn("h", F.xxhash64("x")).distinct().orderBy("h").limit(n).collect()
+    return np.array([r.x for r in rows], float)
 
 
 def fit_rbf_svm(
@@ -143,23 +130,37 @@ def fit_rbf_svm(
     gamma: float | None = None,
     C: float = 2.0,
     n_components: int = 256,
-    seed: int = 42,
     max_iter: int = 100,
     tol: float = 1e-4,
-) -> PipelineModel:
-    """RBF support-vector classifier: random Fourier features and a linear SVM.
+    labels: tuple[int, int] = (1, 0),
+) -> SvmTextModel:
+    """RBF support-vector classifier whose support vectors are ``n_components`` landmarks drawn from the data.
+
+    Nystrom's form: a row becomes its kernel values with the landmarks, times the inverse square root of the landmarks'
+    own kernel matrix, and a linear SVM is fitted to that by Spark over all rows. Its margin is then a sum over the
+    landmarks, so the model is a kernel machine like any other: it is scored, written as text and read back as one.
 
-    ``gamma`` is 1/size by default. LIBSVM's C weighs the sum of the losses, Spark's regParam the
-    penalty against their mean, so regParam = 1 / (C * rows).
+    ``gamma`` is 1/size by default. LIBSVM's C weighs the sum of the losses, Spark's regParam the penalty against their
+    mean, so regParam = 1 / (C * rows).
     """
     gamma = 1.0 / size if gamma is None else gamma
-    lift = RandomFourier(gamma=gamma, components=n_components, size=size, seed=seed)
-    rows = df.count()
-    with shared(lift.transform(df).select("kernel", "label")) as lifted:
+    marks = landmarks(df, n_components)
+    if not len(marks):
+        raise ValueError("there are no rows to fit")
+    between = np.exp(-gamma * ((marks[:, None, :] - marks[None, :, :]) ** 2).sum(axis=2))
+    values, vectors = np.linalg.eigh(between)
+    kept = values > values.max() * 1e-10
+    whiten = vectors[:, kept] / np.sqrt(values[kept])
+    lifted = df.select(array_to_vector(kernel_features(vector_to_array("features"), marks, whiten, gamma)).alias("kernel"), "label")
+    with shared(lifted) as rows:
         svc = LinearSVC(
-            featuresCol="kernel", maxIter=max_iter, tol=tol, regParam=1.0 / (C * max(rows, 1)), standardization=False
-        ).fit(lifted)
-    return PipelineModel([lift, svc])
+            featuresCol="kernel", maxIter=max_iter, tol=tol, regParam=1.0 / (C * max(rows.count(), 1)), standardization=False
+        ).fit(rows)
+    coefs = whiten @ svc.coefficients.toArray()
+    table = [(float(c), [float(v) for v in mark]) for c, mark in zip(coefs, marks) if c != 0]
+    positive = sum(c > 0 for c, _ in table)
+    params = SvmParams("c_svc", "rbf", float(gamma), -float(svc.intercept), labels, (positive, len(table) - positive))
+    return SvmTextModel(params, df.sparkSession.createDataFrame(table, "coef double, vector array<double>"))
 
 
 FITS = {

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keyscore.functions.scalar import let
+
 
 def read_documents(
     spark: SparkSession, path: str, fmt: str = "json", schema: T.StructType | None = None, **options
@@ -47,7 +49,8 @@ def dense(pairs: Column, width: int) -> Column:
     """``index:value`` texts as an array of ``width`` numbers, zero where there is no entry; wrong ones are an error."""
     wrong = F.filter(pairs, lambda p: ~_fits(p, width))
     values = F.map_from_arrays(F.transform(pairs, _index), F.transform(pairs, _value))
-    filled = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.coalesce(F.element_at(values, i), F.lit(0.0)))
+    slots = F.sequence(F.lit(0), F.lit(width - 1))
+    filled = let(values, lambda v: F.transform(slots, lambda i: F.coalesce(F.element_at(v, i), F.lit(0.0))))
     message = F.concat(F.lit(f"not an entry of {width} slots: "), wrong[0])
     return F.when(F.size(wrong) > 0, F.raise_error(message).cast("array<double>")).otherwise(filled)
 
@@ -116,3 +119,29 @@ def read_svm_model(spark: SparkSession, path: str, n_features: int | None = None
         raise ValueError(f"the header says {stated} and {params.total_sv} support vectors, there are {seen.n}, {seen.strange} of them without a number")
     width = n_features or (seen.largest or 0) + 1
     return params, body.select(number.alias("coef"), dense(pairs, width).alias("vector"))
+
+
+def write_svm_model(params: SvmParams, vectors: DataFrame, path: str) -> str:
+    """Write a kernel-SVM model as text: the header, then a line ``coef index:value ...`` for each vector, zeros left out.
+
+    Vectors of the first label (positive coefficients) come first, as the header's counts have it. Numbers are written
+    so that they read back as they were. The vectors stay distributed; the header is a part of its own, before theirs.
+    """
+    spark = vectors.sparkSession
+    lines = [
+        f"svm_type {params.svm_type}",
+        f"kernel_type {params.kernel}",
+        f"gamma {params.gamma!r}",
+        f"nr_class {len(params.labels)}",
+        f"total_sv {params.total_sv}",
+        f"rho {params.rho!r}",
+        "label " + " ".join(map(str, params.labels)),
+        "nr_sv " + " ".join(map(str, params.nr_sv)),
+        "SV",
+    ]
+    header = spark.createDataFrame(list(enumerate(lines)), "place long, line string").select(F.lit(0).alias("part"), F.col("place").cast("double").alias("at"), "line")
+    entry = F.transform("vector", lambda v, i: F.when(v != 0, F.concat(i.cast("string"), F.lit(":"), v.cast("string"))))
+    line = F.concat_ws(" ", F.col("coef").cast("string"), F.concat_ws(" ", F.array_compact(entry)))
+    body = vectors.select(F.when(F.col("coef") > 0, 1).otherwise(2).alias("part"), F.col("coef").alias("at"), line.alias("line"))
+    header.unionByName(body).orderBy("part", "at").select("line").write.mode("overwrite").text(path)
+    return path

@@ -25,7 +25,6 @@ LOADERS = {
     "kmeans": KMeansModel,
     "softmax": LogisticRegressionModel,
     "forest": PipelineModel,
-    "rbf": PipelineModel,
 }
 
 
@@ -34,12 +33,20 @@ def artefact_path(base: str, kind: str, name: str) -> str:
 
 
 def save_model(model, path: str):
-    """Write a model or fitted feature stages, replacing what was there."""
-    model.write().overwrite().save(path)
+    """Write a model or fitted feature stages, replacing what was there; a kernel machine is written as text."""
+    if hasattr(model, "write"):
+        model.write().overwrite().save(path)
+    else:
+        model.save(path)
     return path
 
 
 def load_model(kind: str, path: str):
+    """A saved model; ``rbf`` is a kernel machine's text."""
+    if kind == "rbf":
+        from keyscore.operators.scoring import SvmTextModel
+
+        return SvmTextModel.load(path)
     return LOADERS[kind].load(path)
 
 

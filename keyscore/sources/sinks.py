@@ -65,8 +65,12 @@ def write_feature_csv(df: DataFrame, layout: Layout, path: str, features: str =
 
 
 def write_report(metrics: DataFrame, path: str) -> str:
-    """Evaluation rows (stream, model, metric, value), added to what the report holds."""
-    metrics.write.mode("append").json(path)
+    """Evaluation rows (stream, model, metric, value), added to what the report holds of other streams and models.
+
+    What it held of the same stream and model is replaced, so a run that is repeated does not double its rows.
+    """
+    parts = metrics.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stream", "model")
+    parts.json(path)
     return path
 
 

@@ -30,7 +30,7 @@ from keyscore.operators.training import (
     fit_softmax_lr,
     reload_parity,
 )
-from keyscore.sources.registry import load_models, load_registry, save_model
+from keyscore.sources.registry import load_model, load_models, load_registry, save_model
 from tests.fixtures import STREAMS
 
 
@@ -83,7 +83,8 @@ def test_rbf_svm_separates_a_ring_and_reloads(spark, ring, tmp_path):
     flat = accuracy(fit_linear_svc(ring).transform(ring)).first().accuracy
     model = fit_rbf_svm(ring, size=2)
     assert accuracy(model.transform(ring)).first().accuracy > 0.97 > flat + 0.2
-    again = PipelineModel.load(save_model(model, str(tmp_path / "rbf")))
+    again = load_model("rbf", save_model(model, str(tmp_path / "rbf")))
+    assert again.params == model.params and again.sv_df.count() == model.params.total_sv
     first, second = (
         {r.uuid: r.prediction for r in m.transform(ring).select("uuid", "prediction").collect()} for m in (model, again)
     )
