@@ -6,14 +6,14 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, OneHotEncoderModel, VectorAssembler
+from pyspark.ml.feature import MinMaxScaler, MinMaxScalerModel, OneHotEncoder, OneHotEncoderModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyscore.functions.scalar import feature_array, scale
 from keyscore.operators.projection import to_feature_table
-from keyscore.records import ColumnPlan, Layout
+from keyscore.records import ColumnPlan, Layout, StreamConfig, column_plan
 from keyscore.storage import fresh_path
 
 
@@ -65,6 +65,82 @@ def build_pipeline(plan: ColumnPlan, on_invalid: str = "error") -> Pipeline:
     )
 
 
+KEYED_MAPS = "categories map<string,int>, sensors map<string,double>"
+
+
+def stage_statistics(messages: DataFrame) -> DataFrame:
+    """What the stages of all streams need, from one pass over ``key, value`` messages of any schema.
+
+    A row for each (key, category, level) with its count, and one for each (key, sensor) with count, minimum and
+    maximum; a row without a name counts the key's records. Every record is read into two maps by one schema, so the
+    streams' own schemas are not needed, and rows are summed where they are read.
+    """
+    data = F.from_json("value", KEYED_MAPS)
+    entry = lambda kind, name, level, v: F.struct(F.lit(kind).alias("kind"), name.alias("name"), level.alias("level"), v.alias("v"))
+    none = F.lit(None)
+    whole = F.array(entry("record", none.cast("string"), none.cast("int"), none.cast("double")))
+    categories = F.transform(F.map_entries("data.categories"), lambda e: entry("category", e["key"], e["value"], none.cast("double")))
+    sensors = F.transform(F.map_entries("data.sensors"), lambda e: entry("sensor", e["key"], none.cast("int"), e["value"]))
+    empty = F.array().cast("array<struct<kind:string,name:string,level:int,v:double>>")
+    parts = F.concat(whole, F.coalesce(categories, empty), F.coalesce(sensors, empty))
+    rows = messages.select("key", data.alias("data")).select("key", F.inline(parts))
+    return rows.groupBy("key", "kind", "name", "level").agg(F.count("*").alias("n"), F.count("v").alias("values"), F.min("v").alias("low"), F.max("v").alias("high"))
+
+
+def fit_stages(messages: DataFrame, registry: Sequence[StreamConfig]) -> dict[str, PipelineModel]:
+    """The fitted feature stages of all configured streams, from one scan of their messages.
+
+    Encoder and scaler know a stream by its levels and ranges only. So each stream's stages are fitted on a few rows that
+    have every level and both ends of every range, which gives the same stages as its records do. A stream without
+    records, or with a null or missing value, is an error, as it is for the stages. What reaches the driver is a row for
+    each level and sensor, as many as the stages have parameters.
+    """
+    plans = {cfg.key: column_plan(cfg) for cfg in registry}
+    names = [n for plan in plans.values() for n in (*plan.categories, *plan.sensors)]
+    wanted = F.col("key").isin(*plans) & (F.col("name").isNull() | F.col("name").isin(*names))
+    found: dict[str, dict] = {key: {"n": 0, "levels": {}, "range": {}, "seen": {}} for key in plans}
+    for r in stage_statistics(messages).where(wanted).collect():
+        stream = found[r.key]
+        if r.kind == "record":
+            stream["n"] = r.n
+        elif r.kind == "category" and r.level is not None:
+            stream["levels"].setdefault(r.name, []).append(r.level)
+            stream["seen"][r.name] = stream["seen"].get(r.name, 0) + r.n
+        elif r.kind == "sensor":
+            stream["range"][r.name], stream["seen"][r.name] = (r.low, r.high), r["values"]
+    out = {}
+    for cfg in registry:
+        plan, stream = plans[cfg.key], found[cfg.key]
+        short = [n for n in (*plan.categories, *plan.sensors) if not stream["n"] or stream["seen"].get(n, 0) != stream["n"]]
+        if short:
+            raise ValueError(f"stream {cfg.key}: {stream['n']} records, not all of them with {', '.join(short)}")
+        levels = [sorted(stream["levels"][c]) for c in plan.categories]
+        ranges = [stream["range"][c] for c in plan.sensors]
+        rows = [
+            (*(x[i % len(x)] for x in levels), *(float(low if i == 0 else high) for low, high in ranges))
+            for i in range(max(2, *(len(x) for x in levels), 2))
+        ]
+        schema = ", ".join([*(f"`{c}` int" for c in plan.categories), *(f"`{c}` double" for c in plan.sensors)])
+        out[cfg.key] = build_pipeline(plan).fit(messages.sparkSession.createDataFrame(rows, schema))
+    return out
+
+
+def stage_slots(features: PipelineModel, plan: ColumnPlan, values: dict[str, Column]) -> list[Column]:
+    """The slots that fitted stages make, as expressions over the given values: indicators without the last level, then
+    sensors, scaled as the fitted scaler does."""
+    encoder = next(s for s in features.stages if isinstance(s, OneHotEncoderModel))
+    scaler = next(s for s in features.stages if isinstance(s, MinMaxScalerModel))
+    sizes = dict(zip(encoder.getInputCols(), encoder.categorySizes))
+    raw = [F.when(values[c] == level, 1.0).otherwise(0.0) for c in plan.categories for level in range(sizes[c] - 1)]
+    raw += [values[c] for c in plan.sensors]
+    out = []
+    for x, low, high in zip(raw, scaler.originalMin.toArray(), scaler.originalMax.toArray(), strict=True):
+        constant = F.lit(0.5 * (scaler.getMin() + scaler.getMax()))
+        step = (scaler.getMax() - scaler.getMin()) / (high - low) if high != low else 0.0
+        out.append((x - F.lit(float(low))) * F.lit(float(step)) + F.lit(scaler.getMin()) if step else constant)
+    return out
+
+
 def feature_table(df: DataFrame, model: PipelineModel, plan: ColumnPlan) -> DataFrame:
     """Apply fitted stages and keep identity columns, label and features."""
     return to_feature_table(model.transform(df), plan)
@@ -91,17 +167,19 @@ def feature_names(spark, layout: Layout) -> DataFrame:
 REASONS = ("null value", "not a number", "unseen category")
 
 
-def reject_reason(plan: ColumnPlan, features: PipelineModel | None) -> Column:
+def reject_reason(plan: ColumnPlan, features: PipelineModel | None, at: dict[str, Column] | None = None) -> Column:
     """Why the fitted stages cannot take a record, or null: a null or NaN value, or a category code never seen in the fit.
 
-    Malformed text parses to a record of nulls. Without stages (fixed scales) no code is unseen.
+    Malformed text parses to a record of nulls. Without stages (fixed scales) no code is unseen. ``at`` are the values
+    where they are not columns of their names.
     """
+    at = at or {c: F.col(c) for c in plan.categories + plan.sensors}
     encoders = [s for s in features.stages if isinstance(s, OneHotEncoderModel)] if features else []
     sizes = dict(zip(encoders[0].getInputCols(), encoders[0].categorySizes)) if encoders else {}
-    values = [F.col(c) for c in plan.categories + plan.sensors]
+    values = [at[c] for c in plan.categories + plan.sensors]
     some_null = reduce(lambda a, b: a | b, [v.isNull() for v in values])
-    some_nan = reduce(lambda a, b: a | b, [F.isnan(F.col(c).cast("double")) for c in plan.sensors], F.lit(False))
-    unseen = reduce(lambda a, b: a | b, [(F.col(c) < 0) | (F.col(c) >= sizes[c]) for c in plan.categories if c in sizes], F.lit(False))
+    some_nan = reduce(lambda a, b: a | b, [F.isnan(at[c].cast("double")) for c in plan.sensors], F.lit(False))
+    unseen = reduce(lambda a, b: a | b, [(at[c] < 0) | (at[c] >= sizes[c]) for c in plan.categories if c in sizes], F.lit(False))
     return F.when(some_null, "null value").when(some_nan, "not a number").when(unseen, "unseen category")
 
 

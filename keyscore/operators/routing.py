@@ -6,13 +6,13 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyscore.functions.scalar import parse_json
-from keyscore.operators.features import REASONS, fixed_layout, on_invalid_rows, reject_reason
+from keyscore.operators.features import REASONS, fixed_layout, on_invalid_rows, reject_reason, stage_slots
 from keyscore.operators.projection import flatten, to_feature_table
 from keyscore.records import ColumnPlan, Layout, StreamConfig, column_plan, endpoint_schema, record_schema
 from keyscore.sources.registry import Entry
@@ -95,24 +95,26 @@ def score_multi_model(
     return scored.select("key", "uuid", "CurrentTime", "label", "rawPrediction", "prediction")
 
 
-def _by_key(table: DataFrame, models: Mapping[str, object]) -> DataFrame:
+def _by_key(table: DataFrame, models: Mapping[str, object], inputs: Mapping[str, str] | None = None) -> DataFrame:
     """``table`` with ``rawPrediction`` and ``prediction`` of the model that each row's key names.
 
     A row is scored by its own model only. A model's raw margins stand in the branch of its key and nowhere else, so
     Spark works them out for the rows of that branch; the prediction is the larger of the chosen margins. A model that
-    decides otherwise (a threshold, weights of classes) or has no raw margins brings its own prediction.
+    decides otherwise (a threshold, weights of classes) or has no raw margins brings its own prediction. ``inputs`` names
+    the features of each key, where they are not ``features`` for all.
     """
     kept, raw, prediction = table.columns, F.lit(None).cast(VectorUDT()), F.lit(None).cast("double")
     for i, (key, model) in enumerate(models.items()):
         here = F.col("key") == key
         if _plain_margins(model):
             copy = model.copy().setRawPredictionCol(f"_raw{i}").setPredictionCol("")
+            copy = copy.setFeaturesCol(inputs[key]) if inputs else copy
             # an empty name switches an output off; SVMs have no probability
             copy = copy.setProbabilityCol("") if hasattr(copy, "setProbabilityCol") else copy
             table = copy.transform(table)
             raw = F.when(here, F.col(f"_raw{i}")).otherwise(raw)
         else:
-            scored = model.transform(table)
+            scored = model.transform(table.withColumn("features", F.col(inputs[key])) if inputs else table)
             if "rawPrediction" in scored.columns:
                 raw = F.when(here, F.col(f"_raw{i}")).otherwise(raw)
             margins = F.col("rawPrediction") if "rawPrediction" in scored.columns else F.lit(None).cast(VectorUDT())
@@ -206,6 +208,38 @@ def score_multi_schema(df: DataFrame, registry: Mapping[str, Entry], on_invalid:
     return union_all(*[score_stream_branch(df, entry, on_invalid) for entry in registry.values()])
 
 
+def score_variant(df: DataFrame, registry: Mapping[str, Entry], on_invalid: str = "error") -> DataFrame:
+    """The same scores in one branch: the text becomes a VARIANT once, and each key takes the fields of its own schema.
+
+    The fitted stages of a key are expressions over its fields and stand, like its model, in the key's branch of a CASE;
+    one plan reads the input once, with no union and no kept copy, so a stream uses any sink. ``error`` fails on a record
+    that its stages cannot take; ``skip`` leaves it out and counts it by reason in the observed metrics ``rejects``.
+    """
+    if on_invalid not in ("error", "skip"):
+        raise ValueError("on_invalid must be 'error' or 'skip'")
+    rows = df.filter(matched(list(registry))).select("key", F.try_parse_json("value").alias("_v"))
+    field = lambda path, kind: F.try_variant_get("_v", f"$.{path}", kind)
+    reason, vectors, names = F.lit(None).cast("string"), {}, {}
+    for i, (key, entry) in enumerate(registry.items()):
+        plan, here = column_plan(entry.config), F.col("key") == key
+        at = {c: field(f'categories["{c}"]', "int") for c in plan.categories} | {c: field(f'sensors["{c}"]', "double") for c in plan.sensors}
+        reason = F.when(here, reject_reason(plan, entry.features, at)).otherwise(reason)
+        slots = stage_slots(entry.features, plan, at)
+        names[key] = f"_features{i}"
+        vectors[names[key]] = array_to_vector(F.when(here, F.array(*slots)).otherwise(F.array(*[F.lit(0.0)] * len(slots))))
+    judged = rows.withColumn("_reason", F.when(F.col("_v").isNull(), "malformed").otherwise(reason))
+    if on_invalid == "skip":
+        counts = [F.count_if(F.col("_reason") == r).alias(r.replace(" ", "_")) for r in ("malformed", *REASONS)]
+        judged = judged.observe("rejects", *counts).filter(F.col("_reason").isNull())
+    else:
+        judged = judged.filter(F.when(F.col("_reason").isNull(), True).otherwise(F.raise_error(F.concat(F.lit("a record cannot be scored: "), "_reason")).cast("boolean")))
+    table = judged.select(
+        "key", field("uuid", "string").alias("uuid"), field("currentTime", "string").alias("currentTime"), field("result", "int").alias("label"), *(v.alias(n) for n, v in vectors.items())
+    )
+    scored = _by_key(table, {key: entry.model for key, entry in registry.items()}, names)
+    return scored.select("key", "uuid", "currentTime", "label", "rawPrediction", "prediction")
+
+
 def rejects(df: DataFrame, source: Layout | StreamConfig, features: PipelineModel) -> DataFrame:
     """Side output: ``key, value`` messages that the feature stages cannot take, and why.
 

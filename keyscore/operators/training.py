@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from keyscore.functions.kernels import kernel_features
 from keyscore.operators.evaluation import centers, report_rows, silhouette
-from keyscore.operators.features import build_pipeline, feature_table
+from keyscore.operators.features import build_pipeline, feature_table, fit_stages
 from keyscore.operators.scoring import SvmTextModel
 from keyscore.records import StreamConfig, column_plan
 from keyscore.sources.documents import SvmParams
@@ -175,10 +175,25 @@ FITS = {
 
 
 def _side_by_side(spark: SparkSession, tasks: Sequence[Callable[[], object]], parallelism: int) -> list:
-    """Run independent fits at the same time: one fit's small last tasks leave room for the next."""
+    """Run independent fits at the same time: one fit's small last tasks leave room for the next.
+
+    Each fit has a scheduler pool of its own. Where ``spark.scheduler.mode`` is FAIR, the pools share the cores evenly;
+    else the jobs queue up in the order they come.
+    """
     if parallelism <= 1 or len(tasks) <= 1:
         return [task() for task in tasks]
-    targets = [inheritable_thread_target(spark)(task) for task in tasks]
+
+    def in_pool(i: int, task: Callable[[], object]):
+        def run():
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{i % parallelism}")
+            try:
+                return task()
+            finally:
+                spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+        return inheritable_thread_target(spark)(run)
+
+    targets = [in_pool(i, task) for i, task in enumerate(tasks)]
     with ThreadPoolExecutor(max_workers=min(parallelism, len(tasks))) as pool:
         return list(pool.map(lambda target: target(), targets))
 
@@ -197,10 +212,11 @@ def fit_stream(
     base: str,
     kinds: Sequence[str] = ("lr", "svc", "rf", "gbt", "kmeans"),
     parallelism: int = 4,
+    stages: PipelineModel | None = None,
 ) -> dict[str, object]:
     """Fit feature stages and models for one stream on its flat records, and save each by its name."""
     plan = column_plan(cfg)
-    stages = build_pipeline(plan).fit(df)
+    stages = stages or build_pipeline(plan).fit(df)
     fitted = {"pipeline": stages, **fit_models(feature_table(df, stages, plan), kinds, parallelism)}
     for kind, model in fitted.items():
         save_model(model, artefact_path(base, kind, cfg.name))
@@ -213,9 +229,15 @@ def fit_per_stream(
     base: str,
     kinds: Sequence[str] = ("svc",),
     parallelism: int = 4,
+    messages: DataFrame | None = None,
 ) -> dict[str, dict[str, object]]:
-    """The same recipe for every configured stream, ``parallelism`` streams at a time."""
-    tasks = [partial(fit_stream, df_by_key[cfg.key], cfg, base, kinds, 1) for cfg in registry]
+    """The same recipe for every configured stream, ``parallelism`` streams at a time.
+
+    ``messages`` are all streams' ``key, value`` messages, if there are any: one scan of them then gives the feature
+    stages of every stream.
+    """
+    stages = fit_stages(messages, registry) if messages is not None else {}
+    tasks = [partial(fit_stream, df_by_key[cfg.key], cfg, base, kinds, 1, stages.get(cfg.key)) for cfg in registry]
     spark = next(iter(df_by_key.values())).sparkSession
     return dict(zip([cfg.key for cfg in registry], _side_by_side(spark, tasks, parallelism)))
 

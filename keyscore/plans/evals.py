@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from keyscore.operators.epochs import ScoreLog, fit_softmax_epochs
 from keyscore.operators.evaluation import (
     accuracy,
     auc_hard,
@@ -17,6 +18,7 @@ from keyscore.operators.evaluation import (
     prf,
     silhouette,
 )
+from keyscore.operators.routing import union_all
 from keyscore.operators.scoring import nearest_center
 from keyscore.operators.training import fit_gbt, fit_kmeans, fit_logreg
 from keyscore.plans import endpoints as ep
@@ -111,24 +113,56 @@ def eval_silhouette(spark, sf_dir):
     return silhouette(rows).select(F.round("silhouette", 6).alias("silhouette"))
 
 
+EPOCH_BATCHES, EPOCH_STEPS, EPOCH_RATE, MOMENTUM = 4, 6, 0.2, 0.9
+
+
+def _epochs_sql() -> str:
+    """Common tables ``l0``, ``l1``, ...: the loss of each step's mini-batch under the weights of all steps before it."""
+    out = [
+        ep.SLOTS,
+        f"""x AS MATERIALIZED (SELECT CAST(uuid AS BIGINT) AS id, Result AS y, unnest(range(-1, {ep.WIDTH})) AS slot,
+          unnest([1e0, {ep.slot_list()}]) AS f FROM slots)""",
+        "w0 AS (SELECT DISTINCT slot, 0e0 AS w, 0e0 AS v FROM x)",
+    ]
+    for k in range(EPOCH_STEPS):
+        out += [
+            f"""z{k} AS MATERIALIZED (SELECT id, y, sum(f * 2 * w) AS m FROM x JOIN w{k} USING (slot)
+              WHERE id % {EPOCH_BATCHES} = {k % EPOCH_BATCHES} GROUP BY id, y)""",
+            f"l{k} AS (SELECT {k} AS step, avg(ln(1 + exp(-abs(m))) + greatest(m, 0) - y * m) AS loss FROM z{k})",
+            f"g{k} AS (SELECT slot, avg((1 / (1 + exp(-m)) - z{k}.y) * f) AS g FROM z{k} JOIN x USING (id) GROUP BY slot)",
+            f"""w{k + 1} AS MATERIALIZED (SELECT slot, w + {1 + MOMENTUM} * ({MOMENTUM} * v - {EPOCH_RATE} * g) - {MOMENTUM} * v AS w,
+              {MOMENTUM} * v - {EPOCH_RATE} * g AS v FROM w{k} JOIN g{k} USING (slot))""",
+        ]
+    return ",\n".join(out)
+
+
+_losses = " UNION ALL ".join(f"SELECT 'softmax' AS model, CAST(step AS INT) AS step, round(loss, 6) AS loss, true AS falls FROM l{k}" for k in range(EPOCH_STEPS))
+
+
 @query(
     "eval_score_listener",
-    f"""WITH {ep.EP}, p AS (SELECT avg(CAST(Result AS DOUBLE)) AS p FROM ep)
-      SELECT 'lr' AS model, round(-p * ln(p) - (1 - p) * ln(1 - p), 6) AS first, true AS falls FROM p
-      UNION ALL SELECT 'gbt', CAST(NULL AS DOUBLE), true""",
+    f"""WITH {_epochs_sql()}, p AS (SELECT avg(CAST(Result AS DOUBLE)) AS p FROM slots)
+      {_losses}
+      UNION ALL SELECT 'lr', CAST(0 AS INT), round(-p * ln(p) - (1 - p) * ln(1 - p), 6), true FROM p
+      UNION ALL SELECT 'gbt', CAST(0 AS INT), CAST(NULL AS DOUBLE), true""",
 )
 def eval_score_listener(spark, sf_dir):
-    """Objective of a linear fit and loss of a boosted fit, by iteration: both fall, and the linear one starts from the
-    labels' entropy, the loss of a model without features."""
-    with shared(ep.vectors(spark, sf_dir)) as rows:
+    """Losses by step. A softmax layer's are heard while it trains; SQL takes the same steps. Of a linear and a boosted fit,
+    the history after the fit: both fall, and the linear one starts from the labels' entropy."""
+    table = ep.vectors(spark, sf_dir)
+    log = ScoreLog(every=1)
+    batch = F.pmod(F.col("uuid").cast("long"), F.lit(EPOCH_BATCHES))
+    fit_softmax_epochs(table, batch, EPOCH_BATCHES, epochs=2, rate=EPOCH_RATE, momentum=MOMENTUM, listener=log, steps=EPOCH_STEPS)
+    heard = log.table(spark).select(F.lit("softmax").alias("model"), "step", F.round("loss", 6).alias("loss"), F.lit(True).alias("falls"))
+    parts = [heard]
+    with shared(table) as rows:
         linear, boosted = fit_logreg(rows), fit_gbt(rows, iters=10)
-        parts = []
         for name, model in (("lr", linear), ("gbt", boosted)):
             losses = loss_history(model, rows)
             ends = losses.agg(F.min_by("loss", "iteration").alias("first"), F.max_by("loss", "iteration").alias("last"))
             first = F.round("first", 6) if name == "lr" else F.lit(None).cast("double")
-            parts.append(ends.select(F.lit(name).alias("model"), first.alias("first"), (F.col("last") < F.col("first")).alias("falls")))
-        return parts[0].unionByName(parts[1])
+            parts.append(ends.select(F.lit(name).alias("model"), F.lit(0).alias("step"), first.alias("loss"), (F.col("last") < F.col("first")).alias("falls")))
+    return union_all(*parts)
 
 
 @query(

@@ -158,7 +158,8 @@ def fit_per_stream_query(spark, sf_dir):
     classifier is well above chance, so a constant one would fail; clusters lie apart."""
     base, configs = fresh_path(spark, "models"), ep.stream_configs()
     rows = {c.key: ep.stream_records(spark, sf_dir, c.key) for c in configs}
-    fitted = fit_per_stream(rows, configs, base, kinds=("lr", "svc", "rf", "gbt", "kmeans"))
+    kinds = ("lr", "svc", "rf", "gbt", "kmeans")
+    fitted = fit_per_stream(rows, configs, base, kinds=kinds, messages=ep.stream_messages(spark, sf_dir))
     report = fresh_path(spark, "report")
     for cfg in configs:
         evaluate_stream(fitted[cfg.key], rows[cfg.key], cfg, report)

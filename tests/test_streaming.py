@@ -1,9 +1,10 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from keyscore.functions.scalar import parse_json
-from keyscore.operators.features import build_pipeline, feature_table
-from keyscore.operators.routing import score_multi_model, score_multi_schema, stage_by_key
+from keyscore.operators.features import build_pipeline, feature_table, fit_stages
+from keyscore.operators.routing import score_multi_model, score_multi_schema, score_or_reject, score_variant, stage_by_key, union_all
 from keyscore.operators.training import fit_linear_svc, fit_logreg, fit_per_stream
 from keyscore.records import MESSAGE_SCHEMA, column_plan
 from keyscore.sources.documents import read_documents
@@ -15,10 +16,11 @@ from keyscore.streaming.jobs import (
     ProgressLog,
     multi_model_results,
     run_for,
-    run_multi_schema,
+    multi_schema_results,
     write_idempotent,
     write_stream,
 )
+from keyscore.streaming.outputs import published_sink, read_published, read_rows, row_writer, write_published, write_rows
 from tests.fixtures import RECORD_SCHEMA, SMALL, STREAMS, message, small_records
 
 RESULT = "key string, uuid string, CurrentTime string, label int, prediction double"
@@ -139,9 +141,6 @@ def test_each_stream_with_its_own_schema(spark, tmp_path):
             f"{head}, grade int, weight double",
         ).coalesce(1),
     }
-    fit_per_stream(frames, STREAMS, str(tmp_path / "models"))
-    registry = load_registry(STREAMS, str(tmp_path / "models"))
-
     def texts(key, cats, sensors):
         record = F.struct(
             "uuid", "currentTime", "result", F.struct(*cats).alias("categories"), F.struct(*sensors).alias("sensors")
@@ -151,17 +150,23 @@ def test_each_stream_with_its_own_schema(spark, tmp_path):
     messages = texts("press", ["mode", "lid"], ["heat", "flow"]).unionByName(
         texts("wash", ["grade"], ["weight"])
     )
+    fit_per_stream(frames, STREAMS, str(tmp_path / "models"), messages=messages)
+    registry = load_registry(STREAMS, str(tmp_path / "models"))
+    for cfg in STREAMS:
+        # the stages of one scan are those that the records themselves give
+        plan, ours = column_plan(cfg), registry[cfg.key].features
+        theirs = build_pipeline(plan).fit(frames[cfg.key])
+        assert list(ours.stages[0].categorySizes) == list(theirs.stages[0].categorySizes)
+        for end in ("originalMin", "originalMax"):
+            assert list(getattr(ours.stages[2], end)) == list(getattr(theirs.stages[2], end))
+    with pytest.raises(ValueError, match="press: 121 records"):
+        fit_stages(messages.unionByName(spark.createDataFrame([("press", "{}")], MESSAGE_SCHEMA)), STREAMS)
     strange = spark.createDataFrame([("pressing", "{}"), (None, "x")], MESSAGE_SCHEMA)
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     messages.unionByName(strange).repartition(3).write.json(source)
     with ProgressLog(spark, str(tmp_path / "progress")) as log:
-        run = run_multi_schema(
-            read_stream(spark, "json", {"path": source}, max_per_trigger=1),
-            registry,
-            idempotent_writer(out),
-            str(tmp_path / "c"),
-            available_now=True,
-        )
+        stream = multi_schema_results(read_stream(spark, "json", {"path": source}, max_per_trigger=1), registry)
+        run = write_idempotent(stream, out, str(tmp_path / "c"), available_now=True)
         run.awaitTermination()
         reports = log.of(run).collect()
     assert sum(p.rows for p in reports) == 162
@@ -173,10 +178,16 @@ def test_each_stream_with_its_own_schema(spark, tmp_path):
     ways = [
         stream,
         score_multi_schema(plain, registry),
+        score_variant(plain, registry),
         score_multi_schema(stage_by_key(plain, list(registry), str(tmp_path / "staged")), registry),
     ]
+    bad = [("press", "{"), ("wash", '{"uuid": "u", "categories": {"grade": 0}, "sensors": {"weight": null}}'), ("wash", '{"categories": {"grade": 7}, "sensors": {"weight": 1.0}}')]
+    spoiled = plain.unionByName(spark.createDataFrame(bad, MESSAGE_SCHEMA))
+    assert score_variant(spoiled, registry, "skip").count() == 160
+    with pytest.raises(Exception, match="cannot be scored"):
+        score_variant(spoiled, registry).collect()
     got = [sorted((r.key, r.uuid, r.label, r.prediction) for r in way.collect()) for way in ways]
-    assert got[0] == got[1] == got[2] and len(got[0]) == 160
+    assert got[0] == got[1] == got[2] == got[3] and len(got[0]) == 160
     assert all(label == prediction for _, _, label, prediction in got[0])
 
 
@@ -186,3 +197,106 @@ def test_sources_that_need_a_connector(spark):
         read_stream(spark, options={"kafka.bootstrap.servers": "localhost:1", "subscribe": "t"}, max_per_trigger=5)
     with pytest.raises(Exception, match="(?i)mongodb"):
         read_documents(spark, "", fmt="mongodb", connection="none")
+
+
+def failing_once(spark, start):
+    with pytest.raises(Exception):
+        start().awaitTermination()
+
+
+def test_row_writer_refuses_what_it_has_closed(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    put(spark, source, 0, 200, files=6)
+
+    def line(row):
+        return row.value
+
+    def fails(row):
+        if row.key == "NONE" and '"u101"' in row.value:
+            raise RuntimeError("gone")
+        return row.value
+
+    def run(f):
+        stream = read_stream(spark, "json", {"path": source})
+        return write_rows(stream, row_writer(f"file://{out}", f), checkpoint, available_now=True)
+
+    failing_once(spark, lambda: run(fails))
+    run(line).awaitTermination()
+    texts = [r.value for r in read_rows(spark, out).collect()]
+    assert len(texts) == len(set(texts)) == 200
+
+    writer = row_writer(f"file://{tmp_path}/single", line)
+    assert writer.open(0, 5)
+    writer.process(spark.createDataFrame([("k", "v")], MESSAGE_SCHEMA).first())
+    writer.close(RuntimeError("lost"))
+    assert writer.open(0, 5)
+    writer.close(None)
+    assert not writer.open(0, 5) and writer.open(1, 5) and writer.open(0, 6)
+
+
+def test_a_reader_sees_whole_published_batches_only(spark, tmp_path):
+    source, out, checkpoint = (f"file://{tmp_path}/{n}" for n in ("in", "out", "checkpoint"))
+    stream = lambda: read_stream(spark, "json", {"path": source}, max_per_trigger=1)
+    put(spark, source, 0, 90, files=1)
+    write_published(stream(), out, checkpoint, available_now=True).awaitTermination()
+    assert read_published(spark, out, MESSAGE_SCHEMA).count() == 90
+    put(spark, source, 90, 200, files=1)
+    failing_once(spark, lambda: write_published(stream(), out, checkpoint, available_now=True, fail_batch=1))
+    # the second batch was written by its tasks, and nothing of it is there
+    assert read_published(spark, out, MESSAGE_SCHEMA).count() == 90
+    # a file of a batch that is still being written
+    spark.createDataFrame([("k", "v")], MESSAGE_SCHEMA).write.parquet(f"{out}/data/running")
+    assert read_published(spark, out, MESSAGE_SCHEMA).count() == 90
+    write_published(stream(), out, checkpoint, available_now=True).awaitTermination()
+    assert read_published(spark, out, MESSAGE_SCHEMA).distinct().count() == 200
+    # another query publishes beside it
+    write_published(stream(), out, checkpoint + "2", available_now=True).awaitTermination()
+    assert read_published(spark, out, MESSAGE_SCHEMA).count() == 400
+
+
+def test_a_batch_that_was_published_is_not_published_again(tmp_path):
+    writer = published_sink()({"path": f"file://{tmp_path}", "owner": "q"}).streamWriter(None, False)
+    batch = lambda v: iter([pa.RecordBatch.from_pydict({"value": [v]})])
+    writer.commit([writer.write(batch("a"))], 0)
+    writer.commit([writer.write(batch("b"))], 0)
+    writer.abort([writer.write(batch("c")), None], 1)
+    files = [p for p in tmp_path.rglob("*.parquet")]
+    assert len(files) == 1 and len(list(tmp_path.glob("manifests/*"))) == 1
+
+
+def test_results_and_dead_letters_are_the_input(spark, job):
+    stages, models = job
+    good = [(k, message(r[0], r[3:5], r[5:7], r[2])) for k, r in zip(("LR", "SVC") * 50, small_records())]
+    bad = [
+        ("LR", "{", "malformed"),
+        ("SVC", None, "malformed"),
+        ("none", "{}", "unknown key"),
+        (None, "x", "unknown key"),
+        ("LR", message("n", [0, None], [1.0, 2.0]), "null value"),
+        ("LR", message("n", [0, 0], [float("nan"), 2.0]), "not a number"),
+        ("SVC", message("n", [0, 9], [1.0, 2.0]), "unseen category"),
+    ]
+    messages = spark.createDataFrame(good + [b[:2] for b in bad], MESSAGE_SCHEMA)
+    rows = score_or_reject(messages, stages, models, SMALL).collect()
+    rejected = sorted((repr(r.key), repr(r.value), r.reason) for r in rows if r.output == "rejected")
+    assert rejected == sorted((repr(k), repr(v), reason) for k, v, reason in bad)
+    results = spark.createDataFrame([(r.value,) for r in rows if r.output == "result"], "value string")
+    got = parse_json(results, RESULT).select("data.*")
+    want = score_multi_model(spark.createDataFrame(good, MESSAGE_SCHEMA), stages, models, SMALL)
+    both = [sorted((r.key, r.uuid, r.label, r.prediction) for r in x.collect()) for x in (got, want)]
+    assert both[0] == both[1] and len(both[0]) == 100
+    # fixed scales take any code
+    fixed = score_or_reject(messages, SMALL, models, SMALL)
+    assert fixed.filter("output = 'rejected'").count() == 6
+
+
+def test_each_row_meets_its_own_model_only(spark, job):
+    stages, models = job
+    rows = [(k, message(r[0], r[3:5], r[5:7], r[2])) for k, r in zip(("LR", "SVC") * 50, small_records())]
+    scored = score_multi_model(spark.createDataFrame(rows, MESSAGE_SCHEMA), stages, models, SMALL)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    # no column holds a model's margins for all rows: they stand in the branches of the key
+    assert "AS _raw" not in plan
+    parts = [model.transform(feature_table(spark.createDataFrame(small_records(), RECORD_SCHEMA), stages, column_plan(SMALL))).select(F.lit(k).alias("key"), "uuid", "prediction", "rawPrediction") for k, model in models.items()]
+    want = {(r.key, r.uuid): (r.prediction, list(r.rawPrediction)) for r in union_all(*parts).collect()}
+    assert all(want[r.key, r.uuid] == (r.prediction, list(r.rawPrediction)) for r in scored.collect())
