@@ -26,6 +26,22 @@ def _matrix():
     return matrix
 
 
+def skipping_nulls(kernel):
+    """A kernel over the rows that have features; the others give null. So a row that is not meant for a model costs nothing."""
+
+    def run(column):
+        import numpy as np
+        import pyarrow as pa
+
+        if not column.null_count:
+            return kernel(column)
+        there = np.asarray(column.is_valid())
+        place = pa.array(np.cumsum(there) - 1, mask=~there)
+        return kernel(column.filter(pa.array(there))).take(place)
+
+    return run
+
+
 def rbf_margin(features: Column, path: str, dim: int, gamma: float, rho: float, held_bytes: int = 256 << 20) -> Column:
     """sum_i coef_i * exp(-gamma * |x - v_i|^2) - rho for vectors in the files under ``path``, in the order of their names.
 
@@ -36,8 +52,13 @@ def rbf_margin(features: Column, path: str, dim: int, gamma: float, rho: float,
     held: list = []
     state = {"whole": False, "bytes": 0}
 
+    skip = skipping_nulls
+
     @F.arrow_udf("double")
     def margin(column):
+        return skip(sums)(column)
+
+    def sums(column):
         import numpy as np
         import pyarrow as pa
         import pyarrow.dataset as ds

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyscore.functions.kernels import _matrix
+from keyscore.functions.kernels import _matrix, skipping_nulls
 
 #: Places in the trees (rows times trees) that one step of a walk holds.
 PLACES = 1 << 20
@@ -58,12 +58,17 @@ class FlatTrees:
 
 
 def walk(features: Column, flat: FlatTrees) -> Column:
-    """The outputs of an ensemble, one for each round, for an array of features."""
+    """The outputs of an ensemble, one for each round, for an array of features; null for null."""
     matrix, places = _matrix(), PLACES
     roots, feature, threshold, left, right, value, depth, weights, rounds = (getattr(flat, n) for n in flat.__dataclass_fields__)
 
+    skip = skipping_nulls
+
     @F.arrow_udf("array<double>")
     def outputs(column):
+        return skip(sums)(column)
+
+    def sums(column):
         import numpy as np
         import pyarrow as pa
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from typing import ClassVar
 
 import numpy as np
 from pyspark.ml.functions import vector_to_array
@@ -47,6 +48,9 @@ class Node:
 class BoostedTrees:
     """A fitted ensemble with the ``transform`` of a model: adds ``margins`` (after each tree), ``probability1``, ``prediction``."""
 
+    #: Rows with null features are passed over; not a field.
+    skips_null: ClassVar[bool] = True
+
     nodes: list[Node]
     eta: float
     features: str = "features"
@@ -96,8 +100,11 @@ class BoostedTrees:
 
 
 def as_array(df: DataFrame, features: str) -> Column:
+    """A column of vectors or arrays as an array of doubles, null for null."""
     column = F.col(features)
-    return vector_to_array(column) if isinstance(df.schema[features].dataType, VectorUDT) else column.cast("array<double>")
+    if isinstance(df.schema[features].dataType, VectorUDT):
+        return F.when(column.isNotNull(), vector_to_array(column))
+    return column.cast("array<double>")
 
 
 def bin_starts(rows: DataFrame, features: str = "x", bins: int = 256, steps: int = STEPS) -> list[np.ndarray]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,9 @@ Listener = Callable[[int, float, "SoftmaxLayer"], None]
 class SoftmaxLayer:
     """Two classes; the weights of class 0 are those of class 1 with the other sign. ``transform`` adds ``p1`` and ``prediction``."""
 
+    #: Rows with null features are passed over; not a field.
+    skips_null: ClassVar[bool] = True
+
     weights: tuple[float, ...]
     intercept: float
     features: str = "features"

@@ -100,7 +100,8 @@ def _by_key(table: DataFrame, models: Mapping[str, object], inputs: Mapping[str,
 
     A row is scored by its own model only. A model's raw margins stand in the branch of its key and nowhere else, so
     Spark works them out for the rows of that branch; the prediction is the larger of the chosen margins. A model that
-    decides otherwise (a threshold, weights of classes) or has no raw margins brings its own prediction. ``inputs`` names
+    decides otherwise (a threshold, weights of classes) or has no raw margins brings its own prediction; if it passes over
+    null features (``skips_null``), it gets those of its key's rows only. ``inputs`` names
     the features of each key, where they are not ``features`` for all.
     """
     kept, raw, prediction = table.columns, F.lit(None).cast(VectorUDT()), F.lit(None).cast("double")
@@ -114,10 +115,14 @@ def _by_key(table: DataFrame, models: Mapping[str, object], inputs: Mapping[str,
             table = copy.transform(table)
             raw = F.when(here, F.col(f"_raw{i}")).otherwise(raw)
         else:
-            scored = model.transform(table.withColumn("features", F.col(inputs[key])) if inputs else table)
+            given = F.col(inputs[key] if inputs else "features")
+            own = table.withColumn("_given", given).withColumn("features", F.when(here, given) if getattr(model, "skips_null", False) else given)
+            scored = model.transform(own)
             if "rawPrediction" in scored.columns:
                 raw = F.when(here, F.col(f"_raw{i}")).otherwise(raw)
             margins = F.col("rawPrediction") if "rawPrediction" in scored.columns else F.lit(None).cast(VectorUDT())
+            if not inputs:
+                scored = scored.withColumn("features", F.col("_given"))
             table = scored.select(*table.columns, margins.alias(f"_raw{i}"), F.col("prediction").cast("double").alias(f"_prediction{i}"))
             prediction = F.when(here, F.col(f"_prediction{i}")).otherwise(prediction)
     chosen = table.select(*kept, raw.alias("rawPrediction"), prediction.alias("_own"))

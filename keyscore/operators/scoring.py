@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import ClassVar
 
 import numpy as np
 from pyspark.ml.functions import vector_to_array
@@ -56,7 +57,7 @@ def score_softmax(
 def _as_array(df: DataFrame, features: str) -> Column:
     column = F.col(features)
     if isinstance(df.schema[features].dataType, VectorUDT):
-        return vector_to_array(column)
+        return F.when(column.isNotNull(), vector_to_array(column))
     return column.cast("array<double>")
 
 
@@ -94,6 +95,9 @@ def score_rbf_svm(
 class SvmTextModel:
     """A kernel-SVM, fitted or read from text, with the ``transform`` of a model: adds ``margin`` and ``prediction``."""
 
+    #: Rows with null features are passed over; not a field.
+    skips_null: ClassVar[bool] = True
+
     def __init__(self, params: SvmParams, sv_df: DataFrame):
         self.params, self.sv_df = params, sv_df
 

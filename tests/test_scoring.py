@@ -3,13 +3,17 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from keyscore.functions.scalar import argmax2, fmt, round_label
-from keyscore.operators.scoring import nearest_center, score_linear, score_rbf_svm, score_softmax, score_svm_model
+from keyscore.operators.scoring import SvmTextModel, nearest_center, score_linear, score_rbf_svm, score_softmax, score_svm_model
+from keyscore.operators.training import fit_rbf_svm, landmarks
 from keyscore.operators.userfn import filter_records, map_records
 from keyscore.sources.documents import read_svm_model, read_svmlight
+from keyscore.sources.sinks import REPORT_SCHEMA, write_report
+from keyscore.storage import forget, materialize
 
 
 @pytest.fixture(scope="module")
@@ -145,3 +149,45 @@ def test_record_functions(spark):
 
     df = filter_records(spark.range(10), F.col("id") < 3)
     assert sorted(r.id for r in map_records(df, double, "id long").collect()) == [0, 2, 4]
+
+
+def test_a_fitted_machine_is_its_text(spark, tmp_path):
+    rng = random.Random(11)
+    rows = [(i, int(x * x + y * y < 1), [x, y]) for i, (x, y) in enumerate((rng.uniform(-2, 2), rng.choice([0.0, rng.uniform(-2, 2)])) for _ in range(600))]
+    df = spark.createDataFrame(rows, "id int, label int, x array<double>").select("id", "label", array_to_vector("x").alias("features"))
+    model = fit_rbf_svm(df, size=2, n_components=60)
+    again = SvmTextModel.load(model.save(str(tmp_path / "svm.txt")))
+    assert again.params == model.params and model.params.total_sv <= 60
+    pairs = [{r.id: r.margin for r in m.transform(df).collect()} for m in (model, again)]
+    assert pairs[0] == pairs[1]
+    assert model.transform(df).filter("prediction = label").count() > 570
+    # the coefficients of the first label come first, as the header's counts say
+    assert [r.coef > 0 for r in again.sv_df.orderBy(F.desc("coef")).collect()] == [True] * model.params.nr_sv[0] + [False] * model.params.nr_sv[1]
+    # the same landmarks however the rows are partitioned
+    assert landmarks(df.repartition(7), 60).tolist() == landmarks(df, 60).tolist()
+
+
+def test_rows_without_features_are_passed_over(spark, kernel):
+    df, vectors, rows, _ = kernel
+    half = df.withColumn("features", F.when(F.col("id") % 2 == 0, F.col("features")))
+    some = {r.id: r.margin for r in score_rbf_svm(half, vectors, 0.3, 0.1).collect()}
+    every = {r.id: r.margin for r in score_rbf_svm(df, vectors, 0.3, 0.1).collect()}
+    assert all(some[i] is None if i % 2 else some[i] == pytest.approx(every[i]) for i in rows)
+
+
+def test_a_report_that_is_written_again_replaces_its_rows(spark, tmp_path):
+    path = str(tmp_path / "report")
+    rows = lambda stream, value: spark.createDataFrame([(stream, "lr", "auc", value)], REPORT_SCHEMA)
+    for stream, value in (("a", 0.1), ("b", 0.2), ("a", 0.3)):
+        write_report(rows(stream, value), path)
+    read = spark.read.schema(REPORT_SCHEMA).json(path)
+    assert sorted((r.stream, r.value) for r in read.collect()) == [("a", 0.3), ("b", 0.2)]
+
+
+def test_what_was_materialized_can_be_removed(spark):
+    kept, gone = (materialize(spark.range(5), "test") for _ in range(2))
+    forget(gone)
+    forget(spark.range(3))
+    assert kept.count() == 5
+    with pytest.raises(Exception):
+        gone.count()
