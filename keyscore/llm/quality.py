@@ -169,12 +169,11 @@ def fit_attention(passages: np.ndarray, bags: np.ndarray, labels: np.ndarray, hi
     return model
 
 
-def train_quality(docs: DataFrame, labels: DataFrame, max_documents: int = 4000, max_passages: int = 64) -> Attention | None:
+def train_quality(docs: DataFrame, labels: DataFrame, max_documents: int = 3000) -> Attention | None:
     """A model from labelled rows whose crc32(doc_id) modulo 4 is not 2; None without labels of both kinds.
 
     The fit takes a bounded sample: about ``max_documents`` documents by a hash of the id, half of them (if there are
-    so many) of either label, and of each at most ``max_passages`` passages, evenly spread. Of several labels of a
-    document the lowest counts; null ids and labels are left out. Labels, ids, languages and sources are no inputs.
+    so many) of either label, with all their passages. Of several labels of a document the lowest counts; null ids and labels are left out. Labels, ids, languages and sources are no inputs.
     """
     known = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     known = known.agg(F.min("quality").cast("int").alias("label")).where(fold("doc_id", 4) != 2)
@@ -190,10 +189,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, max_documents: int = 4000,
             for start, stop in chunks(batch.column("text")):
                 part = batch.slice(start, stop - start)
                 vectors, bags = encode_passages(part.column("text"))
-                rows = []
-                for i in range(len(part)):
-                    own = vectors[bags[i] : bags[i + 1]]
-                    rows.append(own[np.unique(np.linspace(0, len(own) - 1, min(len(own), max_passages)).astype(int))].tobytes())
+                rows = [vectors[bags[i] : bags[i + 1]].tobytes() for i in range(len(part))]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array(rows, pa.binary())], ["doc_id", "label", "passages"])
 
     sample = texts(docs).join(F.broadcast(picked), "doc_id").mapInArrow(run, "doc_id long, label int, passages binary")
