@@ -51,6 +51,23 @@ def fold(column: str, parts: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(parts))
 
 
+def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
+    """The rows with the largest ``n`` (1 or more), ``limit`` at most.
+
+    The cut is found from a histogram of at most 2,048 steps, so no task sends its own longest list to the driver; a step
+    that would pass the limit is left out as a whole.
+    """
+    step = F.floor(F.log2("n") * 32)
+    histogram = counts.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).collect()
+    total, cut = 0, 1 << 31
+    for r in sorted(histogram, key=lambda r: -r.step):
+        total += r.rows
+        if total > limit:
+            break
+        cut = r.step
+    return counts.where(step >= cut)
+
+
 def sha(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from keyscore.llm.common import chunks, flat_bytes, query, shingles, table, word_hashes
+from keyscore.llm.common import chunks, flat_bytes, most_frequent, query, shingles, table, word_hashes
 from keyscore.llm.graph import components
 from keyscore.llm.substrings import pack, unpack
 from keyscore.storage import materialize
@@ -326,7 +326,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID).cast("long")).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
     described = materialize(describe(docs), "jaccard-described")
     sets = described.where("kind = 0").select("doc", "hash", "node", "n")
-    often = described.where("kind = 1").groupBy("node").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "node").limit(FREQUENT).collect()
+    often = most_frequent(described.where("kind = 1").groupBy("node").agg(F.sum("n").alias("n")), FREQUENT).collect()
     hashes, counts = np.array([r.node for r in often], np.int64).view(np.uint64), np.array([r.n for r in often], np.int64)
     order = np.argsort(hashes)
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]

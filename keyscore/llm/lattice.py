@@ -13,7 +13,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyscore.llm.common import chunks, fold, mix, query, sha, table, texts
+from keyscore.llm.common import chunks, fold, mix, most_frequent, query, sha, table, texts
 from keyscore.storage import materialize
 
 #: What begins a word in the vocabulary's pieces.
@@ -233,7 +233,7 @@ def score_texts(docs: DataFrame, train: DataFrame, path: str | None = None, freq
     unigram words) and ``score``, the log10 probability of the text as the sum over all its segmentations into pieces.
 
     Pieces do not cross words, so a text's sum is the product of its words' sums, and equal words are worked out once
-    in a worker. Counts of the ``frequent`` most frequent words go to every task; the rest of the words, none of which
+    in a worker. Counts of up to ``frequent`` of the most frequent words go to every task; the rest of the words, none of which
     is frequent, are joined with the table of counts. A null or empty text is its end alone; repeated rows and ids
     give a row each; an empty ``train`` leaves the vocabulary's scores.
     """
@@ -244,7 +244,7 @@ def score_texts(docs: DataFrame, train: DataFrame, path: str | None = None, freq
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     log_weights, log_end = train_pieces(counts, model)
     short = counts.where(F.octet_length("word").between(1, REMEMBERED_LENGTH))
-    top = short.orderBy(F.desc("n"), "word").limit(frequent).collect()
+    top = most_frequent(short, frequent).collect()
     ends = counts.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     shared = spark.sparkContext.broadcast((model, log_weights, {bytes(r.word): r.n for r in top}))
     log_space = math.log10(n + v + 1)
@@ -290,7 +290,9 @@ def score_texts(docs: DataFrame, train: DataFrame, path: str | None = None, freq
         run, "doc_id long, row long, n_tokens long, n_known long, base double, score double, rare array<binary>, times array<long>"
     )
     pairs = rows.select("doc_id", "row", "n_tokens", "n_known", "base", "score", F.explode_outer(F.arrays_zip("rare", "times")).alias("x"))
-    pairs = pairs.withColumns({"word": F.col("x.rare"), "times": F.col("x.times")}).drop("x")
+    # a text without rare words has a key of its own, which no word with its line end can be, so such texts do not meet in one task
+    alone = F.concat(F.lit("\n"), F.col("row").cast("string")).cast("binary")
+    pairs = pairs.withColumns({"word": F.coalesce("x.rare", alone), "times": F.col("x.times")}).drop("x")
     joined = pairs.join(counts.where(F.octet_length("word") > 0), "word", "left")
     summed = joined.groupBy("row", "doc_id", "n_tokens", "n_known", "base", "score").agg(
         F.coalesce(F.sum(F.when(F.col("n").isNotNull(), F.col("times"))), F.lit(0)).alias("more_known"),
