@@ -173,7 +173,8 @@ def train_quality(docs: DataFrame, labels: DataFrame, max_documents: int = 3000)
     """A model from labelled rows whose crc32(doc_id) modulo 4 is not 2; None without labels of both kinds.
 
     The fit takes a bounded sample: about ``max_documents`` documents by a hash of the id, half of them (if there are
-    so many) of either label, with all their passages. Of several labels of a document the lowest counts; null ids and labels are left out. Labels, ids, languages and sources are no inputs.
+    so many) of either label, with all their passages. Of several labels of a document the lowest counts; null ids and
+    labels are left out. Labels, ids, languages and sources are no inputs.
     """
     known = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     known = known.agg(F.min("quality").cast("int").alias("label")).where(fold("doc_id", 4) != 2)
