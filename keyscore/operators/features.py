@@ -226,7 +226,8 @@ def split_nth(df: DataFrame, order_by: Sequence[str], n: int = 5, partitions: in
     The rows are range-partitioned and sorted once, written to the shared folder with their
     position inside their partition, and numbered by adding the row counts of the partitions
     before. Only those counts, one per partition, meet in a single task. Rows with equal order
-    columns are spread by a hash of the whole row.
+    columns are spread by a hash of the whole row, and rows that are equal in all columns by where they stand in the
+    input: which of them gets which number makes no difference.
     """
     spark = df.sparkSession
     parts = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
@@ -234,13 +235,13 @@ def split_nth(df: DataFrame, order_by: Sequence[str], n: int = 5, partitions: in
     tie = F.xxhash64(*df.columns)
     path = fresh_path(spark, "split")
     (
-        df.withColumn("_tie", tie)
-        .repartitionByRange(parts, *keys, F.col("_tie"))
+        df.withColumns({"_tie": tie, "_at": F.monotonically_increasing_id()})
+        .repartitionByRange(parts, *keys, F.col("_tie"), F.col("_at"))
         .sortWithinPartitions(*keys, "_tie")
         .withColumn("_part", F.spark_partition_id())
         # the low 33 bits count the rows of the partition
         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
-        .drop("_tie")
+        .drop("_tie", "_at")
         .write.parquet(path)
     )
     ranged = spark.read.parquet(path)

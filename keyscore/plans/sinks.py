@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from keyscore.functions.scalar import emit_json
 from keyscore.operators.evaluation import report_rows
-from keyscore.operators.features import build_pipeline, feature_table
+from keyscore.operators.features import build_pipeline, feature_table, fixed_layout
+from keyscore.operators.routing import union_all
 from keyscore.operators.scoring import score_linear
 from keyscore.operators.training import fit_logreg
 from keyscore.plans import endpoints as ep
@@ -14,7 +15,7 @@ from keyscore.plans.catalog import query
 from keyscore.plans.scans import drain, identities, labelled, run_to_failure
 from keyscore.records import ENDPOINT, MESSAGE_SCHEMA, column_plan
 from keyscore.sources.registry import artefact_path, load_model, save_model
-from keyscore.sources.sinks import REPORT_SCHEMA, preview, to_feature_csv, to_messages, to_svmlight, write_report
+from keyscore.sources.sinks import REPORT_SCHEMA, preview, to_feature_csv, to_messages, to_svmlight, write_report, write_train_test
 from keyscore.sources.streams import read_stream
 from keyscore.storage import fresh_path, shared
 from keyscore.streaming.outputs import read_published, read_rows, row_writer, write_published, write_rows
@@ -120,6 +121,20 @@ def sink_svmlight(spark, sf_dir):
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
+@query(
+    "sink_train_test_files",
+    f"""WITH {ep.SLOTS}, r AS (SELECT *, CASE WHEN (row_number() OVER (ORDER BY CAST(uuid AS BIGINT)) - 1) % 5 = 0 THEN 'test' ELSE 'train' END AS part FROM slots)
+      SELECT 'svm' AS format, part, {_svm_line} AS line FROM r UNION ALL SELECT 'csv', part, {_csv_line} FROM r""",
+)
+def sink_train_test_files(spark, sf_dir):
+    """Train and test files in both formats from one ordered split, as text and through their readers."""
+    wide = fixed_layout(ep.endpoints(spark, sf_dir), ENDPOINT, vector=False)
+    rows = wide.select(F.col("uuid").cast("long").alias("position"), F.col("Result").alias("label"), "features")
+    paths = write_train_test(rows, ["position"], ENDPOINT, fresh_path(spark, "split-files"))
+    found = [spark.read.text(p).select(F.lit(f).alias("format"), F.lit(part).alias("part"), F.col("value").alias("line")) for (f, part), p in paths.items()]
+    return union_all(*found)
+
+
 @query(
     "sink_model_save",
     f"WITH {ep.EP} SELECT key, count(*) AS scored, count(*) AS same FROM ep GROUP BY key",

@@ -64,6 +64,26 @@ def write_feature_csv(df: DataFrame, layout: Layout, path: str, features: str =
     return path
 
 
+def write_train_test(
+    df: DataFrame, order_by: Sequence[str], layout: Layout, path: str, n: int = 5, features: str = "features", label: str = "label"
+) -> dict[tuple[str, str], str]:
+    """Feature files of one ordered split: every ``n``th row is test, the others train, each as svmlight and as CSV.
+
+    Rows are numbered once; one pass over them writes all four folders. Returns their paths by (format, part).
+    """
+    from keyscore.operators.features import split_nth
+
+    slots = _with_slots(df, features).select(*order_by, F.col("_slots"), F.col(label).alias("_label"))
+    numbered = split_nth(slots, order_by, n)
+    texts = _feature_text(layout)
+    svm = F.concat(F.concat_ws(" ", F.col("_label").cast("string"), *[F.concat(F.lit(f"{i}:"), t) for i, t in enumerate(texts)]), F.lit(" "))
+    csv = F.concat_ws(", ", *texts, F.col("_label").cast("string"))
+    lines = F.array(F.struct(F.lit("svm").alias("format"), svm.alias("line")), F.struct(F.lit("csv").alias("format"), csv.alias("line")))
+    rows = numbered.select(F.when(F.col("is_test"), "test").otherwise("train").alias("part"), F.inline(lines))
+    rows.write.mode("overwrite").partitionBy("format", "part").text(path)
+    return {(f, p): f"{path}/format={f}/part={p}" for f in ("svm", "csv") for p in ("train", "test")}
+
+
 def write_report(metrics: DataFrame, path: str) -> str:
     """Evaluation rows (stream, model, metric, value), added to what the report holds of other streams and models.
 
