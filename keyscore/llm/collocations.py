@@ -21,7 +21,7 @@ IS_GAP = IS_END.copy()
 IS_GAP[list(b" \t")] = True
 
 #: Words of a shard's index; a shard that keeps the spelling of all its words has half as many.
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 1_000_000
 #: Bits of a filter for each thing that it lets pass, and the bits of the smallest and largest filter as powers of two.
 FILTER_BITS, SMALLEST, LARGEST = 16, 18, 28
 #: Languages whose totals are sent to every task; more are joined.
@@ -53,10 +53,12 @@ class ShardIndex:
                     key = (key << width) | padded[k : k + len(text)]
                 keys.append(key)
             order = np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys[::-1])
-            bwt = text[order - 1]
+            del keys, padded
+            bwt = text[order - 1].astype(np.int32)
+            del order
             self.bwt.append(bwt)
             # place j of the index is reached from row ranked[j]: rows by preceding id, then by place
-            self.ranked.append(np.argsort(bwt, kind="stable"))
+            self.ranked.append(np.argsort(bwt, kind="stable").astype(np.int32))
         counts = np.bincount(ids)
         counts[0] = 0
         first = np.concatenate(([0], np.cumsum(counts)))[:-1] + np.count_nonzero(ids == 0)
@@ -71,8 +73,9 @@ class ShardIndex:
         sizes = self.size[by_low]
         total = int(sizes.sum())
         rows = np.arange(total) + np.repeat(low[by_low] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes)
-        phrase = np.full(len(bwt), -1, np.int64)
-        phrase[rows] = np.repeat(by_low, sizes)
+        phrase = np.full(len(bwt), -1, np.int32)
+        phrase[rows] = np.repeat(by_low.astype(np.int32), sizes)
+        del rows
         of, word = phrase[ranked], bwt[ranked]
         place = np.flatnonzero((of >= 0) & (word > 0))
         of, word = of[place], word[place]
