@@ -66,9 +66,21 @@ ENDPOINT_COLUMNS = {
 }
 
 
+#: Rows below which a task of its own does not pay.
+ROWS_PER_TASK = 10_000
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores. A packed file of few megabytes is one task to Spark, however long its rows then keep it busy."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = df.rdd.getNumPartitions()
+    wanted = min(cores, df.count() // ROWS_PER_TASK) if parts < cores else parts
+    return df.repartition(wanted) if wanted > parts else df
+
+
 def endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat endpoint records."""
-    return table(spark, sf_dir, "events").selectExpr(*[f"{e} AS {c}" for c, e in ENDPOINT_COLUMNS.items()])
+    return spread(table(spark, sf_dir, "events")).selectExpr(*[f"{e} AS {c}" for c, e in ENDPOINT_COLUMNS.items()])
 
 
 _columns_sql = ",\n  ".join(f"{e} AS {c}" for c, e in ENDPOINT_COLUMNS.items())

@@ -45,8 +45,29 @@ def read_svmlight(spark: SparkSession, path: str, n_features: int, vector: bool
     return rows.select("label", (array_to_vector("features") if vector else F.col("features")).alias("features"))
 
 
+#: Slots up to which a line is held against a pattern of all its indices.
+PATTERN_SLOTS = 1024
+
+
 def dense(pairs: Column, width: int) -> Column:
-    """``index:value`` texts as an array of ``width`` numbers, zero where there is no entry; wrong ones are an error."""
+    """``index:value`` texts as an array of ``width`` numbers, zero where there is no entry; wrong ones are an error.
+
+    A line with every slot in order is cut at its indices and cast as a whole. Any other is looked at pair by pair.
+    """
+    if not 0 < width <= PATTERN_SLOTS:
+        return _dense_by_pair(pairs, width)
+    every = "^" + " ".join(f"{i}:[^: ]+" for i in range(width)) + "$"
+    cut = lambda line: F.split(F.substr(line, F.lit(3)), " [0-9]+:").try_cast("array<double>")
+
+    def from_pairs(p: Column) -> Column:
+        by_pair = _dense_by_pair(p, width)
+        numbers = lambda line: let(cut(line), lambda v: F.when(F.forall(v, lambda x: x.isNotNull()), v).otherwise(by_pair))
+        return let(F.array_join(p, " "), lambda line: F.when((F.size(p) == width) & line.rlike(every), numbers(line)).otherwise(by_pair))
+
+    return let(pairs, from_pairs)
+
+
+def _dense_by_pair(pairs: Column, width: int) -> Column:
     wrong = F.filter(pairs, lambda p: ~_fits(p, width))
     values = F.map_from_arrays(F.transform(pairs, _index), F.transform(pairs, _value))
     slots = F.sequence(F.lit(0), F.lit(width - 1))

@@ -29,11 +29,23 @@ def preview(df: DataFrame, n: int = 10, order_by: Sequence[str] | None = None, s
     return rows
 
 
-def _feature_text(layout: Layout) -> list[Column]:
-    """Feature slots as text: sensors with three decimals, indicators as 0 or 1."""
-    array = F.col("_slots")
-    kinds = [kind for _, _, kind in layout.slots()]
-    return [fmt(array[i]) if kind == "q" else array[i].cast("int").cast("string") for i, kind in enumerate(kinds)]
+def _feature_text(layout: Layout, numbered: bool = False) -> Column:
+    """Feature slots as an array of texts: sensors with three decimals, indicators as 0 or 1; ``numbered`` puts ``i:`` before.
+
+    One function over the array, as an expression for each slot makes a method too large to be compiled. A decimal has the
+    same digits as the format, which costs many times as much; what a decimal lacks (a sign of zero, NaN, no number) is
+    left to the format.
+    """
+    kinds = F.array(*[F.lit(kind == "q") for _, _, kind in layout.slots()])
+
+    def text(sensor: Column, i: Column) -> Column:
+        x = F.col("_slots")[i]
+        plain = ((x == 0) & (x.cast("string") != "-0.0")) | F.abs(x).between(0.001, 1e14)
+        number = F.when(plain, x.cast("decimal(18,3)").cast("string")).otherwise(fmt(x))
+        shown = F.when(sensor, number).otherwise(x.cast("int").cast("string"))
+        return F.concat(i.cast("string"), F.lit(":"), shown) if numbered else shown
+
+    return F.transform(kinds, text)
 
 
 def _with_slots(df: DataFrame, features: str) -> DataFrame:
@@ -43,8 +55,7 @@ def _with_slots(df: DataFrame, features: str) -> DataFrame:
 
 def to_svmlight(df: DataFrame, layout: Layout, features: str = "features", label: str = "label") -> DataFrame:
     """``label 0:v 1:v ...`` lines, 0-based, with a trailing blank."""
-    texts = [F.concat(F.lit(f"{i}:"), t) for i, t in enumerate(_feature_text(layout))]
-    line = F.concat(F.concat_ws(" ", F.col(label).cast("string"), *texts), F.lit(" "))
+    line = F.concat(F.concat_ws(" ", F.col(label).cast("string"), _feature_text(layout, numbered=True)), F.lit(" "))
     return _with_slots(df, features).select(line.alias("line"))
 
 
@@ -55,7 +66,7 @@ def write_svmlight(df: DataFrame, layout: Layout, path: str, features: str = "fe
 
 def to_feature_csv(df: DataFrame, layout: Layout, features: str = "features", label: str = "label") -> DataFrame:
     """Feature values, then the label, separated by ``, ``."""
-    line = F.concat_ws(", ", *_feature_text(layout), F.col(label).cast("string"))
+    line = F.concat_ws(", ", _feature_text(layout), F.col(label).cast("string"))
     return _with_slots(df, features).select(line.alias("line"))
 
 
@@ -75,9 +86,8 @@ def write_train_test(
 
     slots = _with_slots(df, features).select(*order_by, F.col("_slots"), F.col(label).alias("_label"))
     numbered = split_nth(slots, order_by, n)
-    texts = _feature_text(layout)
-    svm = F.concat(F.concat_ws(" ", F.col("_label").cast("string"), *[F.concat(F.lit(f"{i}:"), t) for i, t in enumerate(texts)]), F.lit(" "))
-    csv = F.concat_ws(", ", *texts, F.col("_label").cast("string"))
+    svm = F.concat(F.concat_ws(" ", F.col("_label").cast("string"), _feature_text(layout, numbered=True)), F.lit(" "))
+    csv = F.concat_ws(", ", _feature_text(layout), F.col("_label").cast("string"))
     lines = F.array(F.struct(F.lit("svm").alias("format"), svm.alias("line")), F.struct(F.lit("csv").alias("format"), csv.alias("line")))
     rows = numbered.select(F.when(F.col("is_test"), "test").otherwise("train").alias("part"), F.inline(lines))
     rows.write.mode("overwrite").partitionBy("format", "part").text(path)

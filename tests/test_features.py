@@ -16,7 +16,9 @@ from keyscore.operators.features import (
 from keyscore.operators.routing import branch, fanout, fanout_rows, rejects, score_multi_model, unmatched
 from keyscore.operators.training import fit_linear_svc, fit_logreg
 from keyscore.operators.features import feature_table
+from keyscore.plans import endpoints
 from keyscore.records import column_plan
+from keyscore.sources import documents
 from keyscore.sources.documents import read_feature_csv, read_svmlight
 from keyscore.sources.sinks import write_feature_csv, write_svmlight
 from tests.fixtures import RECORD_SCHEMA, SMALL, message, small_records
@@ -136,6 +138,31 @@ def test_svmlight_sparse_line(spark, tmp_path):
     assert sorted(r.features for r in rows) == [[0.0, 1.0, 0.0, 0.0], [0.5, 0.0, 0.0, 2.0]]
 
 
+def test_feature_text_is_that_of_the_format(spark, tmp_path):
+    odd = [0.0, -0.0, float("nan"), float("inf"), 0.0005, -0.0004, 1.0005, 2.6745, 1e14, -1e300, None, 7.0]
+    rows = [(0, [x, 1.5, 1.0, 0.0, 1.0]) for x in odd]
+    path = write_svmlight(spark.createDataFrame(rows, "label int, features array<double>"), SMALL, str(tmp_path / "x"))
+    text = spark.createDataFrame([(x,) for x in odd], "x double").select(F.format_string("0 0:%.3f 1:1.500 2:1 3:0 4:1 ", "x"))
+    assert sorted(r.value for r in spark.read.text(path).collect()) == sorted(r[0] for r in text.collect())
+
+
+def test_whole_lines_are_cut_at_once(spark, tmp_path, monkeypatch):
+    """A line with all slots in order never reaches the way that takes it pair by pair; others give the same as there."""
+    pairs = spark.createDataFrame([(["0:1e3", "1:NaN", "2:-4"],), (["2:1", "0:5"],), (["00:1", "1:2", "2:3"],), ([],)], "p array<string>")
+    slow = documents._dense_by_pair(F.col("p"), 3)
+    assert pairs.where(~documents.dense(F.col("p"), 3).eqNullSafe(slow)).isEmpty()
+    monkeypatch.setattr(documents, "_dense_by_pair", lambda p, width: F.raise_error(F.lit("by pair")).cast("array<double>"))
+    whole = spark.createDataFrame([(["0:1e3", "1:2", "2:-4"],)], "p array<string>")
+    assert whole.select(documents.dense(F.col("p"), 3)).first()[0] == [1000.0, 2.0, -4.0]
+
+
+def test_a_packed_file_is_spread_over_the_cores(spark, tmp_path):
+    spark.range(60_000).coalesce(1).write.parquet(str(tmp_path / "packed"))
+    rows = endpoints.spread(spark.read.parquet(str(tmp_path / "packed")))
+    assert rows.rdd.getNumPartitions() == 6 and rows.count() == rows.distinct().count() == 60_000
+    assert endpoints.spread(spark.range(100).coalesce(1)).rdd.getNumPartitions() == 1
+
+
 @pytest.mark.parametrize("n", [2, 5])
 def test_split_nth_brute_force(spark, n):
     ids = list(range(5000))
