@@ -3,6 +3,8 @@ and each query says whether its fit comes near to that."""
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from keyscore.operators.routing import union_all
 from keyscore.operators.scoring import nearest_center
 from keyscore.operators.training import (
     FITS,
+    _side_by_side,
     evaluate_stream,
     fit_boosted_forest,
     fit_gbt,
@@ -185,8 +188,11 @@ def reload_parity_query(spark, sf_dir):
     table = ep.vectors(spark, sf_dir)
     base, parts = fresh_path(spark, "models"), []
     with shared(table) as rows:
+        # a step of a fit is a small job that leaves most cores idle, so the fits run beside each other, the longest first
+        fits = {kind: partial(fit_rbf_svm, rows, ep.WIDTH) if kind == "rbf" else partial(FITS[kind], rows) for kind in reversed(_kinds)}
+        models = dict(zip(fits, _side_by_side(spark, list(fits.values()), parallelism=4)))
         for kind in _kinds:
-            model = fit_rbf_svm(rows, ep.WIDTH) if kind == "rbf" else FITS[kind](rows)
+            model = models[kind]
             same = reload_parity(model, kind, f"{base}/{kind}", table).groupBy(F.lit(kind).alias("model"))
             parts.append(same.agg(F.count("*").alias("rows"), F.count_if(~F.col("same")).alias("differ")))
     return union_all(*parts)

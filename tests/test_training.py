@@ -189,3 +189,27 @@ def test_fit_per_stream(spark, tmp_path):
         scored = entry.model.transform(entry.features.transform(frames[key].withColumnRenamed("result", "label")))
         assert accuracy(scored).first().accuracy == 1.0
     assert set(load_models({"LR": "lr", "SVC": "svc"}, str(tmp_path), "wash")) == {"LR", "SVC"}
+
+
+def test_parity_fits_run_beside_each_other(spark, sf_dir, monkeypatch):
+    """Four kinds wait for one another, so fits in turn would not end; each kind is still fitted once and compared whole."""
+    from threading import Barrier
+
+    from keyscore.plans import fits
+
+    together, fitted = Barrier(4, timeout=60), []
+
+    def fit(kind):
+        def run(rows, *_):
+            together.wait()
+            fitted.append(kind)
+            return kind
+
+        return run
+
+    monkeypatch.setattr(fits, "FITS", {kind: fit(kind) for kind in fits._kinds if kind != "rbf"})
+    monkeypatch.setattr(fits, "fit_rbf_svm", fit("rbf"))
+    monkeypatch.setattr(fits, "reload_parity", lambda model, kind, path, df: df.selectExpr(f"'{model}' = '{kind}' AS same"))
+    rows = fits.reload_parity_query(spark, sf_dir).collect()
+    assert sorted(fitted) == sorted(r.model for r in rows) == sorted(fits._kinds)
+    assert all(r.rows == 1000 and r.differ == 0 for r in rows)
