@@ -27,9 +27,8 @@ PASSAGE, STEP, PART = 64, 16, 48
 RANK, OVERSAMPLING = 96, 16
 #: Benchmark items that are searched for in one run over the documents.
 ITEMS_AT_ONCE = 20_000
-#: Passages of the sketch, about: the latent space is fitted to those of documents drawn by a hash, from all sources alike.
-#: Counts of passages and terms, and the search, take all.
-SKETCHED = 250_000
+#: Words of the sketch that are added up together, about.
+SKETCHED = 400_000
 #: Words of the texts that are searched together.
 TOGETHER = 65_536
 #: Terms of a block of the sketch.
@@ -180,10 +179,15 @@ def passage_counts(tokens: DataFrame, size: int) -> tuple[int, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size + 1, np.int64)
         for batch in batches:
-            ids, passage, _, bags = passages_of(batch.column("ids"), PASSAGE)
+            ids, _, at, bags = passages_of(batch.column("ids"), PASSAGE)
             total[size] += bags[-1]
-            known = ids >= 0
-            total[:size] += np.bincount(np.unique(passage[known] * size + ids[known]) % size, minlength=size)[:size]
+            # a row for each passage, its words in order: the first of equal ones counts
+            rows = np.full(int(bags[-1]) * PASSAGE, -1, np.int32)
+            rows[np.arange(len(ids)) + np.repeat(bags[:-1] * PASSAGE - at[:-1], np.diff(at))] = ids
+            rows = np.sort(rows.reshape(-1, PASSAGE), axis=1)
+            first = rows >= 0
+            first[:, 1:] &= rows[:, 1:] != rows[:, :-1]
+            total[:size] += np.bincount(rows[first], minlength=size)
         there = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], ["term", "n"])
 
@@ -205,12 +209,19 @@ def term_weights(items: Items, n: int, df: np.ndarray) -> np.ndarray:
     return light.astype(np.float32)
 
 
-def sums_by(keys: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """Sums of rows of ``values`` by ``keys``, which are in order."""
-    out = np.zeros((n, values.shape[1]), np.float32)
-    if len(keys):
-        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        out[keys[first]] = np.add.reduceat(values, first, axis=0)
+def sums_by(keys: np.ndarray, rows: np.ndarray, table: np.ndarray, n: int) -> np.ndarray:
+    """For each of ``n`` keys the sum of its ``rows`` of ``table``; ``keys`` are in order.
+
+    The first rows of all keys are added, then the second ones and so on; keys with more rows stand first.
+    """
+    counts = np.bincount(keys, minlength=n)
+    order = np.argsort(-counts, kind="stable")
+    first = (np.cumsum(counts) - counts)[order]
+    sums = np.zeros((n, table.shape[1]), np.float32)
+    for k, some in enumerate(n - np.cumsum(np.bincount(counts))[:-1]):
+        sums[:some] += table[rows[first[:some] + k]]
+    out = np.empty_like(sums)
+    out[order] = sums
     return out
 
 
@@ -218,8 +229,8 @@ def projection(size: int, width: int) -> np.ndarray:
     return np.random.default_rng(7).normal(size=(size, width)).astype(np.float32)
 
 
-def latent_space(tokens: DataFrame, items: Items, weights: np.ndarray, n: int, rank: int = RANK) -> np.ndarray:
-    """Right singular vectors of the TF-IDF matrix A of about SKETCHED passages (all, if there are fewer), a row for each term.
+def latent_space(tokens: DataFrame, items: Items, weights: np.ndarray, rank: int = RANK) -> np.ndarray:
+    """Right singular vectors of the TF-IDF matrix A of all passages, a row for each term.
 
     One pass sketches Y = A'A O for a random O: each task adds up its passages, Spark sums the tasks' blocks of terms.
     The Nystrom form gives the vectors from Y and O'Y alone. The items' own passages are rows of A too, weighted so that
@@ -228,21 +239,28 @@ def latent_space(tokens: DataFrame, items: Items, weights: np.ndarray, n: int, r
     size = len(weights)
     width = min(rank + OVERSAMPLING, size)
 
-    def add(ids: np.ndarray, passage: np.ndarray, count: int, total: np.ndarray, omega: np.ndarray) -> None:
+    def add(ids: np.ndarray, passage: np.ndarray, total: np.ndarray, weighted: np.ndarray) -> None:
+        """Add what the passages give to ``total``, the rows of which are still to be weighted."""
         heavy = np.flatnonzero((ids >= 0) & (weights[np.maximum(ids, 0)] > 0))
-        for start in range(0, len(heavy), 200_000):
-            some = heavy[start : start + 200_000]
-            low = passage[some[0]]
-            own, terms = passage[some] - low, ids[some]
-            z = sums_by(own, omega[terms] * weights[terms, None], int(own[-1]) + 1)
-            order = np.argsort(terms, kind="stable")
-            total += sums_by(terms[order], z[own[order]] * weights[terms[order], None], size)
+        own, terms = passage[heavy], ids[heavy]
+        start = 0
+        while start < len(own):
+            # whole passages, of PASSAGE words at most
+            stop = len(own) if len(own) - start <= SKETCHED else int(np.searchsorted(own, own[start + SKETCHED]))
+            these, some = own[start:stop] - own[start], terms[start:stop]
+            z = sums_by(these, some, weighted, int(these[-1]) + 1)
+            order = np.argsort(some, kind="stable")
+            words = np.unique(some)
+            for word, group in zip(words.tolist(), np.split(these[order], np.searchsorted(some[order], words[1:]))):
+                total[word] += z[group].sum(axis=0)
+            start = stop
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        omega, total = projection(size, width), np.zeros((size, width), np.float32)
+        weighted, total = projection(size, width) * weights[:, None], np.zeros((size, width), np.float32)
         for batch in batches:
-            ids, passage, _, bags = passages_of(batch.column("ids"), PASSAGE)
-            add(ids, passage, int(bags[-1]), total, omega)
+            ids, passage, _, _ = passages_of(batch.column("ids"), PASSAGE)
+            add(ids, passage, total, weighted)
+        total *= weights[:, None]
         blocks = range(0, size, TERMS)
         yield pa.RecordBatch.from_arrays([pa.array([b // TERMS for b in blocks]), pa.array([total[b : b + TERMS].tobytes() for b in blocks])], ["block", "y"])
 
@@ -250,13 +268,13 @@ def latent_space(tokens: DataFrame, items: Items, weights: np.ndarray, n: int, r
         total = sum(np.frombuffer(y.as_py(), np.float32).astype(np.float64) for y in group["y"])
         return pa.table({"block": group["block"][:1], "y": pa.array([total.tobytes()], pa.binary())})
 
-    drawn = F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(3)), F.lit(1_000_000)) < int(1e6 * min(1.0, SKETCHED / max(n, 1)))
-    parts = tokens.where(drawn).select("ids").mapInArrow(run, "block long, y binary").groupBy("block").applyInArrow(merge, "block long, y binary").collect()
+    parts = tokens.select("ids").mapInArrow(run, "block long, y binary").groupBy("block").applyInArrow(merge, "block long, y binary").collect()
     omega, y = projection(size, width).astype(np.float64), np.zeros((size, width))
     for r in parts:
         y[r.block * TERMS : (r.block + 1) * TERMS] = np.frombuffer(r.y).reshape(-1, width)
     own = np.zeros((size, width), np.float32)
-    add(np.concatenate(items.part_ids), np.repeat(np.arange(len(items.part_ids)), [len(p) for p in items.part_ids]), len(items.part_ids), own, omega.astype(np.float32))
+    add(np.concatenate(items.part_ids), np.repeat(np.arange(len(items.part_ids)), [len(p) for p in items.part_ids]), own, omega.astype(np.float32) * weights[:, None])
+    own *= weights[:, None]
     y += own * max(1.0, np.abs(y).sum() / max(np.abs(own).sum(), 1e-9))
     shift = 1e-6 * np.linalg.norm(y) + 1e-12
     y += shift * omega
@@ -268,7 +286,7 @@ def latent_space(tokens: DataFrame, items: Items, weights: np.ndarray, n: int, r
 
 
 def near_passages(
-    texts: list[np.ndarray], items: Items, space: np.ndarray, weights: np.ndarray, queries: np.ndarray, least: float, limits: Thresholds
+    texts: list[np.ndarray], items: Items, weighted: np.ndarray, weights: np.ndarray, queries: np.ndarray, least: float, limits: Thresholds
 ) -> list[dict[int, list[int]]]:
     """For each text the starts of the passages whose cosine to a part of an item is high, by the item's place.
 
@@ -298,7 +316,7 @@ def near_passages(
         needed[picked + k] = True
     heavy = heavy[needed[heavy // STEP]]
     terms = ids[heavy]
-    vectors = sums_by(heavy // STEP, space[terms] * weights[terms, None], blocks)
+    vectors = sums_by(heavy // STEP, terms, weighted, blocks)
     for start in range(0, len(picked), 4096):
         some = picked[start : start + 4096]
         x = sum(vectors[some + k] for k in range(wide))
@@ -387,15 +405,15 @@ def find_block(docs: DataFrame, items: Items, limits: Thresholds) -> DataFrame:
     tokens = materialize(tokenize(docs, items.vocabulary), "leaks-tokens")
     n, df = passage_counts(tokens, len(items.vocabulary))
     weights = term_weights(items, n, df)
-    space = latent_space(tokens, items, weights, n)
-    queries = np.stack([(space[p] * weights[p, None]).sum(axis=0) for p in items.part_ids])
+    weighted = latent_space(tokens, items, weights) * weights[:, None]
+    queries = np.stack([weighted[p].sum(axis=0) for p in items.part_ids])
     queries /= np.linalg.norm(queries, axis=1)[:, None] + 1e-12
     least = 0.5 * limits.paraphrase * float(min(weights[p].sum() for p in items.part_ids))
-    shared = docs.sparkSession.sparkContext.broadcast((items, space, weights, queries, key_words(items, df, limits)))
+    shared = docs.sparkSession.sparkContext.broadcast((items, weighted, weights, queries, key_words(items, df, limits)))
     leak = pa.list_(pa.struct([("item_id", pa.int64()), ("share", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, space, weights, queries, keys = shared.value
+        items, weighted, weights, queries, keys = shared.value
         for batch in batches:
             flat, offsets = flat_bytes(batch.column("ids"))
             ids = np.frombuffer(flat.tobytes(), np.int32)
@@ -406,7 +424,7 @@ def find_block(docs: DataFrame, items: Items, limits: Thresholds) -> DataFrame:
                 # texts of about so many words together, one at least
                 stop = int(np.searchsorted(offsets, offsets[len(found)] + 4 * TOGETHER, side="right")) - 1
                 some = own[len(found) : max(stop, len(found) + 1)]
-                near = near_passages(some, items, space, weights, queries, least, limits)
+                near = near_passages(some, items, weighted, weights, queries, least, limits)
                 found += [search(x, y, items, limits, keys) for x, y in zip(some, near)]
             rows = [[{"item_id": items.item[k], "share": s} for k, s in f] for f in found]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(rows, leak)], ["doc_id", "text_hash", "leaks"])

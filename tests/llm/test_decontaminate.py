@@ -112,3 +112,51 @@ def test_short_items_among_benchmark_words(spark):
                         held.add((d, i))
                         break
     assert len(held) >= 150 and held <= got
+
+
+def test_latent_space_is_fitted_to_all_passages(spark, monkeypatch):
+    rng = random.Random(8)
+    items = [(i, " ".join("w%d" % k for k in range(6 * i, 6 * i + 6))) for i in range(4)]
+    docs = [(d, " ".join("w%d" % rng.choice((rng.randrange(24), rng.randrange(60))) for _ in range(rng.randint(0, 200))), 0) for d in range(1500)]
+    count, fit, seen = dec.passage_counts, dec.latent_space, []
+
+    def counted(tokens, size):  # as of a table a thousand times as large
+        n, df = count(tokens, size)
+        return 1000 * n, 1000 * df
+
+    def fitted(tokens, items, weights, *more):
+        seen.append((items, weights, fit(tokens, items, weights, *more)))
+        return seen[0][2]
+
+    monkeypatch.setattr(dec, "passage_counts", counted)
+    monkeypatch.setattr(dec, "latent_space", fitted)
+    dec.find_leaks(spark.createDataFrame(docs, LEAKS), spark.createDataFrame([(i, t, 0.0) for i, t in items], ITEMS))
+    its, weights, space = seen[0]
+
+    def gram(texts):
+        total = np.zeros((len(weights), len(weights)))
+        for ids in texts:
+            for at in range(0, len(ids), dec.PASSAGE):
+                part = ids[at : at + dec.PASSAGE]
+                row = np.bincount(part[part >= 0], minlength=len(weights)) * weights
+                total += np.outer(row, row)
+        return total
+
+    omega = dec.projection(len(weights), len(weights)).astype(float)
+    whole = gram([its.find(w) for w in dec.hashes_of([t for _, t, _ in docs])])
+    own = gram(its.part_ids)
+    whole += own * max(1.0, np.abs(whole @ omega).sum() / np.abs(own @ omega).sum())
+    want = np.linalg.eigh(whole)[1][:, ::-1]
+    assert space.shape == want.shape
+    assert (np.abs((space[:, :3] * want[:, :3]).sum(axis=0)) > 0.9999).all()
+    # the variance along the fitted vectors is that of all passages
+    assert np.allclose(np.sort(np.diag(space.T @ whole @ space))[-3:], np.linalg.eigvalsh(whole)[-3:], rtol=1e-4)
+
+
+def test_passage_counts(spark):
+    rng = random.Random(9)
+    texts = [np.array([rng.randrange(-1, 9) for _ in range(rng.choice((0, 1, 63, 64, 65, 200)))], np.int32) for _ in range(50)]
+    tokens = spark.createDataFrame([(bytearray(t.tobytes()),) for t in texts], "ids binary")
+    passages = [set(t[at : at + dec.PASSAGE].tolist()) - {-1} for t in texts for at in range(0, len(t), dec.PASSAGE)]
+    n, df = dec.passage_counts(tokens, 9)
+    assert n == len(passages) and df.tolist() == [sum(k in p for p in passages) for k in range(9)]
