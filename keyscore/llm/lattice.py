@@ -19,7 +19,7 @@ from keyscore.storage import materialize
 #: What begins a word in the vocabulary's pieces.
 MARK = "▁"
 LOG_ZERO = -1e30
-#: Words that a worker remembers, and the longest of them.
+#: Words that a worker remembers, and the longest of those that are sent to all.
 REMEMBERED, REMEMBERED_LENGTH = 300_000, 64
 #: Words whose counts every task gets; the counts of all others are joined.
 FREQUENT = 80_000
@@ -232,10 +232,10 @@ def score_texts(docs: DataFrame, train: DataFrame, path: str | None = None, freq
     Returns ``doc_id``, ``n_tokens`` (words and one end), ``n_known``, ``train_tokens``, ``base_score`` (add-one
     unigram words) and ``score``, the log10 probability of the text as the sum over all its segmentations into pieces.
 
-    Pieces do not cross words, so a text's sum is the product of its words' sums, and equal words are worked out once
-    in a worker. Counts of up to ``frequent`` of the most frequent words go to every task; the rest of the words, none of which
-    is frequent, are joined with the table of counts. A null or empty text is its end alone; repeated rows and ids
-    give a row each; an empty ``train`` leaves the vocabulary's scores.
+    Pieces do not cross words, so a text's sum is the product of its words' sums. Counts and sums of up to ``frequent`` of the
+    most frequent words go to every task; the rest of the words, none of which is frequent, are joined with the table of
+    counts in the order of words, where equal words meet and are worked out once. A null or empty text is its end alone;
+    repeated rows and ids give a row each; an empty ``train`` leaves the vocabulary's scores.
     """
     spark = docs.sparkSession
     with open(path or public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
@@ -244,66 +244,77 @@ def score_texts(docs: DataFrame, train: DataFrame, path: str | None = None, freq
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     log_weights, log_end = train_pieces(counts, model)
     short = counts.where(F.octet_length("word").between(1, REMEMBERED_LENGTH))
-    top = most_frequent(short, frequent).collect()
+    weights = spark.sparkContext.broadcast((model, log_weights))
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = load(*weights.value)
+        for batch in batches:
+            yield batch.append_column("score", pa.array(lattice.word_scores(batch.column("word").to_pylist()), pa.float64()))
+
+    top = most_frequent(short, frequent).select("word", "n").mapInArrow(scored, "word binary, n long, score double").collect()
     ends = counts.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    shared = spark.sparkContext.broadcast((model, log_weights, {bytes(r.word): r.n for r in top}))
+    often = {bytes(r.word): i for i, r in enumerate(top)}, np.array([r.n for r in top], np.int64), np.array([r.score for r in top], np.float64)
+    shared = spark.sparkContext.broadcast(often)
     log_space = math.log10(n + v + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        model, log_weights, often = shared.value
-        lattice, place = load(model, log_weights), TaskContext.get().partitionId() << 33
-        known: dict[bytes, int] = {}
-        names: list[bytes] = []
-        scores, seen = np.empty(0), np.empty(0, np.int64)
+        places, n, scores = shared.value
+        logs, place = np.log10(n + 1.0), TaskContext.get().partitionId() << 33
         for batch in batches:
             for start, stop in chunks(batch.column("text"), 4 << 20):
                 part = batch.slice(start, stop - start)
-                tokens = [words_of(t.as_py()) for t in part.column("text")]
-                if len(known) > REMEMBERED:
-                    known, names, scores, seen = {}, [], np.empty(0), np.empty(0, np.int64)
-                fresh = list({w for t in tokens for w in t if w not in known})
-                known.update(zip(fresh, range(len(names), len(names) + len(fresh))))
-                names += fresh
-                scores = np.concatenate((scores, lattice.word_scores(fresh)))
-                seen = np.concatenate((seen, np.array([often.get(w, -1) for w in fresh], np.int64)))
                 out: dict[str, list] = {k: [] for k in ("row", "n_tokens", "n_known", "base", "score", "rare", "times")}
-                for t in tokens:
-                    at = np.fromiter(map(known.__getitem__, t), np.int64, len(t))
-                    count = seen[at]
-                    usual = count >= 0
-                    rare, times = np.unique(at[~usual], return_counts=True)
+                for text in part.column("text"):
+                    t = words_of(text.as_py())
+                    usual = [places[w] for w in t if w in places]
+                    rare = Counter([w for w in t if w not in places]) if len(usual) < len(t) else {}
                     out["row"].append(place)
                     place += 1
                     out["n_tokens"].append(len(t) + 1)
-                    out["n_known"].append(int(usual.sum()) + (ends > 0))
-                    out["base"].append(float(np.log10(count[usual] + 1.0).sum()) + math.log10(ends + 1))
-                    out["score"].append(float(scores[at].sum()) + log_end)
-                    out["rare"].append([names[i] for i in rare])
-                    out["times"].append(times)
+                    out["n_known"].append(len(usual) + (ends > 0))
+                    out["base"].append((float(logs[usual].sum()) if usual else 0.0) + math.log10(ends + 1))
+                    out["score"].append((float(scores[usual].sum()) if usual else 0.0) + log_end)
+                    out["rare"].append(list(rare))
+                    out["times"].append(list(rare.values()))
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
                 arrays = [pa.array(x, kind) for x, kind in zip(out.values(), kinds)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *arrays], ["doc_id", *out])
 
-    rows = texts(docs).mapInArrow(
-        run, "doc_id long, row long, n_tokens long, n_known long, base double, score double, rare array<binary>, times array<long>"
-    )
-    pairs = rows.select("doc_id", "row", "n_tokens", "n_known", "base", "score", F.explode_outer(F.arrays_zip("rare", "times")).alias("x"))
+    sums = "doc_id long, row long, n_tokens long, n_known long, base double, score double"
+    rows = texts(docs).mapInArrow(run, f"{sums}, rare array<binary>, times array<long>")
+    own = ["doc_id", "n_tokens", "n_known", "base", "score"]
+    pairs = rows.select("row", *own, F.posexplode_outer(F.arrays_zip("rare", "times")).alias("pos", "x"))
+    # the first of a text's rare words carries the text's own sums, the others none
+    first = F.coalesce("pos", F.lit(0)) == 0
     # a text without rare words has a key of its own, which no word with its line end can be, so such texts do not meet in one task
     alone = F.concat(F.lit("\n"), F.col("row").cast("string")).cast("binary")
-    pairs = pairs.withColumns({"word": F.coalesce("x.rare", alone), "times": F.col("x.times")}).drop("x")
-    joined = pairs.join(counts.where(F.octet_length("word") > 0), "word", "left")
-    summed = joined.groupBy("row", "doc_id", "n_tokens", "n_known", "base", "score").agg(
-        F.coalesce(F.sum(F.when(F.col("n").isNotNull(), F.col("times"))), F.lit(0)).alias("more_known"),
-        F.coalesce(F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 1.0)), F.lit(0.0)).alias("more"),
-    )
+    pairs = pairs.select("row", *(F.when(first, F.col(c)).alias(c) for c in own), F.coalesce("x.rare", alone).alias("word"), F.col("x.times").alias("times"))
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = load(*weights.value)
+        for batch in batches:
+            number = lambda c: batch.column(c).fill_null(0).to_numpy()
+            times, n = number("times"), number("n")
+            words = batch.column("word").dictionary_encode()
+            at = words.indices.to_numpy()
+            here = np.unique(at[times > 0])
+            scores = np.zeros(len(words.dictionary))
+            if len(here):
+                scores[here] = lattice.word_scores(words.dictionary.take(pa.array(here)).to_pylist())
+            arrays = [number("n_known") + times * (n > 0), number("base") + times * np.log10(n + 1.0), number("score") + times * scores[at]]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("doc_id", "row", "n_tokens")] + [pa.array(x) for x in arrays], ["doc_id", "row", *own[1:]])
+
+    # merged by sorting, so equal words follow each other
+    joined = pairs.join(counts.where(F.octet_length("word") > 0).hint("merge"), "word", "left").mapInArrow(added, sums)
+    summed = joined.groupBy("row").agg(*(F.max(c).alias(c) for c in own[:2]), *(F.sum(c).alias(c) for c in own[2:]))
     return summed.select(
         "doc_id",
         "n_tokens",
-        (F.col("n_known") + F.col("more_known")).alias("n_known"),
+        "n_known",
         F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.col("more") - F.col("n_tokens") * F.lit(log_space)).alias("base_score"),
+        (F.col("base") - F.col("n_tokens") * F.lit(log_space)).alias("base_score"),
         "score",
     )
 

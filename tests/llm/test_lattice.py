@@ -100,3 +100,19 @@ def test_query(spark, sf_dir):
     table = spark.read.parquet(f"{sf_dir}/documents.parquet")
     plain = {r.doc_id: r.score for r in lattice.score_texts(table, table.limit(0)).collect()}
     assert sum(r.score for r in rows if r.held_out) > sum(plain[r.doc_id] for r in rows if r.held_out)
+
+
+def test_equal_rare_words_are_scored_where_they_meet(spark, model):
+    texts = ["the cat and the zyzzyva", "a zyzzyva zyzzyva", "", None, "qoph é 漢字x", "cat"]
+    docs = spark.createDataFrame([(d, t) for d, t in enumerate(texts * 5)], "doc_id long, text string").repartition(7)
+    train = docs.where("doc_id % 6 <> 4")
+    log_weights, log_end = lattice.train_pieces(lattice.count_words(train), model)
+    net = lattice.Lattice(model, np.frombuffer(log_weights))
+    want = [log_end + sum(net.word_scores([w])[0] for w in lattice.words_of(t or "")) for t in texts]
+    for frequent in (0, 2, 100):
+        scored = lattice.score_texts(docs, train, frequent=frequent)
+        got = {r.doc_id: r.score for r in scored.collect()}
+        assert np.allclose([got[d] for d in range(30)], want * 5, rtol=1e-9)
+    # the sums over segmentations are taken behind the join, not once more for each text or task
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("SortMergeJoin") < plan.rindex("MapInArrow")
