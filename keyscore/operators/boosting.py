@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import ClassVar
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -111,18 +114,54 @@ def bin_starts(rows: DataFrame, features: str = "x", bins: int = 256, steps: int
     """For each slot the first value of every bin but the first.
 
     A slot's range is cut into equal steps, whose rows are counted; steps are put together into at most ``bins`` bins of
-    about equally many rows. The counts are exact, so the bins do not depend on how the rows are partitioned.
+    about equally many rows. Tasks count their own rows with numpy, Spark adds the counts up. They are exact, so the bins do not depend on how the rows are partitioned.
     """
-    long = rows.select(F.posexplode(features).alias("slot", "v"))
-    ranges = long.groupBy("slot").agg(F.min("v").alias("low"), F.max(F.when(~F.isnan("v"), F.col("v"))).alias("high"), F.count("*").alias("rows"))
+    values = rows.select(F.col(features).cast("array<double>").alias("x"))
+
+    def flat(batch):
+        """All values of a batch that are not null, and the slot of each."""
+        column = batch.column("x")
+        lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+        slots = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        v = column.flatten()
+        there = v.is_valid().to_numpy(zero_copy_only=False)
+        return slots[there], v.drop_null().to_numpy()
+
+    def extremes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low = high = np.empty(0)
+        for batch in batches:
+            slots, v = flat(batch)
+            more = np.full(max(int(slots.max(initial=-1)) + 1 - len(low), 0), np.nan)
+            low, high = np.concatenate((low, more)), np.concatenate((high, more))
+            np.fmin.at(low, slots, v)
+            np.fmax.at(high, slots, v)
+        arrays = [pa.array(np.arange(len(low), dtype=np.int32)), pa.array(low), pa.array(high, mask=np.isnan(high))]
+        yield pa.RecordBatch.from_arrays(arrays, ["slot", "low", "high"])
+
+    ranges = values.mapInArrow(extremes, "slot int, low double, high double").groupBy("slot").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     ranges = ranges.orderBy("slot").collect()
     if not ranges:
         raise ValueError("there are no rows to fit")
-    spans = F.array(*[F.struct(F.lit(float(r.low)).alias("low"), F.lit(float(r.high if r.high is not None else r.low)).alias("high")) for r in ranges])
-    span = F.element_at(spans, F.col("slot") + 1)
-    share = (F.col("v") - span["low"]) / (span["high"] - span["low"]) * steps
-    step = F.when(F.isnan("v"), steps).when(span["high"] <= span["low"], 0).otherwise(F.least(F.floor(share), F.lit(steps - 1)))
-    counted = long.select("slot", "v", step.cast("int").alias("step")).groupBy("slot", "step").agg(F.count("*").alias("n"), F.min("v").alias("first"))
+    lows = np.array([r.low for r in ranges], float)
+    highs = np.array([r.low if r.high is None else r.high for r in ranges], float)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(len(lows) * (steps + 1), np.int64)
+        first = np.full(len(n), np.nan)
+        for batch in batches:
+            slots, v = flat(batch)
+            low, high = lows[slots], highs[slots]
+            with np.errstate(all="ignore"):
+                share = np.floor((v - low) / (high - low) * steps)
+            step = np.where(high > low, np.minimum(np.nan_to_num(share), steps - 1), 0)
+            key = slots * (steps + 1) + np.where(np.isnan(v), steps, step).astype(np.int64)
+            n += np.bincount(key, minlength=len(n))
+            np.fmin.at(first, key, v)
+        there = np.flatnonzero(n)
+        arrays = [pa.array(x) for x in ((there // (steps + 1)).astype(np.int32), (there % (steps + 1)).astype(np.int32), n[there], first[there])]
+        yield pa.RecordBatch.from_arrays(arrays, ["slot", "step", "n", "first"])
+
+    counted = values.mapInArrow(count, "slot int, step int, n long, first double").groupBy("slot", "step").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
     before = F.sum("n").over(Window.partitionBy("slot").orderBy("step")) - F.col("n")
     total = F.sum("n").over(Window.partitionBy("slot"))
     placed = counted.withColumn("bin", F.floor(before * bins / total))

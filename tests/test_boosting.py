@@ -124,3 +124,32 @@ def test_softmax_epochs_hear_their_losses(spark, squares):
     with pytest.raises(ValueError):
         fit_softmax_epochs(squares.limit(0), batch, 3)
     assert loss_history(fit_gbt(squares, iters=2), squares).count() == 2
+
+
+def test_bins_are_counted_without_a_row_for_each_value(spark, monkeypatch):
+    rng = random.Random(12)
+    odd = [math.nan, -math.inf, math.inf, -0.0, 1e308]
+    rows = [(i, 0, [rng.gauss(0, 1), float(rng.randrange(3)), 7.0, rng.choice((*odd[:1], rng.random())), rng.choice((*odd, rng.random())), math.nan]) for i in range(500)]
+    bins, steps = 16, 64
+    want = []
+    for slot in range(6):
+        values = [x[slot] for _, _, x in rows]
+        real = [v for v in values if not math.isnan(v)]
+        low, high = min(real, default=math.nan), max(real, default=math.nan)
+        cells = {}
+        for v in values:
+            with np.errstate(all="ignore"):
+                share = (np.float64(v) - low) / (np.float64(high) - low) * steps
+            step = steps if math.isnan(v) else 0 if not high > low else 0 if math.isnan(share) else min(math.floor(share), steps - 1)
+            cells.setdefault(step, []).append(v)
+        before, starts = 0, {}
+        for step in sorted(cells):
+            starts.setdefault(before * bins // len(values), min(cells[step]))
+            before += len(cells[step])
+        want.append(list(starts.values())[1:])
+    df = spark.createDataFrame([(x,) for _, _, x in rows] + [(None,)], "x array<double>").repartition(3)
+    monkeypatch.setattr(boosting.F, "posexplode", None)
+    got = bin_starts(df, "x", bins, steps)
+    assert [len(g) for g in got] == [len(w) for w in want]
+    for g, w in zip(got, want):
+        assert np.array_equal(g, w, equal_nan=True)
