@@ -32,7 +32,11 @@ SEEN, FREQUENT = 2, 200_000
 BUCKET_BYTES, QUERIES, PICK_BITS = 32 << 20, 500, 20
 #: Queries with one index entry that a task takes.
 SALTED = 1000
+#: Nodes ask again as long as more than one of so many that asked was linked.
+AGAIN = 4
 NO_ID = -(1 << 63)
+#: Columns of 64 bits in which a set is summed up.
+SKETCH = [f"s{i}" for i in range(8)]
 BLOB = "kind int, bucket long, data binary"
 
 
@@ -64,6 +68,21 @@ def common_prefix() -> Column:
     return F.greatest(total - F.greatest(behind("n_a"), behind("n_b")), F.lit(1))
 
 
+def sketch(own: np.ndarray) -> np.ndarray:
+    """A bit for each range of hashes: whether the set has an odd number there. Two sets differ in as many elements as bits
+    at least, since an element that only one of them has flips one bit."""
+    odd = np.bincount((own >> np.uint64(55)).astype(np.int64), minlength=64 * len(SKETCH)) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def may_link() -> Column:
+    """Whether sets of ``n_a`` and ``n_b`` elements do not differ by more than similar ones can, as far as their sketches tell."""
+    p, q = SIMILAR
+    total = F.col("n_a") + F.col("n_b")
+    differ = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in SKETCH), F.lit(0))
+    return differ <= total - 2 * F.ceil(F.lit(p) * total / (p + q))
+
+
 def sets_of(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, int]]:
     """(row, distinct shingles, hash of the set) of each row; a set without elements has the hash 0."""
     column = batch.column("text")
@@ -75,8 +94,8 @@ def sets_of(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, int]]:
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """Rows of kind 0 (``doc``, ``hash``, ``node`` the name of its set, ``n`` its elements) for each row of ``docs``, and of
-    kind 1 (``node`` a shingle that several documents of a task have, ``n`` of how many)."""
+    """Rows of kind 0 (``doc``, ``hash``, ``node`` the name of its set, ``n`` its elements, its sketch) for each row of ``docs``,
+    and of kind 1 (``node`` a shingle that several documents of a task have, ``n`` of how many)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -90,32 +109,34 @@ def describe(docs: DataFrame) -> DataFrame:
             many = count >= SEEN
             held.clear()
             found = every[head[many]].view(np.int64)
-            return frame(1, np.zeros(len(found), np.int64), np.zeros(len(found), np.int64), found, count[many])
+            none = np.zeros(len(found), np.int64)
+            return frame(1, none, none, found, count[many], np.zeros((len(found), len(SKETCH)), np.int64))
 
-        def frame(kind: int, doc: np.ndarray, text: np.ndarray, node: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            arrays = [pa.array(np.full(len(doc), kind), pa.int32()), pa.array(doc, pa.int64()), pa.array(text, pa.int64()), pa.array(node, pa.int64()), pa.array(n, pa.int64())]
-            return pa.RecordBatch.from_arrays(arrays, ["kind", "doc", "hash", "node", "n"])
+        def frame(kind: int, doc: np.ndarray, text: np.ndarray, node: np.ndarray, n: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
+            arrays = [pa.array(np.full(len(doc), kind), pa.int32()), *(pa.array(np.ascontiguousarray(x), pa.int64()) for x in (doc, text, node, n, *bits.T))]
+            return pa.RecordBatch.from_arrays(arrays, ["kind", "doc", "hash", "node", "n", *SKETCH])
 
         for batch in batches:
             ids = batch.column("doc").to_pylist()
             texts_in = batch.column("hash").to_pylist()
-            doc, text, node, n = [], [], [], []
+            doc, text, node, n, bits = [], [], [], [], []
             for i, own, name in sets_of(batch):
                 doc.append(ids[i])
                 text.append(texts_in[i])
                 node.append(name)
                 n.append(len(own))
+                bits.append(sketch(own))
                 if name and name not in seen:
                     seen.add(name)
                     held.append(own)
                     load += len(own)
-            yield frame(0, np.array(doc, np.int64), np.array(text, np.int64), np.array(node, np.int64), np.array(n, np.int64))
+            yield frame(0, *(np.array(x, np.int64) for x in (doc, text, node, n)), np.array(bits, np.int64).reshape(-1, len(SKETCH)))
             if load > 8_000_000:
                 yield often()
                 load = 0
         yield often()
 
-    return docs.withColumn("hash", F.xxhash64("text")).mapInArrow(run, "kind int, doc long, hash long, node long, n long")
+    return docs.withColumn("hash", F.xxhash64("text")).mapInArrow(run, ", ".join(["kind int, doc long, hash long, node long, n long", *(f"{c} long" for c in SKETCH)]))
 
 
 def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], buckets: int) -> DataFrame:
@@ -313,6 +334,24 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return roles.join(made, "node").groupBy("index", "salt").applyInArrow(meet, "a long, b long")
 
 
+def asking(lists: DataFrame, salt: int) -> DataFrame:
+    """(a, b): ``b`` asks for the pivot ``a`` that it shares most of the ``lists`` with, of those that may be similar.
+
+    A list has a pivot for each range of sizes: a node of the largest ``part`` there, the first in an order that ``salt``
+    changes (0: the smallest node). All nodes of other parts may ask for it.
+    """
+    p, q = SIMILAR
+    order = F.xxhash64("node", F.lit(salt)) if salt else F.col("node")
+    sized = lists.withColumn("range", F.floor(F.log(F.col("n")) / math.log(q / p)))
+    by_part = sized.groupBy("list", "range", "part").agg(F.count("*").alias("size"), F.min(F.struct(order.alias("order"), "node", "n")).alias("p"))
+    pivots = by_part.groupBy("list", "range").agg(F.min(F.struct((-F.col("size")).alias("size"), "part", "p")).alias("x"), F.count("*").alias("parts")).where("parts > 1")
+    star = sized.join(pivots.select("list", "range", F.col("x.part").alias("main"), "x.p"), ["list", "range"]).where("part <> main")
+    star = star.groupBy(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("p.node").alias("a"), F.col("p.n").alias("n_a")).agg(F.sum("weight").alias("shared"))
+    star = star.where(F.col("shared") >= common_prefix())  # not all they share: what is left out here is tried later
+    best = star.groupBy("b").agg(F.max(F.struct("shared", (-F.col("a")).alias("a"))).alias("x"))
+    return best.select((-F.col("x.a")).alias("a"), "b")
+
+
 def similar_documents(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``node``, ``part`` and ``text_hash`` for each row of ``docs``.
 
@@ -341,27 +380,31 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     lists = materialize(packed.groupBy("list", "node", "n").agg(F.sum("weight").alias("weight")), "jaccard-lists")
     nodes = sets.where("node <> 0").groupBy("node").agg(F.min("doc").alias("doc"))
 
-    # Each node asks for the pivot that it shares most lists with; pivots are the first nodes of a list in a range of sizes.
+    # Each node asks for the pivot that it shares most lists with. Where many of those that asked were linked, the others ask
+    # again for another pivot: of a large group whose members are similar to most others, not to all, few nodes stay apart.
     p, q = SIMILAR
-    sized = lists.withColumn("range", F.floor(F.log(F.col("n")) / math.log(q / p)))
-    pivots = sized.groupBy("list", "range").agg(F.min(F.struct("node", "n")).alias("p"), F.count("*").alias("size")).where("size > 1")
-    star = sized.join(pivots, ["list", "range"]).where(F.col("node") != F.col("p.node"))
-    star = star.groupBy(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("p.node").alias("a"), F.col("p.n").alias("n_a")).agg(F.sum("weight").alias("shared"))
-    star = star.where(F.col("shared") >= common_prefix())  # not all they share: what is left out here is tried below
-    best = star.groupBy("b").agg(F.max(F.struct("shared", (-F.col("a")).alias("a"))).alias("x")).select((-F.col("x.a")).alias("a"), "b")
-    best = materialize(best, "jaccard-best")
-    links = materialize(verified(best, nodes, docs), "jaccard-links")
-
-    # What is left: nodes of one list that are still apart and whose sizes allow a link.
-    parts = lists.join(components(links), lists["node"] == F.col("id"), "left").select("list", "node", "n", "weight", F.coalesce("component", "node").alias("part"))
-    parts = materialize(parts, "jaccard-parts")
-    mixed = parts.groupBy("list").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("list")
-    apart = parts.join(mixed, "list")
-    side = lambda s: apart.select("list", "weight", F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("part").alias(f"part_{s}"))
+    links = tried = None
+    apart = lists.withColumn("part", F.col("node"))
+    while True:
+        best = materialize(asking(apart, 0 if tried is None else tried.count()), "jaccard-best")
+        tried = best if tried is None else tried.unionByName(best)
+        found = materialize(verified(best, nodes, docs), "jaccard-links")
+        links = found if links is None else links.unionByName(found)
+        parts = lists.join(components(links), lists["node"] == F.col("id"), "left").select("list", "node", "n", "weight", F.coalesce("component", "node").alias("part"))
+        parts = materialize(parts, "jaccard-parts")
+        mixed = parts.groupBy("list").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("list")
+        apart = parts.join(mixed, "list")
+        if AGAIN * found.count() <= best.count():
+            break
+
+    # What is left: nodes of one list that are still apart and whose sizes and sketches allow a link.
+    sketches = described.where("kind = 0 and node <> 0").groupBy("node").agg(*(F.min(c).alias(c) for c in SKETCH))
+    apart = materialize(apart.join(sketches, "node"), "jaccard-apart")
+    side = lambda s: apart.select("list", "weight", F.col("node").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("n", "part", *SKETCH)))
     fits = (q * F.least("n_a", "n_b") >= p * F.greatest("n_a", "n_b")) & (F.col("part_a") < F.col("part_b"))
-    rest = side("a").join(side("b").drop("weight"), "list").where(fits).groupBy("a", "b", "n_a", "n_b").agg(F.sum("weight").alias("shared"))
+    rest = side("a").join(side("b").drop("weight"), "list").where(fits & may_link()).groupBy("a", "b", "n_a", "n_b").agg(F.sum("weight").alias("shared"))
     rest = rest.where(F.col("shared") >= common_prefix()).select("a", "b")
-    tried = best.unionByName(best.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    tried = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
     rest = materialize(rest.join(tried, ["a", "b"], "left_anti"), "jaccard-rest")
     every = links.unionByName(verified(rest, nodes, docs))
 

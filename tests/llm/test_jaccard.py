@@ -1,6 +1,8 @@
 import random
 from collections import Counter
 
+import numpy as np
+
 from keyscore.llm import jaccard
 
 
@@ -92,3 +94,37 @@ def test_keep_one_with_null_and_repeated_ids(spark):
     rows = [(5, a), (5, b), (6, b + " end"), *((None, t) for t in near)]
     got = sorted(r.text for r in jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert len(got) == 3 and {a, b} <= set(got) and len(set(near) & set(got)) == 1
+
+
+def test_sketch_never_hides_a_link():
+    rng = np.random.default_rng(1)
+    for n in (3, 40, 300, 3000):
+        a = rng.integers(0, 1 << 64, n, dtype=np.uint64)
+        b = np.concatenate([a[n // 8 :], rng.integers(0, 1 << 64, n // 9, dtype=np.uint64)])
+        bits = int(np.bitwise_count((jaccard.sketch(a) ^ jaccard.sketch(b)).view(np.uint64)).sum())
+        assert bits <= n // 8 + n // 9 and (n > 1000 or bits >= 0.5 * (n // 8))
+
+
+def test_few_pairs_of_a_large_group_and_of_unlike_texts_with_one_passage(spark, monkeypatch):
+    """Versions that are similar to most others, and unlike short texts that share a passage, are not joined in pairs."""
+    tables = {}
+    write = jaccard.materialize
+
+    def counted(df, name):
+        tables[name] = written = write(df, name)
+        return written
+
+    monkeypatch.setattr(jaccard, "materialize", counted)
+    rng = random.Random(8)
+    base = ["b%d" % i for i in range(150)]
+    versions = []
+    for _ in range(200):
+        words = list(base)
+        for _ in range(rng.choice([1, 2, 3])):
+            words[rng.randrange(len(words))] = "x%d" % rng.randrange(10**9)
+        versions.append(" ".join(words))
+    passage = " ".join("p%d" % i for i in range(8))
+    unlike = [" ".join([passage, *("u%d" % rng.randrange(10**9) for _ in range(6))]) for _ in range(150)]
+    rows = list(enumerate(versions + unlike))
+    check(spark, rows)
+    assert tables["jaccard-rest"].count() < 4000
