@@ -83,6 +83,18 @@ def may_link() -> Column:
     return differ <= total - 2 * F.ceil(F.lit(p) * total / (p + q))
 
 
+def may_begin() -> Column:
+    """Whether a shingle at ``place_a`` and ``place_b`` of sets of ``n_a`` and ``n_b`` elements may be the first that similar sets share.
+
+    All sets have one order, rare to frequent: what they share follows the first shared shingle in both, so as many
+    elements as they must share, that one included, are left from there on. A version with many shingles of its own, which
+    are its rarest, has none left to begin with.
+    """
+    p, q = SIMILAR
+    total = F.ceil(F.lit(p) * (F.col("n_a") + F.col("n_b")) / (p + q))
+    return F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) >= total
+
+
 def sets_of(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, int]]:
     """(row, distinct shingles, hash of the set) of each row; a set without elements has the hash 0."""
     column = batch.column("text")
@@ -152,6 +164,7 @@ def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], buckets:
         def out() -> Iterator[pa.RecordBatch]:
             every = np.concatenate([x for x, _, _ in held])
             owner = np.repeat(np.arange(len(held)), [len(x) for x, _, _ in held])
+            place = np.concatenate([np.arange(len(x), dtype=np.int32) for x, _, _ in held])
             names, sizes = np.array([x for _, x, _ in held], np.int64), np.array([x for _, _, x in held], np.int64)
             held.clear()
             to = (every % np.uint64(buckets)).astype(np.int64)
@@ -160,7 +173,7 @@ def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], buckets:
             for a, b in zip(heads, np.append(heads[1:], len(order))):
                 own = order[a:b]
                 some, at = np.unique(owner[own], return_inverse=True)
-                data = pack({"shingle": every[own], "at": at.astype(np.int32), "node": names[some], "n": sizes[some]})
+                data = pack({"shingle": every[own], "at": at.astype(np.int32), "place": place[own], "node": names[some], "n": sizes[some]})
                 yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([to[own[0]]], pa.int64()), pa.array([data], pa.binary())], ["kind", "bucket", "data"])
 
         for batch in batches:
@@ -186,10 +199,10 @@ def prefixes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], buckets:
 
 
 def lists_in(blobs: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
-    """(list, node, n, weight) of one bucket's inverted lists of two nodes and more. Lists of the same nodes are one
-    list, whose weight is the number of its shingles."""
+    """(list, node, n, weight, place) of one bucket's inverted lists of two nodes and more. Lists of the same nodes are one
+    list, whose weight is the number of its shingles; place is the first place that one of them has in the node's set."""
     parts = [unpack(b) for b in blobs]
-    every = {"shingle": np.concatenate([p["shingle"] for p in parts])} | {k: np.concatenate([p[k][p["at"]] for p in parts]) for k in ("node", "n")}
+    every = {k: np.concatenate([p[k] for p in parts]) for k in ("shingle", "place")} | {k: np.concatenate([p[k][p["at"]] for p in parts]) for k in ("node", "n")}
     order = np.lexsort((every["node"], every["shingle"]))
     e = {k: v[order] for k, v in every.items()}
     keep = np.concatenate(([True], (e["shingle"][1:] != e["shingle"][:-1]) | (e["node"][1:] != e["node"][:-1])))
@@ -205,11 +218,12 @@ def lists_in(blobs: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
     with np.errstate(over="ignore"):
         mixed = (e["node"].view(np.uint64) ^ (e["node"].view(np.uint64) >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         name = np.add.reduceat(mixed ^ (mixed >> np.uint64(32)), head) * np.uint64(0x94D049BB133111EB) + count.astype(np.uint64)
-    _, first, times = np.unique(name, return_index=True, return_counts=True)
-    weight = np.zeros(len(head), np.int64)
-    weight[first] = times
-    picked = np.repeat(weight > 0, count)
-    yield np.repeat(name, count)[picked].view(np.int64), e["node"][picked], e["n"][picked], np.repeat(weight, count)[picked]
+    every = np.repeat(name, count)
+    order = np.lexsort((e["place"], e["node"], every))
+    every, e = every[order], {k: v[order] for k, v in e.items()}
+    first = np.flatnonzero(np.concatenate(([True], (every[1:] != every[:-1]) | (e["node"][1:] != e["node"][:-1]))))
+    weight = np.diff(np.append(first, len(every)))
+    yield every[first].view(np.int64), e["node"][first], e["n"][first], weight, e["place"][first].astype(np.int64)
 
 
 def t_occurrence(lists: list[list[int]], least: int) -> list[tuple[int, int]]:
@@ -352,6 +366,14 @@ def asking(lists: DataFrame, salt: int) -> DataFrame:
     return best.select((-F.col("x.a")).alias("a"), "b")
 
 
+def meetings(apart: DataFrame) -> DataFrame:
+    """(list, a, b) for each two nodes of one list in different parts whose sizes, places and sketches allow a link."""
+    p, q = SIMILAR
+    side = lambda s: apart.select("list", F.col("node").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("n", "part", "place", *SKETCH)))
+    fits = (q * F.least("n_a", "n_b") >= p * F.greatest("n_a", "n_b")) & (F.col("part_a") < F.col("part_b"))
+    return side("a").join(side("b"), "list").where(fits & may_begin() & may_link()).select("list", "a", "b")
+
+
 def similar_documents(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``node``, ``part`` and ``text_hash`` for each row of ``docs``.
 
@@ -373,16 +395,15 @@ def similar_documents(docs: DataFrame) -> DataFrame:
 
     def listed(group: pa.Table) -> pa.Table:
         found = list(lists_in([b.as_py() for b in group["data"]]))
-        columns = found[0] if found else (np.empty(0, np.int64),) * 4
-        return pa.table({k: pa.array(v, pa.int64()) for k, v in zip(("list", "node", "n", "weight"), columns)})
+        columns = found[0] if found else (np.empty(0, np.int64),) * 5
+        return pa.table({k: pa.array(v, pa.int64()) for k, v in zip(("list", "node", "n", "weight", "place"), columns)})
 
-    packed = prefixes(docs, (hashes[order], counts[order]), buckets).groupBy("bucket").applyInArrow(listed, "list long, node long, n long, weight long")
-    lists = materialize(packed.groupBy("list", "node", "n").agg(F.sum("weight").alias("weight")), "jaccard-lists")
+    packed = prefixes(docs, (hashes[order], counts[order]), buckets).groupBy("bucket").applyInArrow(listed, "list long, node long, n long, weight long, place long")
+    lists = materialize(packed.groupBy("list", "node", "n").agg(F.sum("weight").alias("weight"), F.min("place").alias("place")), "jaccard-lists")
     nodes = sets.where("node <> 0").groupBy("node").agg(F.min("doc").alias("doc"))
 
     # Each node asks for the pivot that it shares most lists with. Where many of those that asked were linked, the others ask
     # again for another pivot: of a large group whose members are similar to most others, not to all, few nodes stay apart.
-    p, q = SIMILAR
     links = tried = None
     apart = lists.withColumn("part", F.col("node"))
     while True:
@@ -390,20 +411,17 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         tried = best if tried is None else tried.unionByName(best)
         found = materialize(verified(best, nodes, docs), "jaccard-links")
         links = found if links is None else links.unionByName(found)
-        parts = lists.join(components(links), lists["node"] == F.col("id"), "left").select("list", "node", "n", "weight", F.coalesce("component", "node").alias("part"))
+        parts = lists.join(components(links), lists["node"] == F.col("id"), "left").select("list", "node", "n", "weight", "place", F.coalesce("component", "node").alias("part"))
         parts = materialize(parts, "jaccard-parts")
         mixed = parts.groupBy("list").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("list")
         apart = parts.join(mixed, "list")
         if AGAIN * found.count() <= best.count():
             break
 
-    # What is left: nodes of one list that are still apart and whose sizes and sketches allow a link.
+    # What is left: nodes of one list that are still apart and may link.
     sketches = described.where("kind = 0 and node <> 0").groupBy("node").agg(*(F.min(c).alias(c) for c in SKETCH))
     apart = materialize(apart.join(sketches, "node"), "jaccard-apart")
-    side = lambda s: apart.select("list", "weight", F.col("node").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("n", "part", *SKETCH)))
-    fits = (q * F.least("n_a", "n_b") >= p * F.greatest("n_a", "n_b")) & (F.col("part_a") < F.col("part_b"))
-    rest = side("a").join(side("b").drop("weight"), "list").where(fits & may_link()).groupBy("a", "b", "n_a", "n_b").agg(F.sum("weight").alias("shared"))
-    rest = rest.where(F.col("shared") >= common_prefix()).select("a", "b")
+    rest = meetings(apart).select("a", "b").distinct()
     tried = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
     rest = materialize(rest.join(tried, ["a", "b"], "left_anti"), "jaccard-rest")
     every = links.unionByName(verified(rest, nodes, docs))

@@ -128,3 +128,28 @@ def test_few_pairs_of_a_large_group_and_of_unlike_texts_with_one_passage(spark,
     rows = list(enumerate(versions + unlike))
     check(spark, rows)
     assert tables["jaccard-rest"].count() < 4000
+
+
+def test_versions_with_many_shingles_of_their_own_do_not_meet(spark, monkeypatch):
+    """Unlike versions share many lists; they meet only in those that may hold the first shingle that similar sets share."""
+    tables = {}
+    write = jaccard.materialize
+
+    def counted(df, name):
+        tables[name] = written = write(df, name)
+        return written
+
+    monkeypatch.setattr(jaccard, "materialize", counted)
+    rng = random.Random(6)
+    base = ["b%d" % i for i in range(900)]
+    versions = []
+    for _ in range(50):
+        words = list(base)
+        for i in rng.sample(range(30), 28):
+            words[30 * i + rng.randrange(30)] = "x%d" % rng.randrange(10**9)
+        versions.append(words)
+    near = [[*versions[k][: 20 * k], "near%d" % k, *versions[k][20 * k :]] for k in (3, 9, 30)]
+    check(spark, [(d, " ".join(w)) for d, w in enumerate(versions + near)])
+    apart = tables["jaccard-apart"]
+    without = jaccard.meetings(apart.withColumn("place", jaccard.F.lit(0))).count()
+    assert without > 10_000 and jaccard.meetings(apart).count() < without / 10
