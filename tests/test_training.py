@@ -1,11 +1,14 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LinearSVC
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from keyscore.operators import training
 from keyscore.operators.evaluation import (
     accuracy,
     auc_by_round,
@@ -91,6 +94,46 @@ def test_rbf_svm_separates_a_ring_and_reloads(spark, ring, tmp_path):
     assert first == second
 
 
+def test_rbf_svm_keeps_no_kernel_values(spark, ring, monkeypatch):
+    """Every pass starts from the rows as they are, and the fit is no worse than Spark's on the kernel values themselves."""
+    kept, sums = lambda: spark.sparkContext._jsc.getPersistentRDDs().size(), training.kernel_sums
+    before, widths = kept(), []
+
+    def seen(rows, marks, gamma, *points):
+        widths.append((kept() - before, rows.selectExpr("max(size(x))").first()[0]))
+        return sums(rows, marks, gamma, *points)
+
+    monkeypatch.setattr(training, "kernel_sums", seen)
+    model = fit_rbf_svm(ring, size=2, n_components=20)
+    assert len(widths) > 3 and set(widths) == {(0, 2)}
+    marks = training.landmarks(ring, 20)
+    x = np.array([r[0].toArray() for r in ring.select("features").collect()])
+    near = lambda a: np.exp(-0.5 * ((a[:, None, :] - marks[None]) ** 2).sum(2))
+    values, vectors = np.linalg.eigh(near(marks))
+    whiten = vectors[:, values > values.max() * 1e-10] / np.sqrt(values[values > values.max() * 1e-10])
+    labels = [r.label for r in ring.select("label").collect()]
+    lifted = spark.createDataFrame([(v.tolist(), y) for v, y in zip(near(x) @ whiten, labels)], "v array<double>, label int")
+    penalty = 1 / (2.0 * len(labels))
+    spark_fit = LinearSVC(maxIter=100, tol=1e-4, regParam=penalty, standardization=False).fit(lifted.select(array_to_vector("v").alias("features"), "label"))
+    sign = 2 * np.array(labels) - 1
+
+    def objective(w, margins):
+        return np.maximum(1 - sign * margins, 0).mean() + penalty / 2 * (w**2).sum()
+
+    by_mark = {tuple(r.vector): r.coef for r in model.sv_df.collect()}
+    coefs = np.array([by_mark.get(tuple(m), 0.0) for m in marks.tolist()])
+    ours = np.linalg.lstsq(whiten, coefs, rcond=None)[0]
+    theirs = spark_fit.coefficients.toArray()
+    assert objective(ours, near(x) @ coefs - model.params.rho) <= objective(theirs, near(x) @ whiten @ theirs + spark_fit.intercept) * 1.01 + 1e-3
+
+
+def test_rbf_svm_refuses_what_it_cannot_fit(spark, ring):
+    for label, x in ((2, [0.0, 1.0]), (1, [float("nan"), 1.0]), (None, [0.0, 1.0])):
+        odd = spark.createDataFrame([("o", label, x)], "uuid string, label int, x array<double>").select("uuid", "label", array_to_vector("x").alias("features"))
+        with pytest.raises(Exception, match="must be"):
+            fit_rbf_svm(ring.unionByName(odd), size=2, n_components=10)
+
+
 def test_boosted_forest(ring, tmp_path):
     model = fit_boosted_forest(ring, rounds=3, trees=10)
     scored = model.transform(ring)
