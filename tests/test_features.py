@@ -163,6 +163,14 @@ def test_a_packed_file_is_spread_over_the_cores(spark, tmp_path):
     assert endpoints.spread(spark.range(100).coalesce(1)).rdd.getNumPartitions() == 1
 
 
+def test_no_task_gets_millions_of_rows(spark, monkeypatch):
+    """Though there are as many parts as cores, a table of many rows is dealt out further."""
+    monkeypatch.setattr(endpoints, "MOST_ROWS", 5_000)
+    cores = spark.sparkContext.defaultParallelism
+    rows = endpoints.spread(spark.range(0, 20_000 * cores, 1, cores))
+    assert rows.rdd.getNumPartitions() == 4 * cores and rows.count() == rows.distinct().count() == 20_000 * cores
+
+
 @pytest.mark.parametrize("n", [2, 5])
 def test_split_nth_brute_force(spark, n):
     ids = list(range(5000))
